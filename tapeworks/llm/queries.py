@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import exactdup, packing
+from tapeworks.llm import decontam, exactdup, packing, simhash
 from tapeworks.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """About half of the rows, by a hash of their ids, form the snapshot; the others come in as a new batch."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -26,9 +30,33 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.dedup(docs.filter(old), docs.filter(~old))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op6_exact_dedup)}
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_benchmark_decontamination, op6_exact_dedup, op8_simhash_near_dedup)}
 
 ORACLE_SQL = {
+    "op4_benchmark_decontamination": r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bs AS (SELECT item_id, w, least(len(w), 10) AS k FROM bw WHERE len(w) > 0),
+bi AS (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM bs),
+bg AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM bi),
+di AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, (SELECT DISTINCT k FROM bg) WHERE len(w) >= k),
+dg AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM di),
+m AS (SELECT dg.doc_id, dg.k, dg.i, bg.item_id FROM dg JOIN bg ON dg.k = bg.k AND dg.g = bg.g),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s
+  FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id),
+hits AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(dw.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN items USING (doc_id) LEFT JOIN hits USING (doc_id)
+""",
     "op6_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
