@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontam, exactdup, packing, simhash
+from tapeworks.llm import decontam, exactdup, packing, simhash, store
 from tapeworks.llm.common import table
 
 
@@ -34,7 +34,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_benchmark_decontamination, op6_exact_dedup, op8_simhash_near_dedup)}
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.document_digests(store.write_store(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_benchmark_decontamination, op6_exact_dedup, op8_simhash_near_dedup, op9_token_store)}
 
 ORACLE_SQL = {
     "op4_benchmark_decontamination": r"""
