@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontam, exactdup, packing, simhash, store
+from tapeworks.llm import decontam, exactdup, packing, secretscan, simhash, store
 from tapeworks.llm.common import table
 
 
@@ -19,6 +19,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.secrets(table(spark, sf_dir, "documents"))
+    counts = [secretscan.count_kind(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(secretscan.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(secretscan.named(F.col("base")), 256).alias("base_sha256"), secretscan.named(F.col("spans")).alias("spans"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,7 +44,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.document_digests(store.write_store(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_benchmark_decontamination, op6_exact_dedup, op8_simhash_near_dedup, op9_token_store)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_secret_scan, op4_benchmark_decontamination, op6_exact_dedup, op8_simhash_near_dedup, op9_token_store)}
 
 ORACLE_SQL = {
     "op4_benchmark_decontamination": r"""
