@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontam, exactdup, packing, secretscan, simhash, store
+from tapeworks.llm import decontam, exactdup, linedup, packing, secretscan, simhash, store
 from tapeworks.llm.common import table
 
 
@@ -29,6 +29,12 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that aren't blank, those deleted, and a digest of the text that is left."""
+    left = linedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", F.col("n_lines_").alias("n_lines"), F.col("n_removed_").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """About half of the rows, by a hash of their ids, form the snapshot; the others come in as a new batch."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,7 +50,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.document_digests(store.write_store(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_secret_scan, op4_benchmark_decontamination, op6_exact_dedup, op8_simhash_near_dedup, op9_token_store)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_secret_scan, op4_benchmark_decontamination, op5_line_dedup, op6_exact_dedup, op8_simhash_near_dedup, op9_token_store)}
 
 ORACLE_SQL = {
     "op4_benchmark_decontamination": r"""
@@ -66,6 +72,21 @@ hits AS (
 SELECT dw.doc_id, CAST(len(dw.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN items USING (doc_id) LEFT JOIN hits USING (doc_id)
+""",
+    "op5_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+b AS (SELECT doc_id, i, line, regexp_replace(regexp_replace(line, '^[ \t\x0B\x0C\r]+', ''), '[ \t\x0B\x0C\r]+$', '') AS bare FROM l),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS nth FROM b WHERE bare <> ''),
+w AS (SELECT doc_id, nth, bare || chr(10) || lead(bare) OVER (PARTITION BY doc_id ORDER BY nth) AS run FROM n),
+r AS (SELECT doc_id, nth, row_number() OVER (PARTITION BY run ORDER BY doc_id, nth) AS k FROM w WHERE run IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, unnest([nth, nth + 1]) AS nth FROM r WHERE k > 1),
+k AS (
+  SELECT b.doc_id, b.i, b.line, n.nth IS NOT NULL AS counts, g.nth IS NOT NULL AS gone
+  FROM b LEFT JOIN n ON b.doc_id = n.doc_id AND b.i = n.i LEFT JOIN g ON n.doc_id = g.doc_id AND n.nth = g.nth)
+SELECT doc_id, count(*) FILTER (counts) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM k GROUP BY doc_id
 """,
     "op6_exact_dedup": r"""
 WITH d AS (
