@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontam, exactdup, linedup, packing, secretscan, simhash, store
+from tapeworks.llm import decontam, exactdup, linedup, packing, secretscan, simhash, store, substring
 from tapeworks.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.dedup(docs.filter(old), docs.filter(~old))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removals(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.document_digests(store.write_store(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_secret_scan, op4_benchmark_decontamination, op5_line_dedup, op6_exact_dedup, op8_simhash_near_dedup, op9_token_store)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_secret_scan, op4_benchmark_decontamination, op5_line_dedup, op6_exact_dedup, op7_substring_dedup, op8_simhash_near_dedup, op9_token_store)}
 
 ORACLE_SQL = {
     "op4_benchmark_decontamination": r"""
@@ -87,6 +91,18 @@ k AS (
 SELECT doc_id, count(*) FILTER (counts) AS n_lines, count(*) FILTER (gone) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM k GROUP BY doc_id
+""",
+    "op7_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM p),
+c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c FROM h),
+e AS (
+  SELECT doc_id, i, max(i) FILTER (c > 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS s
+  FROM (SELECT doc_id, i, c FROM c UNION ALL SELECT doc_id, unnest(range(greatest(len(w) - 33, 1), len(w) + 1)), 0 FROM d)),
+k AS (SELECT e.doc_id, count(*) FILTER (s IS NOT NULL) AS n_removed, string_agg(d.w[i], ' ' ORDER BY i) FILTER (s IS NULL) AS left_ FROM e JOIN d USING (doc_id) GROUP BY e.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.left_, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
 """,
     "op6_exact_dedup": r"""
 WITH d AS (
