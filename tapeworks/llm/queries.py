@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontam, exactdup, linedup, packing, secretscan, simhash, store, substring
+from tapeworks.llm import decontam, exactdup, linedup, packing, secretscan, simhash, store, substring, toxicity, urlfilter
 from tapeworks.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.secrets(table(spark, sf_dir, "documents"))
     counts = [secretscan.count_kind(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(secretscan.KINDS[:3])]
@@ -54,7 +58,18 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.document_digests(store.write_store(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_secret_scan, op4_benchmark_decontamination, op5_line_dedup, op6_exact_dedup, op7_substring_dedup, op8_simhash_near_dedup, op9_token_store)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing, op2_url_filters, op3_secret_scan, op4_benchmark_decontamination, op5_line_dedup,
+        op6_exact_dedup, op7_substring_dedup, op8_simhash_near_dedup, op9_token_store, op10_toxicity,
+    )
+}
 
 ORACLE_SQL = {
     "op4_benchmark_decontamination": r"""
