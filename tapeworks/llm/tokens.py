@@ -1,30 +1,56 @@
-"""Token ids of whole texts with the tokenizers library, a word cache in front.
+"""Token ids of whole texts with the tokenizers library, word caches in front.
 
-Both supported kinds of vocabulary cut a text at white space before merging, so
-a word's ids don't depend on its neighbours. Each worker keeps the ids of words
-it has met and passes only new words to the library, many at a time.
+Both supported kinds of vocabulary cut a text at white space and between letters and
+signs before merging, so a word's ids don't depend on its neighbours. Each worker keeps the ids of
+the words that it has met, and of their letters without the signs after them, and asks the library for new ones only.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
-import numpy as np
+#: Words and cores (letters of a word) kept in a worker's caches; a full one starts anew. Some 200 MB.
+CACHE_WORDS, CACHE_CORES = 400_000, 700_000
 
-#: Words kept in a worker's cache; beyond that it starts anew. About 130 MB.
-CACHE_WORDS = 500_000
-#: Texts whose new words are encoded together, and words joined into one call.
-GROUP_TEXTS, JOIN_WORDS = 256, 512
-
-_END = np.zeros(1, "<u4").tobytes()
+_END = struct.pack("<I", 0)
 _TWO_BLANKS = re.compile(r"\s\s")
 _SPACE_AFTER_WORD = re.compile(r"(?<=\S)(?= )")
+_CORE = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+_PROBES = ("ab", "Zebra", "été", "Straße", "ñandú", "Über", "ÉTÉ", "à")
 _loaded: dict[str, Encoder] = {}
 
 
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write the UTF-8 bytes of Latin-1 letters beyond ASCII.
+
+    Fixed rule of the format: bytes that print in Latin-1 stand for themselves, the others are numbered from U+0100 on.
+    """
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = (b for b in range(256) if b not in prints)
+    letter = {b: chr(b) for b in prints} | {b: chr(0x100 + i) for i, b in enumerate(other)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+
+
+class Words(dict):
+    """Ids of words as bytes; a missing word is looked up and kept. ``lead`` is the blank before each word, or nothing."""
+
+    def __init__(self, owner: Encoder, lead: str):
+        self.owner, self.lead = owner, lead
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = found = self.owner.word(word, self.lead)
+        return found
+
+
 class Encoder:
     """``encode(texts)`` yields each text's ids as little-endian unsigned 32-bit bytes."""
 
@@ -33,94 +59,77 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
-        self.bare: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.model = self.inner.model
+        self.bare, self.spaced = Words(self, ""), Words(self, " ")
+        self.cores: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.letters = byte_letters()
         self.kind = self._kind()
+        self.lowers = self._plain("AbÉ") == self._plain("abé")
+        self.direct = self.kind != "unknown" and all(
+            _pack([t.id for t in self._merged(p, lead)]) == self._plain(lead + p) and self._plain(f"{lead}{p},;") == self._plain(lead + p) + self._plain(",;")
+            for p in _PROBES for lead in (("", " ") if self.kind == "kept" else ("",))
+        )
 
     def _kind(self) -> str:
         """How this tokenizer treats a blank between two words: dropped, kept before the next word, or unknown."""
         ids = self._plain
         a, b = ids("ab"), ids("cd")
-        if ids("ab cd") == ids("ab\ncd") == ids("ab \n  cd") == a + b and len(ids("!")) == 1 and ids("ab ! cd") == a + ids("!") + b:
-            self.mark = ids("!")[0]
+        if ids("ab cd") == ids("ab\ncd") == ids("ab \n  cd") == a + b:
             return "dropped"
-        if ids("ab cd") == a + ids(" cd") and ids("ab\n cd") == a + ids("\n") + ids(" cd") and ids("ab\ncd") == a + ids("\n") + b and len(ids("\n")) == 1:
-            self.mark = ids("\n")[0]
+        if ids("ab cd") == a + ids(" cd") and ids("ab\n cd") == a + ids("\n") + ids(" cd") and ids("ab\ncd") == a + ids("\n") + b:
             return "kept"
         return "unknown"
 
-    def _plain(self, text: str) -> list[int]:
-        return self.inner.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, words: Iterable[str], cache: dict[str, bytes], lead: str) -> None:
-        """Ids of new words: joined by a mark that has one id of its own, then cut at it."""
-        words = list(words)
-        if len(cache) + len(words) > CACHE_WORDS:
-            cache.clear()
-        glue = " ! " if self.kind == "dropped" else "\n"
-        odd = re.compile(r"[\s!]") if self.kind == "dropped" else re.compile(r"\s")
-        alone = [w for w in words if not w or odd.search(w)]
-        rest = [w for w in words if w and not odd.search(w)] if alone else words
-        parts = [rest[i : i + JOIN_WORDS] for i in range(0, len(rest), JOIN_WORDS)]
-        for part, found in zip(parts, self.inner.encode_batch_fast([glue.join(lead + w for w in p) for p in parts], add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, "<u4")
-            at = np.flatnonzero(ids == self.mark)
-            if len(at) != len(part) - 1:
-                alone += part
-                continue
-            raw, begin = ids.tobytes(), 0
-            for w, end in zip(part, chain(at.tolist(), [len(ids)]), strict=True):
-                cache[w] = raw[4 * begin : 4 * end]
-                begin = end + 1
-        for w in alone:
-            cache[w] = np.array(self._plain(lead + w), "<u4").tobytes()
+    def _plain(self, text: str) -> bytes:
+        return _pack(self.inner.encode(text, add_special_tokens=False).ids)
+
+    def _merged(self, core: str, lead: str) -> list:
+        """The library's merges of one word of Latin-1 letters, written as the vocabulary writes bytes."""
+        if self.lowers:
+            core = core.lower()
+        return self.model.tokenize(("Ġ" if lead else "") + (core if core.isascii() else core.translate(self.letters)))
+
+    def word(self, word: str, lead: str) -> bytes:
+        """Ids of ``lead + word``: those of its letters, then those of the signs after them; other words as a whole."""
+        parts = _CORE.fullmatch(word) if self.direct else None
+        if not parts:
+            return self._plain(lead + word)
+        core, tail = parts.groups()
+        if not (core.isascii() or (core.isalpha() and max(core) <= "\xff")):
+            return self._plain(lead + word)
+        key = lead + (core.lower() if self.lowers else core)
+        found = self.cores.get(key)
+        if found is None:
+            if len(self.cores) >= CACHE_CORES:
+                self.cores.clear()
+            self.cores[key] = found = _pack([t.id for t in self._merged(core, lead)])
+        if not tail:
+            return found
+        after = self.tails.get(tail)
+        if after is None:
+            if len(self.tails) >= CACHE_WORDS // 10:
+                self.tails.clear()
+            self.tails[tail] = after = self._plain(tail)
+        return found + after
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        group: list[str] = []
-        for text in texts:
-            group.append(text)
-            if len(group) == GROUP_TEXTS or sum(map(len, group[-8:])) > 500_000:
-                yield from self._group(group)
-                group = []
-        yield from self._group(group)
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        if self.kind == "dropped":
-            words = [t.replace("\n", " ").split(" ") for t in texts]
-            new = set().union(*words).difference(self.bare)
-            if new:
-                self._learn(set().union(*words) if len(self.bare) + len(new) > CACHE_WORDS else new, self.bare, "")
-            get = self.bare.__getitem__
-            return [b"".join(map(get, w)) for w in words]
-        if self.kind == "kept":
-            return self._kept(texts)
-        return [np.array(self._plain(t), "<u4").tobytes() for t in texts]
-
-    def _kept(self, texts: list[str]) -> list[bytes]:
-        """A blank goes with the word after it. Texts with two blanks in a row are cut only at spaces after a word."""
-        plan: list[tuple[bool, list]] = []
-        firsts: set[str] = set()
-        others: set[str] = set()
-        for t in texts:
-            if _TWO_BLANKS.search(t):
-                pieces = _SPACE_AFTER_WORD.split(t)
-                firsts.update(pieces)
-                plan.append((False, pieces))
-            else:
-                lines = [line.split(" ") for line in t.split("\n")]
-                for line in lines:
-                    firsts.add(line[0])
-                    others.update(line[1:])
-                plan.append((True, lines))
-        for seen, cache, lead in ((firsts, self.bare, ""), (others, self.spaced, " ")):
-            new = seen.difference(cache)
-            if new:
-                self._learn(seen if len(cache) + len(new) > CACHE_WORDS else new, cache, lead)
-        bare, spaced, line_end = self.bare.__getitem__, self.spaced.__getitem__, np.array([self.mark], "<u4").tobytes()
-        return [
-            line_end.join([bare(line[0]) + b"".join(map(spaced, line[1:])) for line in pieces]) if by_line else b"".join(map(bare, pieces))
-            for by_line, pieces in plan
-        ]
+        one = {"dropped": self._dropped, "kept": self._kept, "unknown": self._plain}[self.kind]
+        return map(one, texts)
+
+    def _dropped(self, text: str) -> bytes:
+        return b"".join(map(self.bare.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def _kept(self, text: str) -> bytes:
+        """A blank goes with the word after it. A text with two blanks in a row is cut only at spaces after a word."""
+        bare, spaced = self.bare.__getitem__, self.spaced.__getitem__
+        if _TWO_BLANKS.search(text):
+            return b"".join(map(bare, _SPACE_AFTER_WORD.split(text)))
+        lines = []
+        for line in text.split("\n"):
+            first, *others = line.split(" ")
+            lines.append(b"".join([bare(first), *map(spaced, others)]))
+        return bare("\n").join(lines)
 
 
 def encoder(path: str) -> Encoder:

@@ -67,7 +67,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -60, 60))))
 
 
-def train(x_p: np.ndarray, x_u: np.ndarray, prior: float, epochs: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def train(x_p: np.ndarray, x_u: np.ndarray, prior: float, epochs: int = 400, rate: float = 0.05, decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk with the logistic loss, by Adam over whole samples."""
     w, b = np.zeros(x_p.shape[1]), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
