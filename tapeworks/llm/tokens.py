@@ -12,8 +12,8 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 
-#: Words and cores (letters of a word) kept in a worker's caches; a full one starts anew. Some 200 MB.
-CACHE_WORDS, CACHE_CORES = 400_000, 700_000
+#: Words, and signs after words, kept in a worker's caches; a full one starts anew. Some 160 MB.
+CACHE_WORDS, CACHE_TAILS = 900_000, 20_000
 
 _END = struct.pack("<I", 0)
 _TWO_BLANKS = re.compile(r"\s\s")
@@ -39,16 +39,36 @@ def byte_letters() -> dict[int, str]:
 
 
 class Words(dict):
-    """Ids of words as bytes; a missing word is looked up and kept. ``lead`` is the blank before each word, or nothing."""
+    """Ids of words as bytes, found when first asked for. ``lead`` is the blank before each word, or nothing.
+
+    A word with signs after its letters is kept once its letters were known before, so that
+    words met once take one entry.
+    """
 
     def __init__(self, owner: Encoder, lead: str):
         self.owner, self.lead = owner, lead
 
-    def __missing__(self, word: str) -> bytes:
+    def keep(self, word: str, ids: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[word] = found = self.owner.word(word, self.lead)
-        return found
+        self[word] = ids
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        owner = self.owner
+        parts = _CORE.fullmatch(word) if owner.direct else None
+        if not parts:
+            return self.keep(word, owner.plain(self.lead + word))
+        core, tail = parts.groups()
+        if not (core.isascii() or (core.isalpha() and max(core) <= "\xff")):
+            return self.keep(word, owner.plain(self.lead + word))
+        if owner.lowers:
+            core = core.lower()
+        found = self.get(core)
+        if found is None:
+            found = self.keep(core, _pack([t.id for t in owner.merged(core, self.lead)]))
+            return found + owner.tail(tail) if tail else found
+        return self.keep(word, found + owner.tail(tail) if tail else found)
 
 
 class Encoder:
@@ -61,19 +81,18 @@ class Encoder:
         self.inner = Tokenizer.from_file(path)
         self.model = self.inner.model
         self.bare, self.spaced = Words(self, ""), Words(self, " ")
-        self.cores: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
         self.letters = byte_letters()
         self.kind = self._kind()
-        self.lowers = self._plain("AbÉ") == self._plain("abé")
+        self.lowers = self.plain("AbÉ") == self.plain("abé")
         self.direct = self.kind != "unknown" and all(
-            _pack([t.id for t in self._merged(p, lead)]) == self._plain(lead + p) and self._plain(f"{lead}{p},;") == self._plain(lead + p) + self._plain(",;")
+            _pack([t.id for t in self.merged(p.lower() if self.lowers else p, lead)]) == self.plain(lead + p) and self.plain(f"{lead}{p},;") == self.plain(lead + p) + self.plain(",;")
             for p in _PROBES for lead in (("", " ") if self.kind == "kept" else ("",))
         )
 
     def _kind(self) -> str:
         """How this tokenizer treats a blank between two words: dropped, kept before the next word, or unknown."""
-        ids = self._plain
+        ids = self.plain
         a, b = ids("ab"), ids("cd")
         if ids("ab cd") == ids("ab\ncd") == ids("ab \n  cd") == a + b:
             return "dropped"
@@ -81,40 +100,23 @@ class Encoder:
             return "kept"
         return "unknown"
 
-    def _plain(self, text: str) -> bytes:
+    def plain(self, text: str) -> bytes:
         return _pack(self.inner.encode(text, add_special_tokens=False).ids)
 
-    def _merged(self, core: str, lead: str) -> list:
+    def merged(self, core: str, lead: str) -> list:
         """The library's merges of one word of Latin-1 letters, written as the vocabulary writes bytes."""
-        if self.lowers:
-            core = core.lower()
         return self.model.tokenize(("Ġ" if lead else "") + (core if core.isascii() else core.translate(self.letters)))
 
-    def word(self, word: str, lead: str) -> bytes:
-        """Ids of ``lead + word``: those of its letters, then those of the signs after them; other words as a whole."""
-        parts = _CORE.fullmatch(word) if self.direct else None
-        if not parts:
-            return self._plain(lead + word)
-        core, tail = parts.groups()
-        if not (core.isascii() or (core.isalpha() and max(core) <= "\xff")):
-            return self._plain(lead + word)
-        key = lead + (core.lower() if self.lowers else core)
-        found = self.cores.get(key)
+    def tail(self, signs: str) -> bytes:
+        found = self.tails.get(signs)
         if found is None:
-            if len(self.cores) >= CACHE_CORES:
-                self.cores.clear()
-            self.cores[key] = found = _pack([t.id for t in self._merged(core, lead)])
-        if not tail:
-            return found
-        after = self.tails.get(tail)
-        if after is None:
-            if len(self.tails) >= CACHE_WORDS // 10:
+            if len(self.tails) >= CACHE_TAILS:
                 self.tails.clear()
-            self.tails[tail] = after = self._plain(tail)
-        return found + after
+            self.tails[signs] = found = self.plain(signs)
+        return found
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        one = {"dropped": self._dropped, "kept": self._kept, "unknown": self._plain}[self.kind]
+        one = {"dropped": self._dropped, "kept": self._kept, "unknown": self.plain}[self.kind]
         return map(one, texts)
 
     def _dropped(self, text: str) -> bytes:
