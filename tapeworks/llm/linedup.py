@@ -99,6 +99,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     gone = later_runs(docs, window).groupBy("doc_id", "key").agg(F.collect_set("first").alias(places))
     gone = cut(gone.select(F.col("doc_id").alias("gone_id_"), F.col("key").alias("gone_key_"), places))
     marked = docs.withColumn(key, _key(docs))
+    gone = gone.hint("merge")  # the same plan at every size
     joined = marked.join(gone, (marked[key] == gone["gone_key_"]) & marked["doc_id"].eqNullSafe(gone["gone_id_"]), "left").select(*docs.columns, places)
     at = docs.columns.index("text")
     out = T.StructType([*docs.schema.fields, T.StructField(n_lines, T.LongType()), T.StructField(n_removed, T.LongType())])

@@ -223,4 +223,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the smallest doc_id. Documents with a null id stay."""
     found = near_duplicates(docs.select("doc_id", "text"))
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)

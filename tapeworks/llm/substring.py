@@ -319,9 +319,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     width = shuffle_width(docs.sparkSession)
     revealed = cut(candidate_places(docs, width).groupBy("key").agg(F.first("places").alias("places")))
     texts = docs.select(_key(docs).alias("key"), F.col("text").cast("string").alias("text"))
-    candidates = cut(texts.join(revealed, "key"))
+    candidates = cut(texts.join(revealed.hint("merge"), "key"))  # the same plan at every size
     found = cut(repeated_windows(candidates, width).groupBy("key").agg(F.first("places").alias("places")))
-    return candidates.select("key", "text").dropDuplicates(["key"]).join(found, "key")
+    return candidates.select("key", "text").dropDuplicates(["key"]).join(found.hint("merge"), "key")
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -352,7 +352,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the words of repeated windows removed from ``text``, what is left joined by one blank; texts without repeats stay as they are."""
     key, places = fresh("key_", docs.columns), fresh("places_", docs.columns)
     found = cut(repeats(docs).select(F.col("key").alias(key), F.col("places").alias(places)))
-    joined = docs.withColumn(key, _key(docs)).join(found, key, "left").select(*docs.columns, places)
+    joined = docs.withColumn(key, _key(docs)).join(found.hint("merge"), key, "left").select(*docs.columns, places)
     at = docs.columns.index("text")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
