@@ -158,7 +158,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str | None = None) -> Sto
     path = path or shared_folder(spark)
     width = shuffle_width(spark)
     dealt = _parts(docs, tokenizer).repartition(width, "kind", "route").mapInArrow(_once, _PART_DDL)
-    dealt.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/parts")
+    dealt.write.partitionBy("kind").option("compression", "snappy").parquet(f"{path}/parts")
     recipe = "doc_id bigint, n int, hashes binary, lengths binary, root binary, kind string"
     recipes = spark.read.schema(recipe).parquet(f"{path}/parts").filter("kind = 'recipe'").drop("kind")
     ranged = recipes.repartitionByRange(width, F.col("doc_id").asc_nulls_first(), "root").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")

@@ -48,27 +48,28 @@ class Words(dict):
     def __init__(self, owner: Encoder, lead: str):
         self.owner, self.lead = owner, lead
 
-    def keep(self, word: str, ids: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
-
     def __missing__(self, word: str) -> bytes:
         owner = self.owner
-        parts = _CORE.fullmatch(word) if owner.direct else None
-        if not parts:
-            return self.keep(word, owner.plain(self.lead + word))
-        core, tail = parts.groups()
-        if not (core.isascii() or (core.isalpha() and max(core) <= "\xff")):
-            return self.keep(word, owner.plain(self.lead + word))
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        core, tail = word, None
+        if not word.isalpha():
+            parts = _CORE.fullmatch(word)
+            if parts:
+                core, tail = parts.groups()
+        if not owner.direct or not core.isalpha() or not (core.isascii() or max(core) <= "\xff"):
+            self[word] = found = owner.plain(self.lead + word)
+            return found
         if owner.lowers:
             core = core.lower()
         found = self.get(core)
         if found is None:
-            found = self.keep(core, _pack([t.id for t in owner.merged(core, self.lead)]))
+            self[core] = found = owner.merged(core, self.lead)
             return found + owner.tail(tail) if tail else found
-        return self.keep(word, found + owner.tail(tail) if tail else found)
+        if tail:
+            found += owner.tail(tail)
+        self[word] = found
+        return found
 
 
 class Encoder:
@@ -79,14 +80,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
-        self.model = self.inner.model
+        self.tokenize = self.inner.model.tokenize
         self.bare, self.spaced = Words(self, ""), Words(self, " ")
         self.tails: dict[str, bytes] = {}
         self.letters = byte_letters()
+        self.packed = [struct.pack("<I", i) for i in range(self.inner.get_vocab_size())]
         self.kind = self._kind()
         self.lowers = self.plain("AbÉ") == self.plain("abé")
         self.direct = self.kind != "unknown" and all(
-            _pack([t.id for t in self.merged(p.lower() if self.lowers else p, lead)]) == self.plain(lead + p) and self.plain(f"{lead}{p},;") == self.plain(lead + p) + self.plain(",;")
+            self.merged(p.lower() if self.lowers else p, lead) == self.plain(lead + p) and self.plain(f"{lead}{p},;") == self.plain(lead + p) + self.plain(",;")
             for p in _PROBES for lead in (("", " ") if self.kind == "kept" else ("",))
         )
 
@@ -103,9 +105,12 @@ class Encoder:
     def plain(self, text: str) -> bytes:
         return _pack(self.inner.encode(text, add_special_tokens=False).ids)
 
-    def merged(self, core: str, lead: str) -> list:
+    def merged(self, core: str, lead: str) -> bytes:
         """The library's merges of one word of Latin-1 letters, written as the vocabulary writes bytes."""
-        return self.model.tokenize(("Ġ" if lead else "") + (core if core.isascii() else core.translate(self.letters)))
+        if not core.isascii():
+            core = core.translate(self.letters)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize("Ġ" + core if lead else core)])
 
     def tail(self, signs: str) -> bytes:
         found = self.tails.get(signs)
