@@ -42,7 +42,7 @@ class Store:
 
     @property
     def chunks(self) -> DataFrame:
-        return self.spark.read.schema("hash binary, n int, width int, payload binary").parquet(f"{self.path}/parts/kind=chunk")
+        return self.spark.read.schema("hash binary, n int, width int, payload binary, kind string").parquet(f"{self.path}/parts").filter("kind = 'chunk'").drop("kind")
 
     @property
     def recipes(self) -> DataFrame:

@@ -12,8 +12,10 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 
-#: Words, and signs after words, kept in a worker's caches; a full one starts anew. Some 160 MB.
-CACHE_WORDS, CACHE_TAILS = 900_000, 20_000
+#: Words, and signs after words, kept in a worker's caches; a full one starts anew. Some 70 MB.
+CACHE_WORDS, CACHE_TAILS = 350_000, 10_000
+#: Places for marks of words that came once, a byte each.
+MARKS = 1 << 22
 
 _END = struct.pack("<I", 0)
 _TWO_BLANKS = re.compile(r"\s\s")
@@ -41,34 +43,44 @@ def byte_letters() -> dict[int, str]:
 class Words(dict):
     """Ids of words as bytes, found when first asked for. ``lead`` is the blank before each word, or nothing.
 
-    A word with signs after its letters is kept once its letters were known before, so that
-    words met once take one entry.
+    A word is kept from its second time on, so the many words that come once take no room. That it came before
+    is told by a mark at its hash; a wrong mark only keeps a word early.
     """
 
     def __init__(self, owner: Encoder, lead: str):
-        self.owner, self.lead = owner, lead
+        self.owner, self.lead, self.met = owner, lead, bytearray(MARKS)
 
-    def __missing__(self, word: str) -> bytes:
-        owner = self.owner
+    def keep(self, word: str, ids: bytes) -> None:
+        at = hash(word) % MARKS
+        if not self.met[at]:
+            self.met[at] = 1
+            return
         if len(self) >= CACHE_WORDS:
             self.clear()
+            self.met = bytearray(MARKS)
+        self[word] = ids
+
+    def __missing__(self, word: str) -> bytes:
+        owner = self.owner
         core, tail = word, None
         if not word.isalpha():
             parts = _CORE.fullmatch(word)
             if parts:
                 core, tail = parts.groups()
         if not owner.direct or not core.isalpha() or not (core.isascii() or max(core) <= "\xff"):
-            self[word] = found = owner.plain(self.lead + word)
+            found = owner.plain(self.lead + word)
+            self.keep(word, found)
             return found
         if owner.lowers:
             core = core.lower()
         found = self.get(core)
         if found is None:
-            self[core] = found = owner.merged(core, self.lead)
+            found = owner.merged(core, self.lead)
+            self.keep(core, found)
             return found + owner.tail(tail) if tail else found
         if tail:
             found += owner.tail(tail)
-        self[word] = found
+        self.keep(word, found)
         return found
 
 
