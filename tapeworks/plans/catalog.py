@@ -76,3 +76,4 @@ def query(name: str, covers: str, sql: str | None, doubles: dict[str, int] | lis
 
 from tapeworks.plans import queries as _queries  # noqa: E402, F401  (registers on import)
 from tapeworks.plans import queries_tables as _tables  # noqa: E402, F401
+from tapeworks.plans import queries_io as _io  # noqa: E402, F401
