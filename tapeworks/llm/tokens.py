@@ -21,6 +21,7 @@ _END = struct.pack("<I", 0)
 _TWO_BLANKS = re.compile(r"\s\s")
 _SPACE_AFTER_WORD = re.compile(r"(?<=\S)(?= )")
 _CORE = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+_SIGNS = (".", ",")
 _PROBES = ("ab", "Zebra", "été", "Straße", "ñandú", "Über", "ÉTÉ", "à")
 _loaded: dict[str, Encoder] = {}
 
@@ -62,12 +63,14 @@ class Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         owner = self.owner
-        core, tail = word, None
-        if not word.isalpha():
+        if word.isalpha():
+            core, tail = word, ""
+        elif word[-1:] in _SIGNS and word[:-1].isalpha():
+            core, tail = word[:-1], word[-1]
+        else:
             parts = _CORE.fullmatch(word)
-            if parts:
-                core, tail = parts.groups()
-        if not owner.direct or not core.isalpha() or not (core.isascii() or max(core) <= "\xff"):
+            core, tail = parts.groups() if parts and parts[1].isalpha() else ("", word)
+        if not core or not owner.direct or not (core.isascii() or max(core) <= "\xff"):
             found = owner.plain(self.lead + word)
             self.keep(word, found)
             return found
