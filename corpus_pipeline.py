@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontam, linedup, packing, simhash, toxicity
+from tapeworks.llm import decontam, jaccard, linedup, packing, simhash, toxicity
 from tapeworks.llm.common import cut, table
 from tapeworks.llm.queries import tokenizer_file
 
@@ -22,8 +22,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies: by SimHash, or by a similarity of 0.8 or more over five words."""
+    return simhash.keep_one(docs, jaccard.NEAR)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks.llm import jaccard
 from tapeworks.llm.common import cut, join_groups
 
 RADIUS, BITS, SHINGLE, SEED = 3, 64, 3, 42
@@ -203,15 +204,27 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def shingle_links(docs: DataFrame, near: float) -> DataFrame:
+    """Links a, b between the fingerprints of documents whose sets of five-word shingles have a Jaccard similarity of ``near`` or more."""
+    keyed = cut(fingerprints(docs.select(jaccard.row_key().alias("doc_id"), "text")).distinct())
+    found = cut(jaccard.links(docs, near).distinct())
+    ends = [keyed.select(F.col("doc_id").alias(end), F.col("fp").alias(f"fp_{end}")).hint("merge") for end in ("a", "b")]
+    return found.join(ends[0], "a").join(ends[1], "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).filter("a <> b").distinct()
+
+
+def near_duplicates(docs: DataFrame, near: float | None = None) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links, itself included).
 
     Null and empty texts have fingerprint zero and are linked with each other. Repeated rows
     give repeated result rows. A null doc_id is reachable but never names a component unless it is alone.
+    With ``near``, texts of that Jaccard similarity over five words are linked too, however far their fingerprints are.
     """
     rows = cut(fingerprints(docs))
     classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("size")))
-    nodes = cut(components(links(classes.select("fp"))))
+    linked_ones = links(classes.select("fp"))
+    if near is not None:
+        linked_ones = linked_ones.union(shingle_links(docs, near))
+    nodes = cut(components(linked_ones))
     linked_classes = classes.join(nodes, classes["fp"] == nodes["node"], "left").select("fp", "first", "size", F.coalesce("root", "fp").alias("root"))
     named = linked_classes.groupBy("root").agg(F.min("first").alias("component_id"))
     whole = cut(linked_classes.join(named, "root").select("fp", "size", "component_id"))
@@ -219,8 +232,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, near: float | None = None) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the smallest doc_id. Documents with a null id stay."""
-    found = near_duplicates(docs.select("doc_id", "text"))
+    found = near_duplicates(docs.select("doc_id", "text"), near)
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)

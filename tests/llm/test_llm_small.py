@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontam, exactdup, linedup, packing, secretscan, simhash, store, substring, tokens, toxicity, urlfilter
+from tapeworks.llm import decontam, exactdup, jaccard, linedup, packing, secretscan, simhash, store, substring, tokens, toxicity, urlfilter
 from tapeworks.llm.queries import tokenizer_file
 
 WORDS = [a + b for a in ("tha", "ning", "er", "ou", "blé", "ü") for b in ("on", "sh", "re", "ti", "wh", "ñ")]
@@ -368,6 +368,58 @@ def test_simhash_is_brute_force(docs, monkeypatch):
     assert simhash.near_duplicates(docs(rows).limit(0)).count() == 0
 
 
+def brute_jaccard(a, b, k=5):
+    sets = []
+    for t in (a, b):
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def edited(rng, words, n):
+    """``words`` with ``n`` of them replaced."""
+    out = list(words)
+    for i in rng.sample(range(len(out)), n):
+        out[i] = f"new{rng.randrange(10**9)}"
+    return out
+
+
+def test_near_copies_over_five_words_go(docs, monkeypatch):
+    """All pairs of 0.8 or more are linked, also through third documents and in buckets dealt in blocks; what is less alike stays."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(60):
+        base = text(rng, rng.randrange(150, 400)).split()
+        rows += [(10 * i, " ".join(base)), (10 * i + 1, " ".join(edited(rng, base, len(base) // 50))), (10 * i + 2, " ".join(edited(rng, base, len(base) // 12)))]
+        if i < 9:
+            again = edited(rng, rows[-2][1].split(), len(base) // 50)
+            rows.append((10 * i + 3, " ".join(again)))
+    rows += [(5000, "One two"), (5001, "one  TWO"), (5002, "one three"), (5003, None), (5004, " "), (None, rows[0][1])]
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    plain = [(i, t) for i, t in rows if i is not None and (t or "").strip()]
+    pairs = [(i, j) for (i, a), (j, b) in itertools.combinations(plain, 2) if brute_jaccard(a, b) >= 0.8]
+    for i, j in [*pairs, (5003, 5004)]:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    want = {i for i, _ in rows if i is None or find(i) == i}
+    by_simhash = {r["doc_id"] for r in simhash.keep_one(docs(rows)).collect()}
+    assert len(by_simhash - want) > 20
+    assert {r["doc_id"] for r in simhash.keep_one(docs(rows), 0.8).collect()} == want & by_simhash
+    assert simhash.keep_one(docs(rows).limit(0), 0.8).count() == 0
+
+    members = [(k, 300) for k in range(10)]
+    monkeypatch.setattr(jaccard, "BLOCK", 1000)
+    groups = {}
+    for g, cls in jaccard.deal(members):
+        groups.setdefault(g, []).append(cls)
+    met = {p for c in groups.values() for p in itertools.combinations(sorted(c), 2)}
+    assert met == set(itertools.combinations(range(10), 2)) and max(map(len, groups.values())) == 6
+
+
 def test_large_buckets_are_dealt_again(monkeypatch):
     """In one process: runs over the limit leave their fingerprints for finer masks, in order and in pieces."""
     monkeypatch.setattr(simhash, "BUCKET", 8)
