@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeworks.operators import bars
+from tapeworks.plans import catalog
 from tapeworks.sources import readers, schemas, sinks
 from tapeworks.streaming import jobs
 
@@ -154,3 +155,11 @@ def test_streamed_upsert_and_dimension(spark, tmp_path):
     dim = spark.createDataFrame([("A", "Tech")], "ticker string, sector string")
     got = run(jobs.with_dimension(s, dim), "with_dim", "append").collect()
     assert sorted((r["ticker"], r["sector"] or "") for r in got) == [("A", "Tech"), ("A", "Tech"), ("B", "")]
+
+
+def test_a_file_with_another_type_is_a_difference(spark, tmp_path):
+    rows = spark.range(3).select("id", F.col("id").cast("int").alias("value"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    assert catalog.QUERIES["schema_consistency"](spark, str(tmp_path)).collect() == [(0,)]
+    rows.withColumn("value", F.col("value").cast("string")).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert catalog.QUERIES["schema_consistency"](spark, str(tmp_path)).collect() == [(2,)]
