@@ -175,14 +175,28 @@ def write_store(docs: DataFrame, tokenizer: str, path: str | None = None) -> Sto
     final = shards.join(F.broadcast(starts), "shard").withColumn("start", F.col("before") + within).drop("before")
     final.write.option("compression", "zstd").parquet(f"{path}/recipes")
 
+    store = Store(spark, path)
+    _sealed(store.recipes).write.parquet(f"{path}/manifest")
+    return store
+
+
+def _sealed(recipes: DataFrame) -> DataFrame:
+    """shard, documents, ids, root of each shard, from its recipes."""
+
     def seal(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("place")
         return pd.DataFrame([(int(pdf.shard.iloc[0]), len(pdf), int(pdf.n_tokens.sum()), merkle(list(pdf.root)))], columns=["shard", "documents", "ids", "root"])
 
-    store = Store(spark, path)
-    sealed = store.recipes.select("shard", "place", "n_tokens", "root").groupBy("shard").applyInPandas(seal, "shard int, documents bigint, ids bigint, root binary")
-    sealed.write.parquet(f"{path}/manifest")
-    return store
+    return recipes.select("shard", "place", "n_tokens", "root").groupBy("shard").applyInPandas(seal, "shard int, documents bigint, ids bigint, root binary")
+
+
+def check_manifest(store: Store) -> None:
+    """Raise where a shard's documents, ids or Merkle root aren't those of its manifest row, or one of the two is lost."""
+    there = _sealed(store.recipes).select("shard", F.struct("documents", "ids", "root").alias("there"))
+    stated = store.manifest.select("shard", F.struct("documents", "ids", "root").alias("stated"))
+    wrong = there.join(stated, "shard", "full").filter(~F.col("there").eqNullSafe(F.col("stated"))).select("shard").first()
+    if wrong:
+        raise ValueError(f"shard {wrong['shard']} doesn't fit the manifest")
 
 
 def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -224,6 +238,10 @@ def joined_crc(crcs: list[np.ndarray], lengths: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def chunk_hash(payload: bytes, width: int) -> bytes:
+    return hashlib.blake2b(payload, digest_size=16, person=b"u4" if width == 4 else b"u2").digest()
+
+
 def checked_chunks(store: Store) -> DataFrame:
     """hash, n, crc of each stored chunk, from its payload; raises where a payload isn't what its hash says."""
     schema = pa.schema([("hash", pa.binary()), ("n", pa.int64()), ("crc", pa.int64())])
@@ -232,7 +250,7 @@ def checked_chunks(store: Store) -> DataFrame:
         for batch in batches:
             names, crcs, sizes = batch.column(0), [], []
             for h, width, payload in zip(names.to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if hashlib.blake2b(payload, digest_size=16, person=b"u4" if width == 4 else b"u2").digest() != h:
+                if chunk_hash(payload, width) != h:
                     raise ValueError(f"chunk {h.hex()} is damaged")
                 ids = np.frombuffer(payload, f"<u{width}")
                 crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
@@ -252,8 +270,9 @@ def document_digests(store: Store) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, read back from the store and verified.
 
     Payloads are read where they lie; only their lengths and checksums meet the recipes, and a document's
-    checksum follows from its chunks'. Raises where a chunk is missing or a length or root doesn't fit.
+    checksum follows from its chunks'. Raises where a chunk is missing or a length, a root or the manifest doesn't fit.
     """
+    check_manifest(store)
     found = _steps(store).join(checked_chunks(store), "hash", "left")
     per_doc = found.groupBy("shard", "place").agg(F.array_sort(F.collect_list(F.struct("seq", "n", "crc"))).alias("steps"))
     whole = store.recipes.join(per_doc, ["shard", "place"]).select("doc_id", "start", "n_tokens", "hashes", "root", F.col("steps.n").alias("n"), F.col("steps.crc").alias("crc"))
@@ -275,15 +294,28 @@ def document_digests(store: Store) -> DataFrame:
 
 
 def read_documents(store: Store) -> DataFrame:
-    """doc_id, start, ids (array) of each document, rebuilt from the chunks' payloads."""
-    found = _steps(store).join(store.chunks.select("hash", "width", "payload"), "hash")
+    """doc_id, start, ids (array) of each document, rebuilt from the chunks' payloads and verified as in ``document_digests``."""
+    check_manifest(store)
+    found = _steps(store).join(store.chunks.select("hash", "width", "payload"), "hash", "left")
     per_doc = found.groupBy("shard", "place").agg(F.array_sort(F.collect_list(F.struct("seq", "width", "payload"))).alias("steps"))
-    whole = store.recipes.join(per_doc, ["shard", "place"]).select("doc_id", "start", "steps")
+    whole = store.recipes.join(per_doc, ["shard", "place"]).select("doc_id", "start", "steps", "n_tokens", "hashes", "root")
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int64()))])
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.concatenate([np.frombuffer(s["payload"], f"<u{s['width']}").astype(np.int64) for s in steps]) for steps in batch.column(2).to_pylist()]
+            ids = []
+            for steps, n, raw, top in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                names = [raw[i : i + 16] for i in range(0, len(raw), 16)]
+                if merkle(names) != top:
+                    raise ValueError("a recipe doesn't fit its root")
+                for name, s in zip(names, steps, strict=True):
+                    if s["payload"] is None:
+                        raise ValueError(f"chunk {name.hex()} is missing")
+                    if chunk_hash(s["payload"], s["width"]) != name:
+                        raise ValueError(f"chunk {name.hex()} is damaged")
+                ids.append(np.concatenate([np.frombuffer(s["payload"], f"<u{s['width']}").astype(np.int64) for s in steps]))
+                if len(ids[-1]) != n:
+                    raise ValueError("a recipe's length is wrong")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int64()))], schema=schema)
 
     return whole.mapInArrow(rebuild, "doc_id bigint, start bigint, ids array<bigint>")

@@ -459,6 +459,18 @@ def test_damaged_chunks_are_noticed(spark, docs):
         store.document_digests(broken).collect()
 
 
+def test_lost_recipes_and_chunks_are_noticed(spark, docs):
+    s = store.write_store(docs([(i, f"some words here {i}") for i in range(9)]), tokenizer_file("byte_bpe_50k.json"))
+    fewer = s.recipes.filter("doc_id <> 4")
+    none = s.chunks.filter(F.col("hash") != s.chunks.orderBy("hash").first()["hash"])
+    damaged = s.chunks.withColumn("payload", F.unhex(F.lit("0000")))
+    for part, frame, says in (("recipes", fewer, "manifest"), ("recipes", fewer.limit(0), "manifest"), ("chunks", none, "missing"), ("chunks", damaged, "damaged")):
+        broken = type("Broken", (store.Store,), {part: property(lambda self, frame=frame: frame)})(spark, s.path)
+        for read in (store.read_documents, store.document_digests):
+            with pytest.raises(Exception, match=says):
+                read(broken).collect()
+
+
 def test_chunks_fall_into_step():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 50_000, 30_000).astype(np.uint32)
