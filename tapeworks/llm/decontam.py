@@ -2,8 +2,8 @@
 
 The automaton of all items' words is built once per block of items and shipped to
 the tasks; documents stream through it and each word gets the length of the longest
-item passage that ends there. A block has a bounded number of words, so what is
-broadcast is bounded; a larger benchmark takes more blocks, each read against all documents.
+item passage that ends there. A block has a bounded number of words, but all blocks pass
+through the driver and are shipped to each worker: what is shipped grows with the benchmark.
 """
 
 from __future__ import annotations
