@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeworks.llm.common import cut, shuffle_width
-from tapeworks.llm.tokens import encoder, with_end
+from tapeworks.llm.tokens import encoded
 
 CAPACITY = 2048
 
@@ -36,16 +36,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
     schema = _PIECES.append(pa.field("ids", pa.binary())) if with_ids else _PIECES
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(tokenizer)
-        size = 4 * capacity
         for batch in batches:
-            ids = batch.column(0).to_pylist()
             rows: list[tuple] = []
-            for doc_id, found in zip(ids, known.encode(t or "" for t in batch.column(1).to_pylist()), strict=True):
-                whole = with_end(found)
-                for piece, at in enumerate(range(0, len(whole), size)):
-                    part = whole[at : at + size]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part)[: len(schema)])
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(tokenizer, batch.column(1)), strict=True):
+                for piece, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at : at + capacity]
+                    rows.append((doc_id, piece, at, len(part), zlib.crc32(part), part.tobytes() if with_ids else b"")[: len(schema)])
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 

@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import shared_folder, shuffle_width
-from tapeworks.llm.tokens import encoder, with_end
+from tapeworks.llm.tokens import encoder
 
 #: Ids that the rolling hash sees (a power of two), and bounds and mean of a chunk's length.
 REACH, SHORTEST, MEAN, LONGEST = 32, 256, 1024, 4096
 #: Chunk hashes that a task remembers so as to send a chunk's payload once.
 SEEN = 200_000
+BATCH_BYTES = 8 << 20
 
 _POLY = 0xEDB88320
 
@@ -66,17 +67,18 @@ def _gear(ids: np.ndarray) -> np.ndarray:
         return (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
 
 
-def chunk_ends(ids: np.ndarray) -> list[int]:
-    """Where chunks end. A place depends on the ids before it since the last cut only, so equal runs fall into step."""
-    n = len(ids)
-    if n <= SHORTEST:
-        return [n]
-    marks = np.flatnonzero(_gear(ids) >> np.uint64(32) < np.uint64((1 << 32) // (MEAN - SHORTEST))) + 1
-    ends, at, i, marks_ = [], 0, 0, marks.tolist()
+def marks(ids: np.ndarray) -> np.ndarray:
+    """Places after which a chunk may end. The first SHORTEST ids of a document never count, so documents may follow each other in ``ids``."""
+    return np.flatnonzero(_gear(ids) >> np.uint64(32) < np.uint64((1 << 32) // (MEAN - SHORTEST))) + 1
+
+
+def chunk_ends(n: int, marks: list[int]) -> list[int]:
+    """Where chunks of ``n`` ids end. A place depends on the ids before it since the last cut only, so equal runs fall into step."""
+    ends, at, i = [], 0, 0
     while n - at > SHORTEST:
-        while i < len(marks_) and marks_[i] < at + SHORTEST:
+        while i < len(marks) and marks[i] < at + SHORTEST:
             i += 1
-        at = min(marks_[i] if i < len(marks_) else n, at + LONGEST, n)
+        at = min(marks[i] if i < len(marks) else n, at + LONGEST, n)
         ends.append(at)
     if at < n:
         ends.append(n)
@@ -100,51 +102,67 @@ def _parts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """One recipe per document, and each chunk of a task once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(tokenizer)
         seen: set[bytes] = set()
         for batch in batches:
-            rows: list[tuple] = []
-            size = 0
-            for doc_id, found in zip(batch.column(0).to_pylist(), known.encode(t or "" for t in batch.column(1).to_pylist()), strict=True):
-                raw = with_end(found)
-                ids = np.frombuffer(raw, "<u4")
-                narrow = ids.astype("<u2") if int(ids.max()) < 1 << 16 else None
-                hashes, lengths, at = [], [], 0
-                for end in chunk_ends(ids):
-                    payload = (ids if narrow is None else narrow)[at:end].tobytes()
-                    h = hashlib.blake2b(payload, digest_size=16, person=b"u4" if narrow is None else b"u2").digest()
-                    if h not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(h)
-                        rows.append(("chunk", int.from_bytes(h[:8], "little", signed=True), None, end - at, None, None, None, h, 4 if narrow is None else 2, payload))
-                        size += len(payload)
-                    hashes.append(h)
-                    lengths.append(end - at)
-                    at = end
-                rows.append(("recipe", doc_id or 0, doc_id, len(ids), b"".join(hashes), np.array(lengths, "<u4").tobytes(), merkle(hashes), None, None, None))
-                if size > 8 << 20:
-                    yield _batch(rows)
-                    rows, size = [], 0
-            if rows:
-                yield _batch(rows)
+            doc_ids = iter(batch.column(0).to_pylist())
+            for ids, at in encoder(tokenizer).encode(batch.column(1)):
+                yield from _batches(_rows(ids, at, doc_ids, seen))
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, _PART_DDL)
 
 
+def _rows(ids: np.ndarray, at: np.ndarray, doc_ids: Iterator[int | None], seen: set[bytes]) -> Iterator[tuple]:
+    """Of documents that follow each other in ``ids`` and begin at ``at``: each one's recipe, and the chunks that weren't seen."""
+    wide = np.maximum.reduceat(ids, at[:-1]) >= 1 << 16
+    narrow = memoryview(ids.astype("<u2")).cast("B")
+    full = memoryview(np.ascontiguousarray(ids)).cast("B")
+    places = marks(ids)
+    cuts = np.searchsorted(places, at, side="right").tolist()
+    bounds, places = at.tolist(), places.tolist()
+    for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        raw, width, person = (full, 4, b"u4") if wide[k] else (narrow, 2, b"u2")
+        hashes, lengths, begin = [], [], a
+        for end in chunk_ends(b - a, [x - a for x in places[cuts[k] : cuts[k + 1]]]):
+            payload = raw[begin * width : (a + end) * width]
+            h = hashlib.blake2b(payload, digest_size=16, person=person).digest()
+            if h not in seen:
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(h)
+                yield "chunk", int.from_bytes(h[:8], "little", signed=True), None, a + end - begin, None, None, None, h, width, bytes(payload)
+            hashes.append(h)
+            lengths.append(a + end - begin)
+            begin = a + end
+        root = merkle(hashes)
+        yield "recipe", int.from_bytes(root[:8], "little", signed=True), next(doc_ids), b - a, b"".join(hashes), np.array(lengths, "<u4").tobytes(), root, None, None, None
+
+
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Some BATCH_BYTES of payload at a time."""
+    some: list[tuple] = []
+    size = 0
+    for row in rows:
+        some.append(row)
+        size += len(row[-1] or row[4])
+        if size > BATCH_BYTES:
+            yield _batch(some)
+            some, size = [], 0
+    if some:
+        yield _batch(some)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PART, strict=True)], schema=_PART)
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop chunks that this partition has had. All of a hash come to one partition; a task sends few of each."""
-    seen: set[bytes] = set()
+    """Of rows in order of their hash, drop chunks that equal the one before; recipes, which have none, pass."""
+    last = None
     for batch in batches:
         keep = []
-        for kind, h in zip(batch.column(0).to_pylist(), batch.column(7).to_pylist(), strict=True):
-            keep.append(kind != "chunk" or h not in seen)
-            if kind == "chunk":
-                seen.add(h)
+        for h in batch.column(7).to_pylist():
+            keep.append(h is None or h != last)
+            last = h
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
@@ -157,7 +175,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str | None = None) -> Sto
     spark = docs.sparkSession
     path = path or shared_folder(spark)
     width = shuffle_width(spark)
-    dealt = _parts(docs, tokenizer).repartition(width, "kind", "route").mapInArrow(_once, _PART_DDL)
+    dealt = _parts(docs, tokenizer).repartition(width, "kind", "route").sortWithinPartitions("hash").mapInArrow(_once, _PART_DDL)
     dealt.write.partitionBy("kind").option("compression", "snappy").parquet(f"{path}/parts")
     recipe = "doc_id bigint, n int, hashes binary, lengths binary, root binary, kind string"
     recipes = spark.read.schema(recipe).parquet(f"{path}/parts").filter("kind = 'recipe'").drop("kind")

@@ -1,8 +1,9 @@
-"""Token ids of whole texts with the tokenizers library, word caches in front.
+"""Token ids of whole texts with the tokenizers library, each distinct word of a batch asked for once.
 
 Both supported kinds of vocabulary cut a text at white space and between letters and
-signs before merging, so a word's ids don't depend on its neighbours. Each worker keeps the ids of
-the words that it has met, and of their letters without the signs after them, and asks the library for new ones only.
+signs before merging, so a word's ids don't depend on its neighbours. A batch of texts is split into words
+by Arrow, its distinct words get their ids from a cache or the library, and the texts' ids are
+gathered from these. Each worker keeps the ids of words that it has met more than once.
 """
 
 from __future__ import annotations
@@ -10,18 +11,26 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words, and signs after words, kept in a worker's caches; a full one starts anew. Some 70 MB.
 CACHE_WORDS, CACHE_TAILS = 350_000, 10_000
+#: Longer words aren't kept.
+CACHE_LETTERS = 64
 #: Places for marks of words that came once, a byte each.
 MARKS = 1 << 22
+#: Bytes of the texts that are split together; a longer text is split alone.
+GROUP_BYTES = 8 << 20
 
 _END = struct.pack("<I", 0)
-_TWO_BLANKS = re.compile(r"\s\s")
+_BLANK = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 _SPACE_AFTER_WORD = re.compile(r"(?<=\S)(?= )")
-_CORE = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
-_SIGNS = (".", ",")
+#: A word of Latin-1 letters and the ASCII signs after it.
+_CORE = r"^(?P<core>[A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 _PROBES = ("ab", "Zebra", "été", "Straße", "ñandú", "Über", "ÉTÉ", "à")
 _loaded: dict[str, Encoder] = {}
 
@@ -41,54 +50,48 @@ def byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
 
 
-class Words(dict):
-    """Ids of words as bytes, found when first asked for. ``lead`` is the blank before each word, or nothing.
+class Words:
+    """Ids of words as bytes. ``lead`` is the blank before each word, or nothing.
 
-    A word is kept from its second time on, so the many words that come once take no room. That it came before
-    is told by a mark at its hash; a wrong mark only keeps a word early.
+    A word is kept if it comes often in a batch, or from its second batch on, so the many words that come once take
+    no room. That it came before is told by a mark at its hash; a wrong mark only keeps a word early. A full
+    cache becomes the old one, whose words move to the new one when they come again.
     """
 
-    def __init__(self, owner: Encoder, lead: str):
-        self.owner, self.lead, self.met = owner, lead, bytearray(MARKS)
-
-    def keep(self, word: str, ids: bytes) -> None:
-        at = hash(word) % MARKS
-        if not self.met[at]:
-            self.met[at] = 1
-            return
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-            self.met = bytearray(MARKS)
-        self[word] = ids
-
-    def __missing__(self, word: str) -> bytes:
-        owner = self.owner
-        if word.isalpha():
-            core, tail = word, ""
-        elif word[-1:] in _SIGNS and word[:-1].isalpha():
-            core, tail = word[:-1], word[-1]
-        else:
-            parts = _CORE.fullmatch(word)
-            core, tail = parts.groups() if parts and parts[1].isalpha() else ("", word)
-        if not core or not owner.direct or not (core.isascii() or max(core) <= "\xff"):
-            found = owner.plain(self.lead + word)
-            self.keep(word, found)
-            return found
-        if owner.lowers:
-            core = core.lower()
-        found = self.get(core)
-        if found is None:
-            found = owner.merged(core, self.lead)
-            self.keep(core, found)
-            return found + owner.tail(tail) if tail else found
-        if tail:
-            found += owner.tail(tail)
-        self.keep(word, found)
-        return found
+    def __init__(self, lead: str):
+        self.lead, self.new, self.old, self.met = lead, {}, {}, bytearray(MARKS)
+
+    def look(self, words: list[str], often: np.ndarray, find: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The ids of each of some distinct words; ``find`` gives those of words that aren't kept."""
+        out = list(map(self.new.get, words))
+        unknown = []
+        for i in [i for i, x in enumerate(out) if x is None]:
+            ids = self.old.get(words[i])
+            if ids is None:
+                unknown.append(i)
+            else:
+                out[i] = ids
+                self._keep(words[i], ids)
+        met, often = self.met, often.tolist()
+        for i, ids in zip(unknown, find([words[i] for i in unknown]), strict=True):
+            out[i] = ids
+            word = words[i]
+            at = hash(word) % MARKS
+            if often[i] or met[at]:
+                if len(word) <= CACHE_LETTERS:
+                    self._keep(word, ids)
+            else:
+                met[at] = 1
+        return out
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(self.new) >= CACHE_WORDS // 2:
+            self.old, self.new, self.met[:] = self.new, {}, bytes(MARKS)
+        self.new[word] = ids
 
 
 class Encoder:
-    """``encode(texts)`` yields each text's ids as little-endian unsigned 32-bit bytes."""
+    """``encode`` gives the ids of a batch of texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -96,14 +99,15 @@ class Encoder:
 
         self.inner = Tokenizer.from_file(path)
         self.tokenize = self.inner.model.tokenize
-        self.bare, self.spaced = Words(self, ""), Words(self, " ")
+        self.bare, self.spaced = Words(""), Words(" ")
         self.tails: dict[str, bytes] = {}
         self.letters = byte_letters()
         self.packed = [struct.pack("<I", i) for i in range(self.inner.get_vocab_size())]
+        self.line = self.plain("\n")
         self.kind = self._kind()
         self.lowers = self.plain("AbÉ") == self.plain("abé")
         self.direct = self.kind != "unknown" and all(
-            self.merged(p.lower() if self.lowers else p, lead) == self.plain(lead + p) and self.plain(f"{lead}{p},;") == self.plain(lead + p) + self.plain(",;")
+            self.merged([p.lower() if self.lowers else p], lead) == [self.plain(lead + p)] and self.plain(f"{lead}{p},;") == self.plain(lead + p) + self.plain(",;")
             for p in _PROBES for lead in (("", " ") if self.kind == "kept" else ("",))
         )
 
@@ -120,12 +124,11 @@ class Encoder:
     def plain(self, text: str) -> bytes:
         return _pack(self.inner.encode(text, add_special_tokens=False).ids)
 
-    def merged(self, core: str, lead: str) -> bytes:
-        """The library's merges of one word of Latin-1 letters, written as the vocabulary writes bytes."""
-        if not core.isascii():
-            core = core.translate(self.letters)
-        packed = self.packed
-        return b"".join([packed[t.id] for t in self.tokenize("Ġ" + core if lead else core)])
+    def merged(self, cores: list[str], lead: str) -> list[bytes]:
+        """The library's merges of words of Latin-1 letters, written as the vocabulary writes bytes."""
+        before, letters, packed = "Ġ" if lead else "", self.letters, self.packed
+        written = [before + (c if c.isascii() else c.translate(letters)) for c in cores]
+        return [b"".join([packed[t.id] for t in found]) for found in map(self.tokenize, written)]
 
     def tail(self, signs: str) -> bytes:
         found = self.tails.get(signs)
@@ -135,23 +138,94 @@ class Encoder:
             self.tails[signs] = found = self.plain(signs)
         return found
 
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        one = {"dropped": self._dropped, "kept": self._kept, "unknown": self.plain}[self.kind]
-        return map(one, texts)
-
-    def _dropped(self, text: str) -> bytes:
-        return b"".join(map(self.bare.__getitem__, text.replace("\n", " ").split(" ")))
-
-    def _kept(self, text: str) -> bytes:
-        """A blank goes with the word after it. A text with two blanks in a row is cut only at spaces after a word."""
-        bare, spaced = self.bare.__getitem__, self.spaced.__getitem__
-        if _TWO_BLANKS.search(text):
-            return b"".join(map(bare, _SPACE_AFTER_WORD.split(text)))
-        lines = []
-        for line in text.split("\n"):
-            first, *others = line.split(" ")
-            lines.append(b"".join([bare(first), *map(spaced, others)]))
-        return bare("\n").join(lines)
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For some texts at a time, in order: all their ids (unsigned 32-bit), each text's followed by id 0, and the places where texts begin, with the end."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        group = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield self._group(texts.slice(a, b - a))
+
+    def _ids(self, words: pa.Array, times: np.ndarray, known: Words) -> pa.Array:
+        """The ids of each distinct word, which came ``times`` times, after the blank of ``known``."""
+        if not self.direct:
+            return self._table(words, times, known, lambda w: [self.plain(known.lead + x) for x in w])
+        parts = pc.extract_regex(words, pattern=_CORE)
+        core, tail = parts.field(0), parts.field(1)
+        coded = (pc.utf8_lower(core) if self.lowers else core).dictionary_encode()
+        tails = tail.dictionary_encode()
+        other = parts.is_null()
+        plain = pc.filter(words, other)
+        at = coded.indices.fill_null(len(coded.dictionary)).to_numpy()
+        often = np.bincount(at, times, len(coded.dictionary))[: len(coded.dictionary)]
+        letters = self._table(coded.dictionary, often, known, lambda c: self.merged(c, known.lead))
+        signs = pa.array([self.tail(x) for x in tails.dictionary.to_pylist()], pa.large_binary())
+        whole = pc.binary_join_element_wise(letters.take(coded.indices), signs.take(tails.indices), pa.scalar(b"", pa.large_binary()))
+        rest = self._table(plain, times[other.to_numpy(zero_copy_only=False)], known, lambda w: [self.plain(known.lead + x) for x in w])
+        return pc.replace_with_mask(whole, other, rest)
+
+    def _table(self, words: pa.Array, times: np.ndarray, known: Words, find: Callable[[list[str]], list[bytes]]) -> pa.Array:
+        return pa.array(known.look(words.to_numpy(zero_copy_only=False).tolist(), times > 1, find), pa.large_binary())
+
+    def _group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        known, whole = self.bare, np.zeros(len(texts), bool)
+        if self.kind == "dropped":
+            cut = pc.replace_substring(texts, "\n", " ")
+        else:  # two blanks in a row have rules of their own
+            known = self.spaced
+            whole = pc.match_substring_regex(texts, _BLANK + _BLANK).to_numpy(zero_copy_only=False) | (self.kind == "unknown")
+            cut = pc.replace_substring(pc.if_else(pa.array(whole), "", texts), "\n", " \n ")
+        alone = np.flatnonzero(whole)
+        split = pc.split_pattern(cut, " ")
+        starts = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        distinct, codes = coded.dictionary, coded.indices.to_numpy().copy()
+        tables = [self._whole(texts.take(pa.array(alone)).to_pylist()), [_END, self.line]]
+        bare = pa.array([], pa.large_binary())
+        first_own = len(distinct)
+        if known is self.spaced:  # a line's first word has no blank before it
+            line = pc.index(distinct, pa.scalar("\n", distinct.type)).as_py()
+            breaks = np.flatnonzero(codes == line) if line >= 0 else np.zeros(0, np.int64)
+            at = np.concatenate([starts[:-1], breaks + 1])
+            firsts, places, times = np.unique(codes[at], return_inverse=True, return_counts=True)
+            bare = self._ids(distinct.take(pa.array(firsts)), times, self.bare)
+            codes[at] = len(distinct) + places
+            first_own += len(firsts)
+            codes[breaks] = first_own + len(alone) + 1
+            codes[starts[:-1][alone]] = first_own + np.arange(len(alone))
+        times = np.bincount(codes, minlength=len(distinct))[: len(distinct)]
+        asked = np.flatnonzero(times)
+        place = np.cumsum(times > 0) - 1  # of a word among those asked for
+        found = self._ids(distinct.take(pa.array(asked)), times[asked], known)
+        codes = np.where(codes < len(distinct), place[np.minimum(codes, len(distinct) - 1)], codes - len(distinct) + len(asked))
+        table = pa.concat_arrays([found, bare, pa.array(tables[0] + tables[1], pa.large_binary())])
+        codes = np.insert(codes, starts[1:], len(table) - 2)
+        ids = table.take(pa.array(codes))
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, np.int64)[ids.offset :][starts + np.arange(len(starts))] // 4
+        return np.frombuffer(data, "<u4"), at
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts with two blanks in a row, which are cut only at spaces after a word."""
+        if self.kind == "unknown":
+            return [self.plain(t) for t in texts]
+        if not texts:
+            return []
+        cut = [_SPACE_AFTER_WORD.split(t) for t in texts]
+        coded = pa.array([x for c in cut for x in c], pa.large_string()).dictionary_encode()
+        table, spaced = [b""] * len(coded.dictionary), []
+        for i, x in enumerate(coded.dictionary.to_pylist()):
+            if x[:1] == " " and len(x.split()) == 1 and x[1:] == x.strip():
+                spaced.append(i)
+            else:
+                table[i] = self.plain(x)
+        times = np.bincount(coded.indices.to_numpy(), minlength=len(table))
+        words = pc.utf8_slice_codeunits(coded.dictionary.take(pa.array(spaced, pa.int64())), 1)
+        for i, ids in zip(spaced, self._ids(words, times[spaced], self.spaced).to_pylist(), strict=True):
+            table[i] = ids
+        codes = iter(coded.indices.to_numpy().tolist())
+        return [b"".join([table[next(codes)] for _ in c]) for c in cut]
 
 
 def encoder(path: str) -> Encoder:
@@ -161,6 +235,9 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
-def with_end(ids: bytes) -> bytes:
-    """Append id 0."""
-    return ids + _END
+def encoded(path: str, texts: pa.Array) -> Iterator[np.ndarray]:
+    """Each text's ids, with id 0 at the end; null counts as empty."""
+    for ids, at in encoder(path).encode(texts):
+        bounds = at.tolist()
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield ids[a:b]
