@@ -16,8 +16,6 @@ from tapeworks.llm.common import BLANKS, cut, join_groups, shuffle_width
 
 #: Digests of one bucket and so of one filter, on average at most.
 BUCKET_KEYS = 1 << 17
-#: Row ids of matches that may be broadcast (8 bytes each); beyond that the join shuffles.
-BROADCAST_IDS = 200_000
 
 _FILTER = "bucket bigint, seed bigint, segment bigint, segments bigint, cells binary"
 
@@ -98,8 +96,8 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def _better() -> list:
-    """Of a group: how many rows, and which stays (most code points, then smallest doc_id, null last)."""
-    best = F.min(F.struct((-F.col("n_chars_")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c")))
+    """Of a group: how many rows, and which stays (most code points, then smallest doc_id, null last, then the first row)."""
+    best = F.min(F.struct((-F.col("n_chars_")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c"), F.col("row_").alias("d")))
     return [F.count("*").alias("rows_"), best.alias("best_")]
 
 
@@ -138,9 +136,7 @@ def screen(incoming: DataFrame, filters: DataFrame) -> DataFrame:
 
 def same_bytes(docs: DataFrame, matches: DataFrame) -> DataFrame:
     """Of ``matches`` (sha_, bytes_, old_, new_: doc_ids), those whose texts are equal without blanks."""
-    ids = cut(matches.select(F.col("old_").alias("doc_id")).union(matches.select("new_")).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = matches.select(F.col("old_").alias("doc_id")).union(matches.select("new_")).distinct().hint("merge")  # the same plan at every size
     bare = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), BLANKS, "")
     named = docs.select(F.col("doc_id").cast("long"), "text").alias("d").join(ids.alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
     texts = named.select("doc_id", bare.alias("bare_")).withColumn("sha_", F.unhex(F.sha2("bare_", 256))).dropDuplicates(["doc_id", "sha_"])
@@ -157,11 +153,12 @@ def dedup(snapshot_docs: DataFrame, new_docs: DataFrame) -> DataFrame:
 
     One row per document of either: doc_id, keep_id (the row that stays: most code points
     in the original text, then smallest doc_id), group_size, kept, text_sha256.
-    Null texts are empty and equal; rows that repeat wholly keep their own result rows, and
-    of rows that share the keeping doc_id and length one is kept.
+    Null texts are empty and equal; rows that repeat wholly keep their own result rows. Of each group exactly one
+    row is kept, also where several rows share the keeping doc_id and length. No rows at all give none.
     """
     spark = new_docs.sparkSession
-    rows = cut(digests(snapshot_docs).withColumn("new_batch_", F.lit(False)).unionByName(digests(new_docs).withColumn("new_batch_", F.lit(True))))
+    both = digests(snapshot_docs).withColumn("new_batch_", F.lit(False)).unionByName(digests(new_docs).withColumn("new_batch_", F.lit(True)))
+    rows = cut(both.withColumn("row_", F.monotonically_increasing_id()))  # fixed by being written
     total = rows.count()
     buckets = max(shuffle_width(spark), total // BUCKET_KEYS)
     old = cut(groups(rows.filter(~F.col("new_batch_")), buckets))
@@ -175,5 +172,4 @@ def dedup(snapshot_docs: DataFrame, new_docs: DataFrame) -> DataFrame:
     each = old.select(*on, "best_", "rows_", F.lit(False).alias("new_batch_")).unionByName(new.select(*on, "best_", "rows_", F.lit(True).alias("new_batch_")))
     final = each.join(merged, on, "left").select(*on, "new_batch_", F.col("rows_"), F.coalesce("both_", "best_").alias("best_"), F.coalesce("all_rows_", "rows_").alias("group_size"))
     joined = join_groups(rows, cut(final), [*on, "new_batch_"], "rows_", total)
-    kept = F.col("doc_id").eqNullSafe(F.col("best_.c")) & (F.col("n_chars_") == -F.col("best_.a"))
-    return joined.select("doc_id", F.col("best_.c").alias("keep_id"), F.col("group_size").cast("long"), kept.alias("kept"), F.lower(F.hex("sha_")).alias("text_sha256"))
+    return joined.select("doc_id", F.col("best_.c").alias("keep_id"), F.col("group_size").cast("long"), (F.col("row_") == F.col("best_.d")).alias("kept"), F.lower(F.hex("sha_")).alias("text_sha256"))
