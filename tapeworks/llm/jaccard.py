@@ -90,12 +90,7 @@ def near_pairs(sets: list[np.ndarray], near: float = NEAR) -> list[tuple[int, in
     return links
 
 
-def row_key() -> Column:
-    """Rows with the same doc_id and text are the same document."""
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, key: Column) -> DataFrame:
     """key, cls (a hash of the shingle set), n (its size), bands; documents without words have none."""
     schema = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
@@ -113,7 +108,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), pa.array(np.concatenate(bands)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(n, pa.int64()), lists], schema=schema)
 
-    return docs.select(row_key().alias("key"), F.col("text").cast("string")).mapInArrow(each, "key bigint, cls bigint, n bigint, bands array<bigint>")
+    return docs.select(key.alias("key"), F.col("text").cast("string")).mapInArrow(each, "key bigint, cls bigint, n bigint, bands array<bigint>")
 
 
 def deal(members: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
@@ -172,15 +167,15 @@ def _compared(rows: DataFrame, near: float) -> DataFrame:
     return rows.repartition("g").sortWithinPartitions("g", "name").mapInArrow(each, "a bigint, b bigint")
 
 
-def links(docs: DataFrame, near: float = NEAR) -> DataFrame:
-    """a, b: keys (see ``row_key``) of documents; they join all documents with equal sets and all pairs of ``near`` or more that share a band."""
-    rows = cut(sketches(docs))
+def links(docs: DataFrame, key: Column, near: float = NEAR) -> DataFrame:
+    """a, b: keys (a long each, distinct) of documents; they join all documents with equal sets and all pairs of ``near`` or more that share a band."""
+    rows = cut(sketches(docs, key))
     classes = cut(rows.groupBy("cls").agg(F.min("key").alias("name"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     equal = rows.join(classes.select("cls", "name").hint("merge"), "cls").filter("key <> name").select(F.col("key").alias("a"), F.col("name").alias("b"))
     spread = classes.select("cls", "n", F.explode("bands").alias("band"))
     buckets = spread.groupBy("band").agg(F.array_sort(F.collect_list(F.struct("cls", "n"))).alias("members")).filter("size(members) > 1")
     placed = _groups(buckets.select("members").distinct())
     named = cut(placed.join(classes.select("cls", "name").hint("merge"), "cls").select("g", "name"))
-    texts = docs.select(row_key().alias("name"), F.col("text").cast("string"))
+    texts = docs.select(key.alias("name"), F.col("text").cast("string"))
     near_ones = _compared(texts.join(named.hint("merge"), "name").select("g", "name", "text"), near)
     return equal.union(near_ones)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.llm import jaccard
-from tapeworks.llm.common import cut, join_groups
+from tapeworks.llm.common import cut, fresh, join_groups
 
 RADIUS, BITS, SHINGLE, SEED = 3, 64, 3, 42
 #: A larger bucket is dealt again by finer masks, under which no bucket can be larger than this.
@@ -60,16 +60,17 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), and row (from the long column ``row``; null without one)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("row", pa.int64())])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(each, "doc_id bigint, fp bigint")
+    number = F.col(row) if row else F.lit(None)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), number.cast("long").alias("row")).mapInArrow(each, "doc_id bigint, fp bigint, row bigint")
 
 
 def _near(xored: np.ndarray) -> np.ndarray:
@@ -204,36 +205,48 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def shingle_links(docs: DataFrame, near: float) -> DataFrame:
-    """Links a, b between the fingerprints of documents whose sets of five-word shingles have a Jaccard similarity of ``near`` or more."""
-    keyed = cut(fingerprints(docs.select(jaccard.row_key().alias("doc_id"), "text")).distinct())
-    found = cut(jaccard.links(docs, near).distinct())
-    ends = [keyed.select(F.col("doc_id").alias(end), F.col("fp").alias(f"fp_{end}")).hint("merge") for end in ("a", "b")]
+def shingle_links(docs: DataFrame, rows: DataFrame, row: str, near: float) -> DataFrame:
+    """Links a, b between the fingerprints of documents whose sets of five-word shingles have a Jaccard similarity of ``near`` or more.
+
+    ``row`` is a long column of ``docs`` that tells its rows apart; ``rows`` has each one's fingerprint.
+    """
+    found = cut(jaccard.links(docs, F.col(row), near).distinct())
+    ends = [rows.select(F.col("row").alias(end), F.col("fp").alias(f"fp_{end}")).hint("merge") for end in ("a", "b")]
     return found.join(ends[0], "a").join(ends[1], "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).filter("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, near: float | None = None) -> DataFrame:
+def _rooted(rows: DataFrame, more_links: DataFrame | None = None) -> DataFrame:
+    """fp, size, first (its smallest doc_id, null last, and that one's row) and root of each distinct fingerprint of ``rows``."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    classes = cut(rows.groupBy("fp").agg(first.alias("first"), F.count("*").alias("size")))
+    found = links(classes.select("fp"))
+    nodes = cut(components(found if more_links is None else found.union(more_links)))
+    return classes.join(nodes, classes["fp"] == nodes["node"], "left").select("fp", "first", "size", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links, itself included).
 
     Null and empty texts have fingerprint zero and are linked with each other. Repeated rows
     give repeated result rows. A null doc_id is reachable but never names a component unless it is alone.
-    With ``near``, texts of that Jaccard similarity over five words are linked too, however far their fingerprints are.
     """
     rows = cut(fingerprints(docs))
-    classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("size")))
-    linked_ones = links(classes.select("fp"))
-    if near is not None:
-        linked_ones = linked_ones.union(shingle_links(docs, near))
-    nodes = cut(components(linked_ones))
-    linked_classes = classes.join(nodes, classes["fp"] == nodes["node"], "left").select("fp", "first", "size", F.coalesce("root", "fp").alias("root"))
-    named = linked_classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    whole = cut(linked_classes.join(named, "root").select("fp", "size", "component_id"))
+    classes = cut(_rooted(rows))
+    named = classes.groupBy("root").agg(F.min("first")["doc_id"].alias("component_id"))
+    whole = cut(classes.join(named, "root").select("fp", "size", "component_id"))
     joined = join_groups(rows, whole, ["fp"], "size", rows.count())
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, near: float | None = None) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates: the smallest doc_id. Documents with a null id stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), near)
-    gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with exactly one row of each group of near duplicates: that of the smallest doc_id (null last; of equal ids the first row).
+
+    With ``near``, texts of that Jaccard similarity over five words are near duplicates too, however far their fingerprints are.
+    Null and empty texts are one group. No rows give none.
+    """
+    row = fresh("row_", docs.columns)
+    marked = cut(docs.withColumn(row, F.monotonically_increasing_id()))  # fixed by being written
+    rows = cut(fingerprints(marked, row))
+    classes = _rooted(rows, None if near is None else shingle_links(marked, rows, row, near))
+    kept = cut(classes.groupBy("root").agg(F.min("first")["row"].alias(row)).select(row))
+    return marked.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
