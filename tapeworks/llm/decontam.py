@@ -1,15 +1,16 @@
 """Benchmark decontamination with a generalised suffix automaton of the test items.
 
-The automaton of all items' words is built once per block of items and shipped to
-the tasks; documents stream through it and each word gets the length of the longest
-item passage that ends there. A block has a bounded number of words, but all blocks pass
-through the driver and are shipped to each worker: what is shipped grows with the benchmark.
+Items are dealt to blocks of some BLOCK_WORDS words, long items in overlapping pieces. Blocks are taken one
+after another: only the words of one block are on the driver and in its job, each worker builds that block's automaton
+once, and documents stream through it; each word gets the length of the longest item passage that ends there. What a
+block finds is written and meets the documents in the last block's pass, so memory doesn't grow with the benchmark.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -17,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks.llm.common import cut, fresh
+
 WINDOW = 10
-#: Words of the items in one automaton (some 100 MB in a worker at most).
-BLOCK_WORDS = 200_000
+#: Words of the items in one automaton, on average at most (some 100 MB in a worker), and in one piece of an item.
+BLOCK_WORDS, PIECE_WORDS = 200_000, 10_000
 #: The share of hit words above which a document goes as a whole.
 MAX_COVERAGE = 0.8
 
@@ -42,13 +45,13 @@ def word_spans(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 class Automaton:
     """Suffix automaton of several word sequences; finds windows of ``window`` words, and shorter sequences as wholes."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocab: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        owners: list[set[int]] = [set()]
-        short: dict[tuple[int, ...], set[int]] = {}
+        owners: list[set[str | None]] = [set()]
+        short: dict[tuple[int, ...], set[str | None]] = {}
         self.shortest = window
         for item_id, words in items:
             if not words:
@@ -71,14 +74,14 @@ class Automaton:
                     up = self.link[up]
         #: The state that holds a state's suffix of window words, if it is that long.
         self.owners = [frozenset(x) for x in owners]
-        self.short_at: dict[int, list[tuple[int, frozenset[int]]]] = {}
+        self.short_at: dict[int, list[tuple[int, frozenset[str | None]]]] = {}
         for ids, who in short.items():
             state = 0
             for c in ids:
                 state = self.next[state][c]
             self.short_at.setdefault(state, []).append((len(ids), frozenset(who)))
 
-    def _extend(self, last: int, c: int, owners: list[set[int]]) -> int:
+    def _extend(self, last: int, c: int, owners: list[set[str | None]]) -> int:
         nxt, link, length = self.next, self.link, self.length
         if c in nxt[last]:
             q = nxt[last][c]
@@ -97,7 +100,7 @@ class Automaton:
             link[new] = q if length[q] == length[p] + 1 else self._clone(p, c, q, owners)
         return new
 
-    def _clone(self, p: int, c: int, q: int, owners: list[set[int]]) -> int:
+    def _clone(self, p: int, c: int, q: int, owners: list[set[str | None]]) -> int:
         nxt, link, length = self.next, self.link, self.length
         copy = len(length)
         length.append(length[p] + 1)
@@ -110,11 +113,11 @@ class Automaton:
             p = link[p]
         return copy
 
-    def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[int]]:
+    def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str | None]]:
         """Which words are hit, and the items with a window among them."""
         n = len(words)
         hit = np.zeros(n, bool)
-        found: set[int] = set()
+        found: set[str | None] = set()
         if n < self.shortest or not self.vocab:
             return hit, found
         ids = np.fromiter(map(self.vocab.get, words, repeat(-1)), np.int64, n)
@@ -125,7 +128,7 @@ class Automaton:
             self._stream(ids[begin:end].tolist(), begin, hit, found)
         return hit, found
 
-    def _stream(self, ids: list[int], at: int, hit: np.ndarray, found: set[int]) -> None:
+    def _stream(self, ids: list[int], at: int, hit: np.ndarray, found: set[str | None]) -> None:
         nxt, link, length, window = self.next, self.link, self.length, self.window
         state = matched = 0
         for i, c in enumerate(ids):
@@ -153,58 +156,116 @@ class Automaton:
                     up = link[up]
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_WORDS) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """Items with their words, some ``limit`` words at a time; a null text has none."""
-    block: list[tuple[int, list[bytes]]] = []
-    size = 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        words = words_of(row["text"])
-        if size and size + len(words) > limit:
-            yield block
-            block, size = [], 0
-        block.append((row["item_id"], words))
-        size += len(words)
-    yield block
+_built: dict[bytes, Automaton] = {}
+
+
+@dataclass(frozen=True)
+class Block:
+    """Pieces of items (id as text, words joined by blanks); a worker builds the automaton once and keeps that of one block."""
+
+    pieces: tuple[tuple[str | None, bytes], ...]
+    window: int
+
+    def automaton(self) -> Automaton:
+        name = hashlib.blake2b(repr((self.pieces, self.window)).encode(), digest_size=16).digest()
+        if name not in _built:
+            _built.clear()
+            _built[name] = Automaton([(i, words.split()) for i, words in self.pieces], self.window)
+        return _built[name]
+
+
+def pieces_of(words: list[bytes], window: int = WINDOW, most: int = PIECE_WORDS) -> list[list[bytes]]:
+    """A long item in pieces that overlap by ``window`` - 1 words, so each window is in one of them."""
+    step = max(1, most - window + 1)
+    return [words[at : at + most] for at in range(0, max(len(words) - window + 1, 1), step)] if words else []
+
+
+def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
+    """The items' words (null: none) in blocks; one block without any if there are no words. Blocks are read one at a time."""
+    schema = pa.schema([("item_id", pa.string()), ("words", pa.binary()), ("n", pa.int64())])
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(i, b" ".join(p), len(p)) for i, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) for p in pieces_of(words_of(t), window, min(PIECE_WORDS, block_words))]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    pieces = cut(benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(cut_up, "item_id string, words binary, n bigint"))
+    total = pieces.agg(F.sum("n")).first()[0] or 0
+    number = max(1, -(-total // block_words))
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(number)))
+    for b in range(number):
+        yield Block(tuple((r["item_id"], bytes(r["words"])) for r in dealt.filter(F.col("block") == b).select("item_id", "words").collect()), window)
+
+
+def _found_by(docs: DataFrame, block: Block) -> DataFrame:
+    """key, hits (a bit a word), items of each text with hits; equal texts once. ``docs``: key, text."""
+    schema = pa.schema([("key", pa.binary()), ("hits", pa.binary()), ("items", pa.list_(pa.string()))])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = block.automaton()
+        for batch in batches:
+            rows = []
+            for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hit, items = automaton.scan(words_of(text))
+                if items:
+                    rows.append((key, np.packbits(hit).tobytes(), list(items)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    return docs.mapInArrow(judge, "key binary, hits binary, items array<string>").dropDuplicates(["key"])
+
+
+def _with_earlier(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int) -> tuple[DataFrame, Block]:
+    """``docs`` with two columns more, the hits and items of all blocks but the last (null if none), and the last block."""
+    every = blocks(benchmark, window, block_words)
+    last, found = next(every), None
+    key = F.unhex(F.md5(F.col("text").cast("string")))
+    for block in every:
+        some = cut(_found_by(docs.select(key.alias("key"), F.col("text").cast("string")), last))
+        found, last = some if found is None else found.unionByName(some), block
+    names = [fresh(n, docs.columns) for n in ("earlier_hits_", "earlier_items_", "earlier_key_")]
+    if found is None:
+        return docs.withColumns({names[0]: F.lit(None).cast("array<binary>"), names[1]: F.lit(None).cast("array<string>")}), last
+    merged = found.groupBy(F.col("key").alias(names[2])).agg(F.collect_list("hits").alias(names[0]), F.array_distinct(F.flatten(F.collect_list("items"))).alias(names[1]))
+    return docs.withColumn(names[2], key).join(merged.hint("merge"), names[2], "left").select(*docs.columns, *names[:2]), last
+
+
+def _all_hits(automaton: Automaton, words: list[bytes], hits: list[bytes] | None, items: list[str | None] | None) -> tuple[np.ndarray, set[str | None]]:
+    hit, found = automaton.scan(words)
+    for more in hits or ():
+        hit |= np.unpackbits(np.frombuffer(more, np.uint8), count=len(words)).astype(bool)
+    return hit, found.union(items or ())
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of ``docs``.
 
-    Items shorter than ``window`` words are one window; items and documents without words match nothing.
+    Items shorter than ``window`` words are one window; items and documents without words match nothing. Rows of one
+    item_id are one item; items without an id count as one more, which the digest leaves out.
     Repeated rows are judged each for itself. An empty benchmark or table gives zeros or no rows.
     """
-    automata = [Automaton(b, window) for b in blocks(benchmark, block_words)]
+    read, last = _with_earlier(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), benchmark, window, block_words)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = last.automaton()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, text, hits, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = words_of(text)
-                hit, items = scan_all(automata, words)
-                named = ",".join(sorted(map(str, items)))
+                hit, items = _all_hits(automaton, words, hits, known)
+                named = ",".join(sorted(i for i in items if i is not None))
                 rows.append((doc_id, len(words), n := int(hit.sum()), len(items), hashlib.sha256(named.encode()).hexdigest(), n > 0))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(judge, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean")
-
+    return read.mapInArrow(judge, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean")
 
-def scan_all(automata: list[Automaton], words: list[bytes]) -> tuple[np.ndarray, set[int]]:
-    hit, items = automata[0].scan(words)
-    for a in automata[1:]:
-        more, who = a.scan(words)
-        hit |= more
-        items |= who
-    return hit, items
 
-
-def remove_hits(text: str | None, automata: list[Automaton], max_coverage: float = MAX_COVERAGE) -> str | None:
+def remove_hits(text: str | None, hit: np.ndarray, max_coverage: float = MAX_COVERAGE) -> str | None:
     """The text without its hit spans (a run of hit words, first to last); None if more than ``max_coverage`` of its words are hit."""
-    if not text:
-        return text
-    hit, _ = scan_all(automata, words_of(text))
-    if not hit.any():
+    if not text or not hit.any():
         return text
     if hit.mean() > max_coverage:
         return None
@@ -220,15 +281,17 @@ def remove_hits(text: str | None, automata: list[Automaton], max_coverage: float
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with hit spans deleted from ``text``; documents over ``max_coverage`` go. Other columns stay; untouched texts stay as they are."""
-    automata = [Automaton(b, window) for b in blocks(benchmark, block_words)]
+    read, last = _with_earlier(docs, benchmark, window, block_words)
     at = docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = last.automaton()
         for batch in batches:
-            old = batch.column(at).to_pylist()
-            new = [remove_hits(t, automata, max_coverage) for t in old]
-            texts = pa.array(new, batch.schema.field(at).type)
-            keep = pa.array([a is None or b is not None for a, b in zip(old, new, strict=True)])
-            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema).filter(keep)
-
-    return docs.mapInArrow(clean, docs.schema)
+            *own, earlier, known = batch.columns
+            old = own[at].to_pylist()
+            new = [remove_hits(t, _all_hits(automaton, words_of(t), hits, items)[0], max_coverage) for t, hits, items in zip(old, earlier.to_pylist(), known.to_pylist(), strict=True)]
+            own[at] = pa.array(new, batch.schema.field(at).type)
+            keep = pa.array([a is None or b is not None for a, b in zip(old, new, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays(own, names=batch.schema.names[:-2]).filter(keep)
+
+    return read.mapInArrow(clean, docs.schema)
