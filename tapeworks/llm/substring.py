@@ -1,16 +1,16 @@
 """Substring deduplication by recompression.
 
-Documents are sequences of words. Rounds of recompression rename runs and pairs of
-symbols: a symbol's class (left or right, a bit of its name) decides alone whether it pairs with its neighbour,
-and names are hashes, the same everywhere, so equal passages get the same symbols inside
-and differ only near their ends. ROUNDS bounds the words of a symbol, and with them the
-words near an end that the surroundings can reach: UNSURE. So each window of WINDOW words has a symbol
-that begins within its first UNSURE words wherever the window stands, and the stretch of STRETCH words that begins there lies
-in the window. Stretches named alike reveal the possible repeats; the windows around these are then
-compared by hashes of all their words.
-
-Only names and places meet in shuffles, packed many to a row; a task names a repeated
-stretch once, so a passage that all documents share stays as small as one of them.
+Documents are sequences of words. Recompression renames runs of one symbol and pairs of symbols: a symbol's class (left
+or right, a bit of its name) decides alone whether it pairs with its neighbour, and a new symbol's name is a hash of its parts' names,
+the same everywhere. So equal passages get the same symbols inside and differ only near their ends; the bounds on a
+symbol's words bound the words near an end that the surroundings can reach.
+
+In Spark rounds the names of symbols of rising levels meet. A symbol whose name stands nowhere else rules out
+each window that holds it in its sure inner part; what is left after a round is named on the next level,
+and in the last round the windows themselves are named by 128 bits of all their words. A window that no round rules out stands twice.
+
+Only names and places meet in shuffles, packed many to a row; a task names what it repeats
+once, so a passage that all documents share stays as small as one of them.
 """
 
 from __future__ import annotations
@@ -21,38 +21,36 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import cut, fresh, shuffle_width
 
 WINDOW = 35
-#: Rounds in order: what is renamed, and the words that a new symbol has at most.
-ROUNDS = (("pairs", 2), ("runs", 2), ("pairs", 3), ("pairs", 4), ("pairs", 5), ("pairs", 8))
-#: Words that a task packs together.
-GROUP_WORDS = 1_000_000
+#: Rounds in order: what is renamed, and the words that a new symbol has at most (of runs: the symbols; longer ones are one symbol that joins no other).
+ROUNDS = (("runs", 2), ("pairs", 3), ("pairs", 5), ("pairs", 8))
+#: Rounds done before the names meet in Spark, level after level.
+LEVELS = (3, 4)
+#: Words that a task packs together, and shares of the names for each partition: a task holds one share at a time.
+GROUP_WORDS, SHARES = 1_000_000, 8
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD, _ODD2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
-def unsure(rounds: tuple[tuple[str, int], ...] = ROUNDS) -> int:
+def unsure(rounds: tuple[tuple[str, int], ...]) -> int:
     """Words at a passage's end in which its symbols may depend on what is outside.
 
-    A round of pairs costs one symbol more, the longest there was before; a round of runs a run that it may rename.
+    A round of runs costs what a run that it renames may have, as longer ones stay apart however long they are; a round of
+    pairs costs one symbol more, the longest there was before.
     """
     total, longest = 0, 1
     for kind, most in rounds:
-        total += longest if kind == "pairs" else most
+        total += most if kind == "runs" else longest
         longest = max(longest, most)
     return total
 
 
-UNSURE = unsure()
-STRETCH = WINDOW - UNSURE
-
-
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
@@ -67,7 +65,12 @@ def hash_words(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def stretch_hashes(h: np.ndarray, k: int) -> np.ndarray:
+def wide_hashes(words: list[bytes]) -> np.ndarray:
+    """128 bits a word, as two columns."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+
+
+def stretch_hashes(h: np.ndarray, k: int, odd: int = _ODD) -> np.ndarray:
     """A hash of the ``k`` words from each place on, from those of lengths that are powers of two."""
     if len(h) < k:
         return np.zeros(0, np.uint64)
@@ -76,113 +79,125 @@ def stretch_hashes(h: np.ndarray, k: int) -> np.ndarray:
         while True:
             if k & size:
                 part = power[at : at + len(h) - k + 1]
-                out = part if out is None else out * np.uint64(pow(int(_ODD), size, 1 << 64)) + part
+                out = part if out is None else out * np.uint64(pow(odd, size, 1 << 64)) + part
                 at += size
             if size * 2 > k:
                 return _mix(out)
-            power = power[:-size] * np.uint64(pow(int(_ODD), size, 1 << 64)) + power[size:]
+            power = power[:-size] * np.uint64(pow(odd, size, 1 << 64)) + power[size:]
             size *= 2
 
 
-def boundaries(h: np.ndarray, first: np.ndarray, rounds: tuple[tuple[str, int], ...] = ROUNDS) -> np.ndarray:
-    """Places where the symbols of the last round begin, for words ``h`` of documents that begin at ``first``.
+def symbols(h: np.ndarray, first: np.ndarray, rounds: tuple[tuple[str, int], ...] = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Name, first word and number of words of each symbol after ``rounds``, for words ``h`` of documents that begin at ``first``.
 
-    Names come from a symbol's parts alone. No symbol reaches over a document's end.
+    No symbol reaches over a document's end.
     """
-    place = np.arange(len(h))
-    name = _mix(h)
+    name, place = _mix(h), np.arange(len(h))
     opens = np.zeros(len(h), bool)
     opens[first[first < len(h)]] = True
+    apart = np.zeros(len(h), bool)
+    odd = np.uint64(_ODD)
     with np.errstate(over="ignore"):
         for nth, (kind, most) in enumerate(rounds):
             if len(place) < 2:
                 break
-            size = np.diff(place, append=len(h))
-            joins = ~opens[1:] & (size[:-1] + size[1:] <= most)
-            if kind == "pairs":
+            if kind == "runs":
+                keep = np.concatenate([[True], opens[1:] | (name[1:] != name[:-1])])
+                times = np.diff(np.append(np.flatnonzero(keep), len(place)))
+                name, apart = name[keep], apart[keep] | (times > most)
+                run = times > 1
+                name[run] = _mix(name[run] * odd + np.minimum(times[run], most + 1).astype(np.uint64) + np.uint64(nth))
+            else:
+                size = np.diff(place, append=len(h))
                 side = (name >> np.uint64(nth + 7)) & np.uint64(1)
-                joins &= (side[:-1] == 0) & (side[1:] == 1)
-            else:  # runs of two alike; longer ones stay as they are
-                same = ~opens[1:] & (name[:-1] == name[1:])
-                alone = same.copy()
-                alone[1:] &= ~same[:-1]
-                alone[:-1] &= ~same[1:]
-                joins &= alone
-            left = np.flatnonzero(joins)
-            name[left] = _mix(name[left] * _ODD + name[left + 1] + np.uint64(nth + 1))
-            keep = np.ones(len(place), bool)
-            keep[left + 1] = False
-            place, name, opens = place[keep], name[keep], opens[keep]
-    return place
-
-
-def _pack(names: np.ndarray, places: np.ndarray, known: np.ndarray, width: int, batch: int) -> list[tuple]:
-    """Rows for the shuffle: for each of ``width`` shares of the names, its names, places and whether known to repeat, as bytes."""
-    share = (names >> np.uint64(40)) % np.uint64(width)
-    order = np.argsort(share, kind="stable")
-    cuts = np.searchsorted(share[order], np.arange(width + 1))
-    rows = []
-    for s in range(width):
-        some = order[cuts[s] : cuts[s + 1]]
-        if len(some):
-            gaps = np.diff(places[some], prepend=0)
-            rows.append(("names", s, batch, names[some].tobytes(), gaps.astype("<u4").tobytes(), np.packbits(known[some]).tobytes()))
-    return rows
-
-
-_MEET = pa.schema([("kind", pa.string()), ("share", pa.int64()), ("batch", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
-_MEET_DDL = "kind string, share bigint, batch bigint, a binary, b binary, c binary"
+                joins = ~opens[1:] & ~apart[1:] & ~apart[:-1] & (size[:-1] + size[1:] <= most) & (side[:-1] == 0) & (side[1:] == 1)
+                left = np.flatnonzero(joins)
+                name[left] = _mix(name[left] * odd + name[left + 1] + np.uint64(nth + 1))
+                keep = np.ones(len(place), bool)
+                keep[left + 1] = False
+                name, apart = name[keep], apart[keep]
+            place, opens = place[keep], opens[keep]
+    return name, place, np.diff(place, append=len(h))
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Names from all tasks meet: for each batch, the places of names that repeat. Other kinds of rows pass."""
-    names, places, known, owner = [], [], [], []
-    for batch in batches:
-        kinds = batch.column(0).to_pylist()
-        other = pa.array([k != "names" for k in kinds], pa.bool_())
-        if any(k != "names" for k in kinds):
-            yield batch.filter(other)
-        for row in batch.filter(pc.invert(other)).to_pylist():
-            found = np.frombuffer(row["a"], np.uint64)
-            names.append(found)
-            places.append(np.cumsum(np.frombuffer(row["b"], "<u4"), dtype=np.int64).astype(np.uint32))
-            known.append(np.unpackbits(np.frombuffer(row["c"], np.uint8), count=len(found)).astype(bool))
-            owner.append((row["batch"], len(found)))
-    if not names:
-        return
-    every = np.concatenate(names)
-    order = np.argsort(every, kind="stable")
-    same = every[order][1:] == every[order][:-1]
-    repeats = np.concatenate(known)
-    repeats[order[1:][same]] = True
-    repeats[order[:-1][same]] = True
-    at = 0
-    rows = []
-    for (batch, n), place in zip(owner, places, strict=True):
-        hit = repeats[at : at + n]
-        if hit.any():
-            rows.append(("hits", None, batch, None, place[hit].astype("<u4").tobytes(), None))
-        at += n
-    for i in range(0, len(rows), 64):
-        yield _rows(rows[i : i + 64])
+_MEET = pa.schema([("kind", pa.string()), ("share", pa.int64()), ("batch", pa.int64()), ("names", pa.binary()), ("a", pa.binary()), ("b", pa.binary())])
+_MEET_DDL = "kind string, share bigint, batch bigint, names binary, a binary, b binary"
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _MEET, strict=True)], schema=_MEET)
 
 
-def _local(names: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one batch: each name once, its first place, whether it repeats here, and all places of those that do."""
-    order = np.argsort(names, kind="stable")
-    sorted_names = names[order]
-    new = np.concatenate([[True], sorted_names[1:] != sorted_names[:-1]]) if len(names) else np.zeros(0, bool)
+def _same(names: np.ndarray) -> np.ndarray:
+    """Which names (rows of one or two numbers) stand more than once."""
+    order = np.argsort(names[:, 0], kind="stable")
+    same = names[order[1:], 0] == names[order[:-1], 0]
+    if names.shape[1] > 1 and (same & (names[order[1:], 1] != names[order[:-1], 1])).any():
+        order = np.lexsort(names.T)
+    same = (names[order[1:]] == names[order[:-1]]).all(axis=1)
     more = np.zeros(len(names), bool)
-    more[:-1] |= ~new[1:]
-    more |= ~new
-    firsts = order[new]
-    by_place = np.argsort(places[firsts], kind="stable")
-    firsts = firsts[by_place]
-    return names[firsts], places[firsts], more[new][by_place], np.sort(places[order[more]])
+    more[order[1:][same]] = True
+    more[order[:-1][same]] = True
+    return more
+
+
+def _pack(names: np.ndarray, places: np.ndarray, sizes: np.ndarray, batch: int, shares: int) -> list[tuple]:
+    """Rows for the shuffle, one for each share of the names: first those that stand once in this batch, with place and size, then each other one once."""
+    more = _same(names)
+    once = np.flatnonzero(~more)
+    others = np.flatnonzero(more)
+    if len(others):
+        _, first = np.unique(names[others] if names.shape[1] > 1 else names[others, 0], axis=0, return_index=True)
+        others = others[first]
+    rows = []
+    share = [((names[x, 0] >> np.uint64(20)) % np.uint64(shares)).astype(np.int64) for x in (once, others)]
+    order = [x[np.argsort(s, kind="stable")] for x, s in zip((once, others), share, strict=True)]
+    cuts = [np.searchsorted(np.sort(s), np.arange(shares + 1)) for s in share]
+    for s in range(shares):
+        single, rest = (o[c[s] : c[s + 1]] for o, c in zip(order, cuts, strict=True))
+        if len(single) or len(rest):
+            gaps = np.diff(places[single], prepend=0)
+            rows.append(("names", s, batch, names[np.concatenate([single, rest])].tobytes(), gaps.astype("<u4").tobytes(), sizes[single].astype("<u4").tobytes()))
+    return rows
+
+
+def _meet(wide: int):
+    """Names from all tasks meet, a share at a time: for each batch, the places and sizes of those that stand nowhere else. Other rows pass."""
+
+    def settle(rows: list[dict]) -> Iterator[tuple]:
+        names = [np.frombuffer(r["names"], np.uint64).reshape(-1, wide) for r in rows]
+        more = _same(np.concatenate(names))
+        at = 0
+        for r, found in zip(rows, names, strict=True):
+            sizes = np.frombuffer(r["b"], "<u4")
+            alone = ~more[at : at + len(sizes)]
+            at += len(found)
+            if alone.any():
+                places = np.cumsum(np.frombuffer(r["a"], "<u4"), dtype=np.int64)
+                yield "alone", None, r["batch"], None, places[alone].tobytes(), sizes[alone].tobytes()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in order of their share."""
+        held: list[dict] = []
+        out: list[tuple] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["kind"] != "names":
+                    out.append(tuple(row.values()))
+                    continue
+                if held and held[0]["share"] != row["share"]:
+                    out += settle(held)
+                    held = []
+                held.append(row)
+                if len(out) >= 64:
+                    yield _rows(out)
+                    out = []
+        if held:
+            out += settle(held)
+        if out:
+            yield _rows(out)
+
+    return meet
 
 
 def _batch_id(nth: int) -> int:
@@ -192,13 +207,15 @@ def _batch_id(nth: int) -> int:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows of some GROUP_WORDS words at a time, the text (second column) as words."""
+    """Documents of a window or more, some GROUP_WORDS words at a time, the text (second column) as words."""
     group: list[tuple] = []
     size = 0
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns]
         for row in zip(*columns, strict=True):
             words = words_of(row[1])
+            if len(words) < WINDOW:
+                continue
             group.append((row[0], words, *row[2:]))
             size += len(words)
             if size >= GROUP_WORDS:
@@ -208,151 +225,149 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield group
 
 
-def _emit(nth: int, ids: list, firsts: np.ndarray, names: np.ndarray, places: np.ndarray, width: int) -> pa.RecordBatch:
-    """What a batch sends: its documents' keys and first words, its own repeats, and each of its names once."""
-    batch = _batch_id(nth)
-    once, where, known, repeated = _local(names, places)
-    rows = [("docs", batch, batch, np.array(ids, np.int64).tobytes(), firsts.astype("<u4").tobytes(), None)]
-    if len(repeated):
-        rows.append(("hits", batch, batch, None, repeated.astype("<u4").tobytes(), None))
-    return _rows([*rows, *_pack(once, where, known, width, batch)])
+def _left(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a flag begins to hold, and how long it holds."""
+    step = np.diff(np.concatenate([[0], edges.astype(np.int8), [0]]))
+    begins = np.flatnonzero(step == 1)
+    return begins, np.flatnonzero(step == -1) - begins
 
 
-def _meeting(sent: DataFrame, width: int) -> DataFrame:
-    """key, places (binary, unsigned 32-bit words of the document): where each document's names repeat."""
-    met = cut(sent.repartition(width, "share").mapInArrow(_meet, _MEET_DDL).select("kind", "batch", "a", "b"), "kind")
-
-    def to_documents(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"key": np.zeros(0, np.int64), "places": []})
-        keys = np.frombuffer(left.a.iloc[0], np.int64)
-        firsts = np.frombuffer(left.b.iloc[0], "<u4").astype(np.int64)
-        places = np.unique(np.concatenate([np.frombuffer(b, "<u4") for b in right.b])).astype(np.int64)
-        doc = np.searchsorted(firsts, places, side="right") - 1
-        out = [(int(keys[d]), (part - firsts[d]).astype("<u4").tobytes()) for d, part in ((x[0], places[x[1]]) for x in _by_value(doc))]
-        return pd.DataFrame(out, columns=["key", "places"])
+def unpacked(ranges: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(ranges, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
-    docs = met.filter("kind = 'docs'").groupBy("batch")
-    hits = met.filter("kind = 'hits'").groupBy("batch")
-    return docs.cogroup(hits).applyInPandas(to_documents, "key bigint, places binary")
-
-
-def _by_value(sorted_values: np.ndarray) -> Iterator[tuple[int, slice]]:
-    cuts = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1], [True]]))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        yield int(sorted_values[a]), slice(a, b)
-
-
-def _key(docs: DataFrame) -> Column:
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-
-def _firsts(group: list[tuple]) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum([len(g[1]) for g in group])[:-1]]).astype(np.int64)
-
-
-def candidate_places(docs: DataFrame, width: int) -> DataFrame:
-    """key, places: where stretches that begin at symbols and occur more than once begin."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for nth, group in enumerate(_groups(batches)):
-            group = [g for g in group if len(g[1]) >= WINDOW]  # no window in a shorter one
-            if not group:
-                continue
-            firsts = _firsts(group)
-            h = hash_words([w for g in group for w in g[1]])
-            ends = np.repeat(np.append(firsts[1:], len(h)), [len(g[1]) for g in group])
-            at = boundaries(h, firsts)
-            at = at[at + STRETCH <= ends[at]]
-            yield _emit(nth, [g[0] for g in group], firsts, stretch_hashes(h, STRETCH)[at], at, width)
-
-    sent = docs.select(_key(docs).alias("key"), F.col("text").cast("string")).mapInArrow(send, _MEET_DDL)
-    return _meeting(sent, width)
 
+def _flags(begins: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, begins, 1)
+    np.add.at(edge, begins + lengths, -1)
+    return np.cumsum(edge[:n]) > 0
 
-def windows_near(places: np.ndarray, n: int) -> np.ndarray:
-    """First words of the windows, of ``n`` words, that a stretch at one of ``places`` may lie in."""
-    starts = (places[:, None] - np.arange(UNSURE + 1)).ravel()
-    return np.unique(starts[(starts >= 0) & (starts + WINDOW <= n)])
 
+def possible(docs: DataFrame, level: int | None, width: int) -> DataFrame:
+    """row, ranges: first words (as begins and lengths, pairs of longs) of the windows that this round doesn't rule out. A cut table.
 
-def repeated_windows(candidates: DataFrame, width: int) -> DataFrame:
-    """key, places: first words of the windows that stand at least twice. ``candidates``: key, text, places."""
+    ``docs``: row (long, distinct), text, ranges (of the windows to look at; null: all). ``level``: rounds of recompression; None
+    names the windows themselves.
+    """
+    ends, shares = (unsure(ROUNDS[:level]) if level else 0), SHARES * width
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nth, group in enumerate(_groups(batches)):
-            firsts = _firsts(group)
-            h = hash_words([w for g in group for w in g[1]])
-            near = [windows_near(np.frombuffer(g[2], "<u4").astype(np.int64), len(g[1])) + f for g, f in zip(group, firsts.tolist(), strict=True)]
-            at = np.concatenate(near)
-            yield _emit(nth, [g[0] for g in group], firsts, stretch_hashes(h, WINDOW)[at], at, width)
+            first = np.concatenate([[0], np.cumsum([len(g[1]) for g in group])]).astype(np.int64)
+            n = int(first[-1])
+            words = [w for g in group for w in g[1]]
+            ranges = [unpacked(g[2]) if g[2] is not None else (np.zeros(1, np.int64), np.array([len(g[1]) - WINDOW + 1])) for g in group]
+            begins = np.concatenate([r[0] + f for r, f in zip(ranges, first.tolist(), strict=False)])
+            lengths = np.concatenate([r[1] for r in ranges])
+            before = np.concatenate([[0], np.cumsum(_flags(begins, lengths, n))])
+            if level:
+                names, places, sizes = symbols(hash_words(words), first, ROUNDS[:level])
+                names = names[:, None]
+            else:
+                places, sizes = np.arange(n - WINDOW + 1), np.full(n - WINDOW + 1, WINDOW)
+            # What lies in the sure part of some window that is still possible.
+            low, high = np.maximum(places + sizes - WINDOW + ends, 0), places - ends
+            sent = (low <= high) & (before[np.minimum(np.maximum(high, -1) + 1, n)] > before[np.minimum(low, n)])
+            if not level:
+                wide = wide_hashes(words)
+                names = np.stack([stretch_hashes(np.ascontiguousarray(wide[:, k]), WINDOW, odd)[sent] for k, odd in ((0, _ODD), (1, _ODD2))], axis=1)
+            else:
+                names = names[sent]
+            batch = _batch_id(nth)
+            yield _rows([("docs", batch % shares, batch, np.array([g[0] for g in group], np.int64).tobytes(), first.tobytes(), np.stack([begins, lengths], axis=1).tobytes())])
+            packed = _pack(names, places[sent], sizes[sent], batch, shares)
+            for i in range(0, len(packed), 512):
+                yield _rows(packed[i : i + 512])
 
-    return _meeting(candidates.select("key", "text", "places").mapInArrow(send, _MEET_DDL), width)
-
-
-def uncovered(n: int, places: np.ndarray) -> np.ndarray:
-    """Of ``n`` words, those that no window at ``places`` covers."""
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, places, 1)
-    np.add.at(edge, np.minimum(places + WINDOW, n), -1)
-    return np.cumsum(edge[:n]) == 0
+    def to_documents(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        first = np.frombuffer(left.a.iloc[0], np.int64)
+        open_ = _flags(*unpacked(left.b.iloc[0]), int(first[-1]))
+        for a, b in zip(right.a, right.b, strict=True):
+            places, sizes = np.frombuffer(a, np.int64), np.frombuffer(b, "<u4").astype(np.int64)
+            low, high = np.maximum(places + sizes - WINDOW + ends, 0), places - ends
+            open_ &= ~_flags(low, np.maximum(high - low + 1, 0), len(open_))
+        rows = np.frombuffer(left.names.iloc[0], np.int64)
+        begins, lengths = _left(open_)
+        doc = np.searchsorted(first, begins, side="right") - 1
+        out = []
+        for at in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1) if len(doc) else []:
+            d = doc[at[0]]
+            out.append((int(rows[d]), np.stack([begins[at] - first[d], lengths[at]], axis=1).tobytes()))
+        return pd.DataFrame(out, columns=["row", "ranges"])
+
+    sent = docs.select("row", F.col("text").cast("string"), "ranges").mapInArrow(send, _MEET_DDL)
+    dealt = sent.repartitionById(width, F.pmod("share", F.lit(width)).cast("int")).sortWithinPartitions("share")
+    met = cut(dealt.mapInArrow(_meet(1 if level else 2), _MEET_DDL).select("kind", "batch", "names", "a", "b"), "kind")
+    groups = [met.filter(F.col("kind") == kind).groupBy("batch") for kind in ("docs", "alone")]
+    return cut(groups[0].cogroup(groups[1]).applyInPandas(to_documents, "row bigint, ranges binary"))
+
+
+def uncovered(n: int, ranges: bytes) -> np.ndarray:
+    """Of ``n`` words, those that no window of ``ranges`` covers."""
+    begins, lengths = unpacked(ranges)
+    return ~_flags(begins, lengths + WINDOW - 1, n)
 
 
 def joined_sha256(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _whole(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n_words, kept_sha256 of each row as if nothing were removed."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int64()), ("kept_sha256", pa.string())])
+def _whole(marked: DataFrame) -> DataFrame:
+    """doc_id, row, n_words, kept_sha256 of each row as if nothing were removed."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("kept_sha256", pa.string())])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [words_of(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, words), pa.int64()), pa.array(map(joined_sha256, words), pa.string())], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), _key(docs).alias("key"), F.col("text").cast("string")).mapInArrow(digest, "doc_id bigint, key bigint, n_words bigint, kept_sha256 string")
+    return marked.select("doc_id", "row", "text").mapInArrow(digest, "doc_id bigint, row bigint, n_words bigint, kept_sha256 string")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """key, text, places (first words of the repeated windows) of the documents that have any. A cut table."""
+    """row, text, ranges (begins and lengths of the repeated windows' first words) of the documents that have any. ``docs``: row (long, distinct), text."""
     width = shuffle_width(docs.sparkSession)
-    revealed = cut(candidate_places(docs, width).groupBy("key").agg(F.first("places").alias("places")))
-    texts = docs.select(_key(docs).alias("key"), F.col("text").cast("string").alias("text"))
-    candidates = cut(texts.join(revealed.hint("merge"), "key"))  # the same plan at every size
-    found = cut(repeated_windows(candidates, width).groupBy("key").agg(F.first("places").alias("places")))
-    return candidates.select("key", "text").dropDuplicates(["key"]).join(found.hint("merge"), "key")
+    docs = docs.select("row", F.col("text").cast("string").alias("text"))
+    left = docs.withColumn("ranges", F.lit(None).cast("binary"))
+    for level in (*LEVELS, None):
+        found = possible(left, level, width)
+        left = (docs if level == LEVELS[0] else left.drop("ranges")).join(found.hint("merge"), "row")  # the same plan at every size
+        left = cut(left) if level else left
+    return left
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row of ``docs``.
 
     A word goes if a window of WINDOW words covers it that starts anywhere else too. Null and empty texts have no
-    words; a document of fewer words than a window loses none. Rows that repeat (doc_id and text) repeat each other's
+    words; a document of fewer words than a window loses none. Rows that repeat repeat each other's
     windows, so all their windowed words go. Other columns are ignored.
     """
-    schema = pa.schema([("key", pa.int64()), ("n_removed", pa.int64()), ("left_sha256", pa.string())])
+    schema = pa.schema([("row", pa.int64()), ("n_removed", pa.int64()), ("left_sha256", pa.string())])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, removed, shas = batch.column(0), [], []
-            for text, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            removed, shas = [], []
+            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = words_of(text)
-                keep = uncovered(len(words), np.frombuffer(places, "<u4").astype(np.int64))
+                keep = uncovered(len(words), ranges)
                 removed.append(len(words) - int(keep.sum()))
                 shas.append(joined_sha256([words[i] for i in np.flatnonzero(keep)]))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(removed, pa.int64()), pa.array(shas, pa.string())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(shas, pa.string())], schema=schema)
 
-    changed = repeats(docs).select("key", "text", "places").mapInArrow(digest, "key bigint, n_removed bigint, left_sha256 string")
-    joined = _whole(docs).join(cut(changed), "key", "left")
+    marked = cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string")))  # fixed by being written
+    changed = cut(repeats(marked).select("row", "text", "ranges").mapInArrow(digest, "row bigint, n_removed bigint, left_sha256 string"))
+    joined = _whole(marked).join(changed.hint("merge"), "row", "left")
     return joined.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("left_sha256", "kept_sha256").alias("kept_sha256"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the words of repeated windows removed from ``text``, what is left joined by one blank; texts without repeats stay as they are."""
-    key, places = fresh("key_", docs.columns), fresh("places_", docs.columns)
-    found = cut(repeats(docs).select(F.col("key").alias(key), F.col("places").alias(places)))
-    joined = docs.withColumn(key, _key(docs)).join(found.hint("merge"), key, "left").select(*docs.columns, places)
+    row, ranges = fresh("row_", docs.columns), fresh("ranges_", docs.columns)
+    marked = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = repeats(marked.select(F.col(row).alias("row"), "text")).select(F.col("row").alias(row), F.col("ranges").alias(ranges))
+    joined = marked.join(cut(found).hint("merge"), row, "left").select(*docs.columns, ranges)
     at = docs.columns.index("text")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,8 +376,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for text, p in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 if p is not None:
                     words = words_of(text)
-                    keep = uncovered(len(words), np.frombuffer(p, "<u4").astype(np.int64))
-                    text = b" ".join(words[i] for i in np.flatnonzero(keep)).decode("utf-8", "surrogatepass")
+                    text = b" ".join(words[i] for i in np.flatnonzero(uncovered(len(words), p))).decode("utf-8", "surrogatepass")
                 texts.append(text)
             columns = [pa.array(texts, c.type) if i == at else c for i, c in enumerate(batch.columns[:-1])]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
