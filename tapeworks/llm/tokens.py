@@ -24,7 +24,7 @@ CACHE_LETTERS = 64
 #: Places for marks of words that came once, a byte each.
 MARKS = 1 << 22
 #: Bytes of the texts that are split together; a longer text is split alone.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 
 _END = struct.pack("<I", 0)
 _BLANK = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
