@@ -31,8 +31,8 @@ def test_pipeline_is_the_steps_by_hand(spark, tmp_path):
     kept = [(i, lines[i][0]) for i, _ in kept]
     first = {c for _, _, c in brute_simhash(kept)}
     kept = [(i, t) for i, t in kept if i in first]
-    automata = [decontam.Automaton(b) for b in decontam.blocks(bench)]
-    clean = [(i, decontam.remove_hits(t, automata)) for i, t in kept]
+    automaton = decontam.Automaton([("1", decontam.words_of(item))])
+    clean = [(i, decontam.remove_hits(t, automaton.scan(decontam.words_of(t))[0])) for i, t in kept]
     kept = [(i, new) for (i, new), (_, old) in zip(clean, kept, strict=True) if old is None or new is not None]
     assert 3001 not in dict(kept) and item not in dict(kept)[3000]
     enc, want = direct("word_bpe_49k.json"), []
