@@ -128,36 +128,45 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _MEET, strict=True)], schema=_MEET)
 
 
-def _same(names: np.ndarray) -> np.ndarray:
-    """Which names (rows of one or two numbers) stand more than once."""
+def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the names (rows of one or two numbers) in which equal ones follow each other, and which of them begin anew."""
     order = np.argsort(names[:, 0], kind="stable")
-    same = names[order[1:], 0] == names[order[:-1], 0]
-    if names.shape[1] > 1 and (same & (names[order[1:], 1] != names[order[:-1], 1])).any():
-        order = np.lexsort(names.T)
-    same = (names[order[1:]] == names[order[:-1]]).all(axis=1)
-    more = np.zeros(len(names), bool)
-    more[order[1:][same]] = True
-    more[order[:-1][same]] = True
-    return more
+    inside = names[order]
+    anew = np.ones(len(names), bool)
+    anew[1:] = inside[1:, 0] != inside[:-1, 0]
+    if names.shape[1] > 1:
+        other = inside[1:, 1] != inside[:-1, 1]
+        if (other & ~anew[1:]).any():
+            order = np.lexsort(names.T[::-1])
+            inside = names[order]
+            anew[1:] = (inside[1:] != inside[:-1]).any(axis=1)
+    return order, anew
+
+
+def _alone(names: np.ndarray) -> np.ndarray:
+    """Which names stand once."""
+    order, anew = _runs(names)
+    out = np.zeros(len(names), bool)
+    out[order] = anew & np.append(anew[1:], True)[: len(anew)]
+    return out
 
 
 def _pack(names: np.ndarray, places: np.ndarray, sizes: np.ndarray, batch: int, shares: int) -> list[tuple]:
     """Rows for the shuffle, one for each share of the names: first those that stand once in this batch, with place and size, then each other one once."""
-    more = _same(names)
-    once = np.flatnonzero(~more)
-    others = np.flatnonzero(more)
-    if len(others):
-        _, first = np.unique(names[others] if names.shape[1] > 1 else names[others, 0], axis=0, return_index=True)
-        others = others[first]
+    order, anew = _runs(names)
+    single = anew & np.append(anew[1:], True)[: len(anew)]
+    parts = []
+    for chosen in (order[single], order[anew & ~single]):
+        share = ((names[chosen, 0] >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)  # rises with the name
+        parts.append((chosen, np.searchsorted(share, np.arange(shares + 1, dtype=np.uint64)).tolist()))
+    (once, at), (others, to) = parts
+    near, far = places.astype("<u4")[once], sizes.astype("<u4")[once]
+    one, two = names[once], names[others]
     rows = []
-    share = [((names[x, 0] >> np.uint64(20)) % np.uint64(shares)).astype(np.int64) for x in (once, others)]
-    order = [x[np.argsort(s, kind="stable")] for x, s in zip((once, others), share, strict=True)]
-    cuts = [np.searchsorted(np.sort(s), np.arange(shares + 1)) for s in share]
     for s in range(shares):
-        single, rest = (o[c[s] : c[s + 1]] for o, c in zip(order, cuts, strict=True))
-        if len(single) or len(rest):
-            gaps = np.diff(places[single], prepend=0)
-            rows.append(("names", s, batch, names[np.concatenate([single, rest])].tobytes(), gaps.astype("<u4").tobytes(), sizes[single].astype("<u4").tobytes()))
+        if at[s] < at[s + 1] or to[s] < to[s + 1]:
+            mine = slice(at[s], at[s + 1])
+            rows.append(("names", s, batch, one[mine].tobytes() + two[to[s] : to[s + 1]].tobytes(), near[mine].tobytes(), far[mine].tobytes()))
     return rows
 
 
@@ -166,15 +175,14 @@ def _meet(wide: int):
 
     def settle(rows: list[dict]) -> Iterator[tuple]:
         names = [np.frombuffer(r["names"], np.uint64).reshape(-1, wide) for r in rows]
-        more = _same(np.concatenate(names))
+        alone = _alone(np.concatenate(names))
         at = 0
         for r, found in zip(rows, names, strict=True):
             sizes = np.frombuffer(r["b"], "<u4")
-            alone = ~more[at : at + len(sizes)]
+            mine = alone[at : at + len(sizes)]
             at += len(found)
-            if alone.any():
-                places = np.cumsum(np.frombuffer(r["a"], "<u4"), dtype=np.int64)
-                yield "alone", None, r["batch"], None, places[alone].tobytes(), sizes[alone].tobytes()
+            if mine.any():
+                yield "alone", None, r["batch"], None, np.frombuffer(r["a"], "<u4")[mine].tobytes(), sizes[mine].tobytes()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come in order of their share."""
@@ -283,10 +291,9 @@ def possible(docs: DataFrame, level: int | None, width: int) -> DataFrame:
     def to_documents(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         first = np.frombuffer(left.a.iloc[0], np.int64)
         open_ = _flags(*unpacked(left.b.iloc[0]), int(first[-1]))
-        for a, b in zip(right.a, right.b, strict=True):
-            places, sizes = np.frombuffer(a, np.int64), np.frombuffer(b, "<u4").astype(np.int64)
-            low, high = np.maximum(places + sizes - WINDOW + ends, 0), places - ends
-            open_ &= ~_flags(low, np.maximum(high - low + 1, 0), len(open_))
+        places, sizes = (np.frombuffer(b"".join(c), "<u4").astype(np.int64) for c in (right.a, right.b))
+        low, high = np.maximum(places + sizes - WINDOW + ends, 0), places - ends
+        open_ &= ~_flags(low, np.maximum(high - low + 1, 0), len(open_))
         rows = np.frombuffer(left.names.iloc[0], np.int64)
         begins, lengths = _left(open_)
         doc = np.searchsorted(first, begins, side="right") - 1
