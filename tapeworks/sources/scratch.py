@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share; of our own only where that is unset."""
+    """A new folder below ``spark.checkpoint.dir``, which all executors share; of our own only where that is unset and all run on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tapeworks-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

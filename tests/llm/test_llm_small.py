@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -14,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tapeworks.llm import decontam, exactdup, jaccard, linedup, packing, secretscan, simhash, store, substring, tokens, toxicity, urlfilter
+from tapeworks.llm.common import shared_folder
 from tapeworks.llm.queries import ORACLE_SQL, tokenizer_file
 
 WORDS = [a + b for a in ("tha", "ning", "er", "ou", "blé", "ü") for b in ("on", "sh", "re", "ti", "wh", "ñ")]
@@ -272,18 +274,101 @@ def test_secret_base_spans(docs):
     assert len(got) == len(texts) and secretscan.secrets(docs([]).limit(0)).count() == 0
 
 
-def test_random_strings_are_told_from_words(docs):
-    rng = random.Random(6)
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    secret = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(30)]
-    plain = [f"{'_'.join(rng.choice(['page', 'section', 'item', 'the', 'content']) for _ in range(6))}_{rng.randrange(9)}" for _ in range(120)] + ["1z" * 12] * 5
-    rows = [(i, f"see {t} here") for i, t in enumerate(s for s in [*secret, *plain])]
-    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == 3] for r in secretscan.secrets(docs(rows)).collect()}
-    caught = sum(any(re.search(r"[0-9]", t) and got[i] == [(4, 4 + len(t))] for _ in (0,)) for i, t in enumerate(secret))
-    wrong = sum(bool(got[i]) for i in range(len(secret), len(rows)))
-    assert caught >= 27 and wrong <= 6
-    masked = secretscan.redact(docs(rows)).orderBy("doc_id").collect()
-    assert masked[-1]["lang"] == "en" and sum("[secret]" in r["text"] for r in masked) == caught + wrong
+def brute_battery(raw):
+    """Encoding, class and bin of a candidate by the three tests' own formulas, one symbol at a time."""
+    which = next(i for i, (_, must, _) in enumerate(secretscan.ENCODINGS) if re.search(must, raw))
+    s = raw.replace("=", "").replace("-", "+").replace("_", "/")
+    s = s.lower() if which == 1 else s
+    alphabet = secretscan.ENCODINGS[which][2]
+    n, size, v = len(s), len(alphabet), [alphabet.index(c) + 1 for c in s]
+    z_chi = (size / n * sum(v.count(k) ** 2 for k in range(1, size + 1)) - n - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n)
+    up = [x > size / 2 for x in v]
+    runs, k = 1 + sum(a != b for a, b in itertools.pairwise(up)), sum(up)
+    expected = 2 * k * (n - k) / n + 1
+    spread = (expected - 1) * (expected - 2) / (n - 1)
+    z_runs = (runs - expected) / math.sqrt(spread) if spread > 0 else math.sqrt(n)
+    mean = sum(v) / n
+    power = sum((x - mean) ** 2 for x in v)
+    z_serial = sum((a - mean) * (b - mean) for a, b in itertools.pairwise(v)) / power * math.sqrt(n) if power > 0 else math.sqrt(n)
+    total = max(z_chi, 0) ** 2 + z_runs**2 + z_serial**2
+    z = ((total / 3) ** (1 / 3) - (1 - 2 / 27)) / math.sqrt(2 / 27)
+    log10_p = -math.log10(1 + math.exp(min(1.5976 * z + 0.07056 * z**3, 690)))
+    return which, which * 16 + min(int(math.log2(n)), 12), min(math.floor(-log10_p * secretscan.BINS_A_DECADE), secretscan.BINS)
+
+
+#: Alphabets of random strings, as they are written.
+RANDOM = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+
+
+def test_battery_is_brute_force(docs):
+    rng = random.Random(16)
+    strings = ["".join(rng.choice(a) for _ in range(n)) for a in (*RANDOM.values(), "0123456789", "ab1", "1") for n in (20, 21, 33, 64, 200)]
+    strings += ["the_content_of_page_12_of_section", "a1" * 15, "0" * 30, "ABCDEF0123456789ABCDEF", "getTheDocumentFromTheFirstDatabase"]
+    got = secretscan.scan(docs(list(enumerate(strings))), "doc_id").collect()
+    seen = 0
+    for r in got:
+        for c in r["candidates"]:
+            t = c["test"]
+            which, cell, bin_ = brute_battery(strings[r["doc_id"]][c["start"] : c["end"]])
+            assert (t["encoding"], t["cell"]) == (which, cell) and abs(t["bin"] - bin_) <= 1, strings[r["doc_id"]]
+            seen += 1
+    assert seen >= len(strings) - 1
+
+
+def test_false_discoveries_are_held(docs):
+    """Thresholds are Benjamini-Hochberg's over the binned p-values of each class."""
+    rng = random.Random(17)
+    strings = ["".join(rng.choice(RANDOM["base64"]) for _ in range(40)) for _ in range(60)] + [f"the_content_of_page_{rng.randrange(10**6):06d}_x" for _ in range(200)]
+    scanned = secretscan.scan(docs(list(enumerate(strings))), "doc_id")
+    cells = {}
+    for r in scanned.collect():
+        for c in r["candidates"]:
+            cells.setdefault(c["test"]["cell"], []).append(c["test"]["bin"])
+    want = {}
+    for cell, bins in cells.items():
+        ok = [b for b in set(bins) if 10 ** (-b / 20) <= 0.05 * sum(x >= b for x in bins) / len(bins)]
+        want[cell] = min(ok, default=secretscan.BINS + 1)
+    assert secretscan.thresholds(scanned) == want
+
+
+@pytest.mark.parametrize("length", [20, 32, 64])
+def test_recall_and_precision_by_encoding(docs, length):
+    """At least nine of ten random strings of each encoding are found among words, and nine of ten found strings are random."""
+    rng = random.Random(length)
+    words = ["page", "section", "item", "the", "content", "draft", "chapter", "final"]
+    plain = []
+    while len(plain) < 900:
+        p = "_".join(rng.choice(words) for _ in range(2 + length // 6)) + f"_{rng.randrange(9)}"
+        if p[: length + 9].strip("_") and len(p) >= 20:
+            plain.append(p)
+    secret = [(k, "".join(rng.choice(a) for _ in range(length))) for k, a in RANDOM.items() for _ in range(150)]
+    strings = [s for _, s in secret] + plain
+    got = {r["doc_id"]: r["spans"] for r in secretscan.secrets(docs([(i, f"see {t} here") for i, t in enumerate(strings)])).collect()}
+    hit = [any((s["start"], s["end"]) == (4, 4 + len(t)) for s in got[i]) for i, t in enumerate(strings)]
+    for kind in RANDOM:
+        mine = [h for h, (k, _) in zip(hit, secret, strict=False) if k == kind]
+        assert sum(mine) >= 0.9 * len(mine), (kind, sum(mine))
+    assert sum(hit[: len(secret)]) >= 0.9 * sum(hit), sum(hit[len(secret) :])
+
+
+def test_letters_of_mixed_case_are_tested(docs):
+    rng = random.Random(18)
+    strings = ["".join(rng.choice(RANDOM["base64"][:52]) for _ in range(40)) for _ in range(50)]
+    got = secretscan.secrets(docs([(i, f"see {t} here") for i, t in enumerate(strings)])).collect()
+    assert sum(bool(r["spans"]) for r in got) >= 45
+
+
+def test_redaction(spark):
+    """Spans are masked whatever the row's id, overlapping ones as one; columns may have any names."""
+    rng = random.Random(19)
+    h = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    many = " ".join(h(30) for _ in range(600))
+    rows = [(1, f"password={h(30)} é x"), (1, "nothing here"), (None, "password=abcdef123 y"), (3, None), (4, ""), (5, many), (6, f"token={h(24)}g{h(25)}.{h(24)}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").select("*", *(F.lit(1).alias(c) for c in ("spans_", "scanned_", "base_", "candidates_", "base", "candidates", "at")))
+    out = secretscan.redact(df)
+    assert out.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted([(1, "[secret] é x"), (1, "nothing here"), (None, "[secret] y"), (3, None), (4, ""), (5, " ".join(["[secret]"] * 600)), (6, "[secret]")], key=repr)
+    assert secretscan.redact(df.limit(0)).count() == 0
 
 
 def brute_contamination(t, items, window=10):
@@ -329,7 +414,7 @@ def test_decontamination_removes_spans_and_keeps_the_rest(spark, docs):
         assert got == {1: f"{head}, () {tail}", 3: rows[2][1], 4: None, 5: ""}
 
 
-def brute_lines(rows, window):
+def brute_lines(rows, window, least_words=linedup.LEAST_WORDS):
     order = sorted(range(len(rows)), key=lambda k: rows[k][0])
     seen, out = {}, {}
     for k in order:
@@ -341,6 +426,12 @@ def brute_lines(rows, window):
             if run in seen:
                 gone.update(at[j : j + window])
             seen.setdefault(run, k)
+        for i in at:
+            line = lines[i].strip(" \t\x0b\x0c\r")
+            if len(re.findall(r"[^ \t\x0b\x0c\r]+", line)) >= least_words:
+                if line in seen:
+                    gone.add(i)
+                seen.setdefault(line, k)
         out[rows[k][0]] = ("\n".join(x for i, x in enumerate(lines) if i not in gone) if rows[k][1] is not None else None, len(at), len(gone))
     return out
 
@@ -348,10 +439,13 @@ def brute_lines(rows, window):
 @pytest.mark.parametrize("window", [1, 2, 3])
 def test_line_dedup_is_brute_force(docs, window):
     rng = random.Random(window)
-    lines = [text(rng, 3) for _ in range(9)] + ["", "  ", "A", "\tA \r"]
+    lines = [text(rng, 3) for _ in range(9)] + ["", "  ", "A", "\tA \r"] + [text(rng, n) for n in (7, 8, 12)]
     rows = [(i * 13 % 97, "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 12)))) for i in range(40)] + [(500 + i, t) for i, t in enumerate(ODD)] + [(700, "\n".join(["same"] * 400))]
     got = {r["doc_id"]: (r["text"], r["n_lines_"], r["n_removed_"]) for r in linedup.dedup_lines(docs(rows), window).collect()}
     assert got == brute_lines(rows, window)
+    if window == 2:
+        by_sql = duck(ORACLE_SQL["op5_line_dedup"], documents=(rows, "doc_id BIGINT, text VARCHAR"))
+        assert sorted(by_sql) == sorted((i, n, k, hashlib.sha256((t or "").encode()).hexdigest()) for i, (t, n, k) in got.items())
 
 
 def test_winnowing_guarantee():
@@ -462,13 +556,13 @@ def test_equal_passages_have_equal_symbols_inside():
 def test_names_meet_share_by_share():
     """Equal first halves of 128-bit names don't make names equal; singles of one batch that stand in another aren't alone."""
     names = np.array([[1, 1], [1, 2], [1, 1], [5, 9], [5, 8], [5, 9], [7, 0]], np.uint64)
-    assert substring._same(names).tolist() == [True, False, True, True, False, True, False]
-    assert substring._same(np.zeros((0, 1), np.uint64)).tolist() == []
+    assert substring._alone(names).tolist() == [False, True, False, False, True, False, True]
+    assert substring._alone(np.zeros((0, 1), np.uint64)).tolist() == []
     rng = np.random.default_rng(6)
-    sets = [rng.integers(0, 60, 50).astype(np.uint64) << np.uint64(20) for _ in range(3)]
+    sets = [rng.integers(0, 60, 50).astype(np.uint64) << np.uint64(58) for _ in range(3)]
     rows = [r for b, x in enumerate(sets) for r in substring._pack(x[:, None], np.arange(50), np.full(50, 3), b, 7)]
     rows.sort(key=lambda r: r[1])
-    got = {(r["batch"], int(p)) for out in substring._meet(1)(substring._rows(rows[i : i + 2]) for i in range(0, len(rows), 2)) for r in out.to_pylist() for p in np.frombuffer(r["a"], np.int64)}
+    got = {(r["batch"], int(p)) for out in substring._meet(1)(substring._rows(rows[i : i + 2]) for i in range(0, len(rows), 2)) for r in out.to_pylist() for p in np.frombuffer(r["a"], "<u4")}
     every = np.concatenate(sets).tolist()
     assert got == {(b, i) for b, x in enumerate(sets) for i, v in enumerate(x.tolist()) if every.count(v) == 1}
 
@@ -655,3 +749,69 @@ def test_non_negative_risk_recovers_the_positives():
     w, b = toxicity.train(x_p, x_u, 0.1)
     p = lambda x: 1 / (1 + np.exp(-(x @ w + b)))
     assert p(np.array([1.0, 0.0])) > 0.5 > 0.3 > p(np.array([0.0, 1.0]))
+
+
+def test_gradient_is_that_of_the_risk():
+    """Against differences of a risk computed one document at a time; below zero it points back."""
+    rng = np.random.default_rng(8)
+
+    def risk(x_p, x_u, w, b, prior):
+        loss = lambda x, y: math.log1p(math.exp(-y * (sum(a * c for a, c in zip(x, w, strict=True)) + b)))
+        negative = sum(loss(x, -1) for x in x_u) / len(x_u) - prior * sum(loss(x, -1) for x in x_p) / len(x_p)
+        return prior * sum(loss(x, 1) for x in x_p) / len(x_p), negative
+
+    below = set()
+    for case in range(12):
+        x_p, x_u = rng.integers(0, 2, (9, 4)).astype(np.float64), rng.integers(0, 2, (15, 4)).astype(np.float64)
+        if case % 2:
+            x_p[:], x_u[:, 0], w = 1, 0, np.array([6.0, 1, 1, 1])
+        else:
+            w = rng.normal(size=4)
+        b, prior = float(rng.normal()) - 3 * (case % 2), 0.6
+        by_w, by_b, under = toxicity.gradient(x_p, x_u, w, b, prior)
+        below.add(under)
+        positive, negative = risk(x_p, x_u, w, b, prior)
+        assert under == (negative < 0)
+        for k in range(5):
+            step = np.eye(5)[k] * 1e-6
+            sides = [risk(x_p, x_u, w + s * step[:4], b + s * step[4], prior) for s in (1, -1)]
+            whole = [(-n if under else p + n) for p, n in sides]
+            assert abs((whole[0] - whole[1]) / 2e-6 - np.append(by_w, by_b)[k]) < 1e-4
+    assert below == {True, False}
+
+
+def test_repeated_and_contradictory_labels(spark, docs):
+    rng = random.Random(23)
+    rows = [(i, text(rng, 30) + (" vilex" if i % 5 == 0 else "")) for i in range(400)]
+    labels = [(i, int(i % 5 == 0)) for i in range(400)]
+    schema = "doc_id bigint, toxic int"
+    once = toxicity.fit(docs(rows), spark.createDataFrame(labels, schema))
+    again = toxicity.fit(docs(rows), spark.createDataFrame([*labels, *labels, *((i, 0) for i in range(0, 400, 5)), (None, 1), (None, 0)], schema))
+    assert once == again
+    doubled = toxicity.fit(docs(rows + rows[:50] * 3), spark.createDataFrame(labels, schema))
+    assert doubled.prior == once.prior and doubled.score("x vilex") > 0.5 > 0.3 > doubled.score("x")
+
+
+def test_columns_with_the_names_used_inside(spark):
+    """Extra columns named like those that the operators use themselves come through unchanged."""
+    rng = random.Random(24)
+    names = ["salt_", "n_", "before_", "nth_", "rank_", "gone_id_", "gone_key_", "key_", "places_", "row_", "ranges_", "spans_", "base_", "candidates_", "earlier_hits_", "earlier_items_", "earlier_key_", "fp", "size", "text_", "run", "lines"]
+    rows = [(i, f"{text(rng, 40)}\n{text(rng, 9)}") for i in range(12)]
+    df = spark.createDataFrame([*rows, rows[0], (None, None)], "doc_id bigint, text string").select("*", *(F.lit(f"own {n}").alias(n) for n in names))
+    bench = spark.createDataFrame([(1, text(rng, 12))], "item_id bigint, text string")
+    for run in (linedup.dedup_lines, substring.remove_repeats, simhash.keep_one, lambda d: simhash.keep_one(d, 0.8), secretscan.redact, lambda d: decontam.decontaminate(d, bench, block_words=5), lambda d: packing.pack(d.withColumn("length", F.lit(3)), 10)):
+        out = run(df)
+        assert set(df.columns) <= set(out.columns)
+        assert out.count() >= 12 and all(r[n] == f"own {n}" for r in out.collect() for n in names)
+
+
+def test_folders_of_a_cluster_must_be_shared(spark):
+    class Elsewhere:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(Elsewhere())
