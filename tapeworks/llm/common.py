@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeworks.sources.scratch import folder
+
 #: A key counts as hot when it holds more than one in HOT_SHARE of the rows; so fewer than HOT_SHARE keys are hot.
 HOT_SHARE = 1000
 
@@ -26,12 +25,8 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where that is unset (a single machine)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tapeworks-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tapeworks-{uuid.uuid4().hex}"
+    """A new folder that all executors share."""
+    return folder(spark, "tapeworks")
 
 
 def cut(df: DataFrame, *partition_by: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeworks.llm.common import cut, shuffle_width
+from tapeworks.llm.common import cut, fresh, shuffle_width
 from tapeworks.llm.tokens import encoded
 
 CAPACITY = 2048
@@ -147,7 +147,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: tuple[str, ...] = ("d
     """Add ``sequence_id`` and ``offset`` to rows that have a ``length`` of 1 to ``capacity``.
 
     ``pieces`` should be a written table: it is read for the histogram and again for the ranks.
-    Ties (equal keys) get distinct places; an empty table gives an empty result.
+    Ties (equal keys) get distinct places; an empty table gives an empty result. Columns of the new names are replaced, others kept.
     """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
@@ -168,27 +168,27 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: tuple[str, ...] = ("d
     starts_, base_, each_, offsets_ = (np.array(x, np.int64)[order] for x in (starts, base, each, offsets))
 
     # A length may be that of a third of all rows: ranks are counted within salted shares of it.
-    salt = F.pmod(F.xxhash64(*key), F.lit(shuffle_width(spark)))
-    salted = pieces.withColumn("salt_", salt)
-    shares = salted.groupBy("length", "salt_").agg(F.count("*").alias("n_"))
-    before = F.sum("n_").over(Window.partitionBy("length").orderBy("salt_")) - F.col("n_")
+    pieces = pieces.drop("sequence_id", "offset")
+    salt, number, before, nth, rank_ = (fresh(c, pieces.columns) for c in ("salt_", "n_", "before_", "nth_", "rank_"))
+    salted = pieces.withColumn(salt, F.pmod(F.xxhash64(*key), F.lit(shuffle_width(spark))))
+    shares = salted.groupBy("length", salt).agg(F.count("*").alias(number))
+    so_far = F.sum(number).over(Window.partitionBy("length").orderBy(salt)) - F.col(number)
     order_by = [F.col(c).asc_nulls_first() for c in (*key, *(c for c in pieces.columns if c not in key and c != "ids"))]
     ranked = (
-        salted.withColumn("nth_", F.row_number().over(Window.partitionBy("length", "salt_").orderBy(*order_by)))
-        .join(shares.select("length", "salt_", before.alias("before_")), ["length", "salt_"])
-        .withColumn("rank_", F.col("before_") + F.col("nth_") - 1)
-        .select(*pieces.columns, "rank_")
+        salted.withColumn(nth, F.row_number().over(Window.partitionBy("length", salt).orderBy(*order_by)))
+        .join(shares.select("length", salt, so_far.alias(before)), ["length", salt])
+        .withColumn(rank_, F.col(before) + F.col(nth) - 1)
+        .select(*pieces.columns, rank_)
     )
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column(batch.schema.get_field_index("length")).to_numpy()
-            nth = batch.column(batch.schema.get_field_index("rank_")).to_numpy()
+            nth = batch.columns[-1].to_numpy()
             at = np.searchsorted(starts_, (length << 44) + nth, side="right") - 1
             within = (length << 44) + nth - starts_[at]
-            columns = [c for c, f in zip(batch.columns, batch.schema, strict=True) if f.name != "rank_"]
-            names = [f.name for f in batch.schema if f.name != "rank_"]
+            columns, names = batch.columns[:-1], batch.schema.names[:-1]
             columns += [pa.array(base_[at] + within // each_[at]), pa.array(offsets_[at] + within % each_[at] * length)]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "sequence_id", "offset"])
 
