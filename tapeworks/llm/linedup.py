@@ -1,9 +1,10 @@
 """Line deduplication by winnowing over line hashes.
 
 Of every WINDOW consecutive lines of a document the one with the smallest hash is a
-fingerprint, so two documents that share a run of WINDOW lines share a fingerprint in it.
-Fingerprints that occur once are dropped; the other positions are extended by the lines on
-both sides, and each run of WINDOW lines that also stands earlier in the corpus is deleted.
+fingerprint, so two documents that share a run of WINDOW lines share a fingerprint in it; a line of LEAST_WORDS words or more
+is one by itself. Fingerprints that occur once are dropped. At the other positions all windows that hold the fingerprint, on both sides,
+are named by 128 bits of their lines, and those that also stand earlier in the corpus are deleted. As each window of a
+repeated run holds a fingerprint, a match goes on in both directions until the lines differ.
 """
 
 from __future__ import annotations
@@ -19,18 +20,17 @@ from pyspark.sql import types as T
 
 from tapeworks.llm.common import cut, fresh, join_groups
 
-#: Lines in the shortest run that counts as repeated.
-WINDOW = 2
+#: The shortest run that counts as repeated: so many lines, or one line of so many words.
+WINDOW, LEAST_WORDS = 2, 8
 
 _BLANK = " \t\x0b\x0c\r"
 
 
-def line_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers (from 0) and hashes of the lines that aren't blank; blanks at a line's ends don't count."""
+def bare_lines(text: str | None) -> tuple[list[int], list[bytes]]:
+    """Numbers (from 0) and UTF-8 bytes of the lines that aren't blank; blanks at a line's ends don't count."""
     bare = [line.strip(_BLANK) for line in (text or "").split("\n")]
     at = [i for i, line in enumerate(bare) if line]
-    hashes = np.fromiter((xxhash.xxh64_intdigest(bare[i].encode("utf-8", "surrogatepass")) for i in at), np.uint64, len(at))
-    return np.array(at, np.int64), hashes
+    return at, [bare[i].encode("utf-8", "surrogatepass") for i in at]
 
 
 def minima(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -48,68 +48,87 @@ def _key(docs: DataFrame) -> Column:
     return F.xxhash64("doc_id", F.col("text").cast("string"))
 
 
-def fingerprints(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, key, nth (place among the lines that aren't blank), fingerprint, around (the hashes of the window - 1 lines on both sides and its own), first (the place of around's first)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fingerprint", pa.int64()), ("first", pa.int32()), ("around", pa.list_(pa.int64()))])
+def windows_at(lines: list[bytes], window: int = WINDOW, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+    """For each fingerprint of a document's lines: its hash, and the windows that hold it: first line, number of lines, name."""
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines))
+    signed = hashes.view(np.int64).tolist()
+    last = len(lines) - window
+    names = [xxhash.xxh3_128_digest(b"\n".join(lines[i : i + window])) for i in range(last + 1)]
+    chosen = set(minima(hashes, window).tolist())
+    for at, line in enumerate(lines):
+        around = [(i, window, names[i]) for i in range(max(0, at - window + 1), min(at, last) + 1)] if at in chosen else []
+        if window > 1 and len(line.split()) >= least_words:
+            around.append((at, 1, xxhash.xxh3_128_digest(line)))
+        if around:
+            yield signed[at], around
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def fingerprints(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
+    """doc_id, key, fingerprint, windows (those that hold it: first, its place among the lines that aren't blank; lines, how many; run, its name)."""
+    each = pa.struct([("first", pa.int32()), ("lines", pa.int32()), ("run", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fingerprint", pa.int64()), ("windows", pa.list_(each))])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hashes = line_hashes(text)[1].view(np.int64)
-                for at in minima(hashes.view(np.uint64), window).tolist():
-                    first = max(0, at - window + 1)
-                    rows.append((doc_id, key, int(hashes[at]), first, hashes[first : at + window].tolist()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long"), _key(docs).alias("key"), F.col("text").cast("string")).mapInArrow(each, "doc_id bigint, key bigint, fingerprint bigint, first int, around array<bigint>")
-
-
-def later_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, key, first: places of runs of ``window`` lines that also stand earlier (by doc_id, then text, then place)."""
-    prints = cut(fingerprints(docs, window))
+                rows += [(doc_id, key, f, w) for f, w in windows_at(bare_lines(text)[1], window, least_words)]
+            if not rows:
+                continue
+            *plain, windows = zip(*rows, strict=True)
+            ends = np.cumsum([0, *map(len, windows)]).astype(np.int32)
+            flat = [pa.array(c, t.type) for c, t in zip(zip(*(w for some in windows for w in some), strict=True), each, strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(flat, fields=list(each)))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in plain), lists], schema=schema)
+
+    return docs.select(F.col("doc_id").cast("long"), _key(docs).alias("key"), F.col("text").cast("string")).mapInArrow(
+        find, "doc_id bigint, key bigint, fingerprint bigint, windows array<struct<first: int, lines: int, run: binary>>"
+    )
+
+
+def later_runs(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
+    """doc_id, key, first, lines: places of windows that also stand earlier (by doc_id, then text, then place)."""
+    prints = cut(fingerprints(docs, window, least_words))
     shared = cut(prints.groupBy("fingerprint").agg(F.count("*").alias("times")).filter("times > 1"))
     both = join_groups(prints, shared, ["fingerprint"], "times", prints.count())
     # Rows that are the same document count once: their positions are equal.
-    windows = F.expr(f"transform(sequence(1, size(around) - {window - 1}), i -> struct(first + i - 1 AS first, xxhash64(slice(around, i, {window})) AS run))")
-    runs = cut(both.select("doc_id", "key", F.explode(windows).alias("w")).select("doc_id", "key", "w.first", "w.run").distinct())
+    runs = cut(both.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.first", "w.lines", "w.run").distinct())
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "first")
-    earliest = runs.groupBy("run").agg(F.min(place).alias("earliest"), F.count("*").alias("times")).filter("times > 1")
-    again = join_groups(runs, cut(earliest), ["run"], "times", runs.count())
-    return again.filter(place > F.col("earliest")).select("doc_id", "key", "first")
+    earliest = runs.groupBy("lines", "run").agg(F.min(place).alias("earliest"), F.count("*").alias("times")).filter("times > 1")
+    again = join_groups(runs, cut(earliest), ["lines", "run"], "times", runs.count())
+    return again.filter(place > F.col("earliest")).select("doc_id", "key", "first", "lines")
 
 
 def remove_lines(text: str, gone: set[int]) -> str:
     """The text without its lines number ``gone`` among those that aren't blank."""
-    at, _ = line_hashes(text)
-    raw = {int(at[g]) for g in gone}
+    at, _ = bare_lines(text)
+    raw = {at[g] for g in gone}
     return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in raw)
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` without the lines of later repeated runs, and n_lines_, n_removed_ (lines that aren't blank) at the end.
 
     Order of the corpus: doc_id (null last), then a hash of the text, then line. Blank lines neither count nor break a
-    run, and stay. Runs of fewer than ``window`` lines stay, and so does the first place of every run and line. Null and
+    run, and stay. Runs of fewer than ``window`` lines stay, unless they are a line of ``least_words`` words or more, and so does the first place of every run and line. Null and
     empty texts have no lines and stay. Rows that share doc_id and text are one document: no row of it makes another go.
     """
-    n_lines, n_removed = fresh("n_lines_", docs.columns), fresh("n_removed_", docs.columns)
-    key, places = fresh("key_", docs.columns), fresh("places_", docs.columns)
-    gone = later_runs(docs, window).groupBy("doc_id", "key").agg(F.collect_set("first").alias(places))
-    gone = cut(gone.select(F.col("doc_id").alias("gone_id_"), F.col("key").alias("gone_key_"), places))
+    taken = list(docs.columns)
+    n_lines, n_removed = fresh("n_lines_", taken), fresh("n_removed_", taken)
+    key, places, gone_id, gone_key = (fresh(c, taken) for c in ("key_", "places_", "gone_id_", "gone_key_"))
+    gone = later_runs(docs.select("doc_id", "text"), window, least_words).groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "lines")).alias(places))
+    gone = cut(gone.select(F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key), places)).hint("merge")  # the same plan at every size
     marked = docs.withColumn(key, _key(docs))
-    gone = gone.hint("merge")  # the same plan at every size
-    joined = marked.join(gone, (marked[key] == gone["gone_key_"]) & marked["doc_id"].eqNullSafe(gone["gone_id_"]), "left").select(*docs.columns, places)
+    joined = marked.join(gone, (F.col(key) == F.col(gone_key)) & marked["doc_id"].eqNullSafe(gone[gone_id]), "left").select(*docs.columns, places)
     at = docs.columns.index("text")
     out = T.StructType([*docs.schema.fields, T.StructField(n_lines, T.LongType()), T.StructField(n_removed, T.LongType())])
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, before, removed = [], [], []
-            for text, firsts in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                lines = {f + i for f in firsts or () for i in range(window)}
-                before.append(len(line_hashes(text)[0]))
+            for text, runs in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                lines = {r["first"] + i for r in runs or () for i in range(r["lines"])}
+                before.append(len(bare_lines(text)[0]))
                 removed.append(len(lines))
                 texts.append(remove_lines(text, lines) if lines else text)
             columns = [pa.array(texts, c.type) if i == at else c for i, c in enumerate(batch.columns[:-1])]
@@ -117,4 +136,3 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int64()), pa.array(removed, pa.int64())], names=names)
 
     return joined.mapInArrow(drop, out)
-

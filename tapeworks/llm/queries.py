@@ -97,9 +97,11 @@ WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
 b AS (SELECT doc_id, i, line, regexp_replace(regexp_replace(line, '^[ \t\x0B\x0C\r]+', ''), '[ \t\x0B\x0C\r]+$', '') AS bare FROM l),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS nth FROM b WHERE bare <> ''),
-w AS (SELECT doc_id, nth, bare || chr(10) || lead(bare) OVER (PARTITION BY doc_id ORDER BY nth) AS run FROM n),
-r AS (SELECT doc_id, nth, row_number() OVER (PARTITION BY run ORDER BY doc_id, nth) AS k FROM w WHERE run IS NOT NULL),
-g AS (SELECT DISTINCT doc_id, unnest([nth, nth + 1]) AS nth FROM r WHERE k > 1),
+w AS (
+  SELECT doc_id, nth, 2 AS lines, bare || chr(10) || lead(bare) OVER (PARTITION BY doc_id ORDER BY nth) AS run FROM n
+  UNION ALL SELECT doc_id, nth, 1, bare FROM n WHERE len(regexp_extract_all(bare, '[^ \t\x0B\x0C\r]+')) >= 8),
+r AS (SELECT doc_id, nth, lines, row_number() OVER (PARTITION BY lines, run ORDER BY doc_id, nth) AS k FROM w WHERE run IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, unnest(range(nth, nth + lines)) AS nth FROM r WHERE k > 1),
 k AS (
   SELECT b.doc_id, b.i, b.line, n.nth IS NOT NULL AS counts, g.nth IS NOT NULL AS gone
   FROM b LEFT JOIN n ON b.doc_id = n.doc_id AND b.i = n.i LEFT JOIN g ON n.doc_id = g.doc_id AND n.nth = g.nth)
