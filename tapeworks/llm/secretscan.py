@@ -1,7 +1,7 @@
 """Secret scan with DataFrame functions only.
 
-Three base patterns give spans by themselves. The method adds spans: strings of mixed
-letters and digits are tested for randomness (chi-squared uniformity over the alphabet
+Three base patterns give spans by themselves. The method adds spans: strings of letters
+and digits or of mixed case are tested for randomness (chi-squared uniformity over the alphabet
 of their inferred encoding, a runs test, lag-one serial correlation). Strings of words
 or counters fail these tests. Within each encoding and length class, what fails is
 found with the false-discovery rate held (Benjamini-Hochberg on binned p-values of all
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import cut
+from tapeworks.llm.common import cut, fresh
 
 # The base patterns.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -21,8 +21,9 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: A string that may be random: a whole run of these characters with a digit in it.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+#: A string that may be random: a whole run of 20 or more of these characters, with a digit in it or with a capital
+#: after a small letter three times. Shorter ones, and ones of small or of capital letters alone, look like words to the tests.
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*(?:[0-9]|(?:[a-z][+/_=-]*[A-Z][A-Za-z+/_=-]*?){3}))[A-Za-z0-9+/_=-]{20,}"
 
 #: Encodings, the first that fits counts: name, what a string must match, alphabet.
 ENCODINGS = [
@@ -36,19 +37,47 @@ FALSE_DISCOVERY = 0.05
 #: P-values fall into bins of a twentieth of a power of ten, 200 at most; lengths into doubling classes.
 BINS, BINS_A_DECADE = 200, 20
 
+#: Matches whose places are summed up together.
+BLOCK = 256
+
 _NOTHING = "array<struct<start:int,kind:int,end:int,text:string>>"
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _by_blocks(items: Column, total, add, within) -> Column:
+    """The arrays ``within(block, value before it)`` of blocks of BLOCK items, in one; values are carried by ``add(value, total(block))`` from 0 on."""
+
+    def block(k: Column) -> Column:
+        return F.slice(items, k * BLOCK + 1, F.lit(BLOCK))
+
+    blocks = F.sequence(F.lit(0), F.floor((F.greatest(F.size(items), F.lit(1)) - 1) / BLOCK).cast("int"))
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    carried = F.aggregate(F.transform(blocks, lambda k: total(block(k))), nothing, lambda acc, n: F.struct(add(acc["at"], F.coalesce(n, F.lit(0))).cast("int").alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")), lambda acc: acc["all"])
+    return F.flatten(F.zip_with(blocks, carried, lambda k, at: within(block(k), at)))
+
+
+def _running_max(ends: Column) -> Column:
+    def within(some: Column, at: Column) -> Column:
+        nothing = F.struct(at.alias("at"), F.array().cast("array<int>").alias("all"))
+        return F.aggregate(some, nothing, lambda acc, e: F.struct(F.greatest(acc["at"], e).alias("at"), F.concat(acc["all"], F.array(F.greatest(acc["at"], e))).alias("all")), lambda acc: acc["all"])
+
+    return _by_blocks(ends, F.array_max, F.greatest, within)
+
+
 def _spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
     """Leftmost matches that don't overlap: start, kind, end (code points), text of ``group``.
 
-    The pieces between the matches and the matches' own lengths add up to the places.
+    The pieces between the matches and the matches' own lengths add up to the places; sums are carried within blocks of
+    BLOCK matches and from block to block, so a text with very many takes no quadratic time.
     """
     between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    each = F.zip_with(F.zip_with(whole, part, lambda w, p: F.struct(w.alias("w"), p.alias("p"))), F.slice(between, 1, F.size(whole)), lambda m, b: F.struct(m["w"].alias("w"), m["p"].alias("p"), b.alias("b")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_NOTHING).alias("spans"))
+    each = F.arrays_zip(whole.alias("w"), part.alias("p"), F.slice(between, F.lit(1), F.size(whole)).alias("b"))
 
     def step(acc: Column, m: Column) -> Column:
         begin = (acc["at"] + m["b"]).cast("int")
@@ -56,7 +85,13 @@ def _spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
         span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), m["p"].alias("text"))
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    return F.aggregate(each, start, step, lambda acc: acc["spans"])
+    def total(matches: Column) -> Column:
+        return F.aggregate(matches, F.lit(0), lambda acc, m: (acc + m["b"] + F.length(m["w"])).cast("int"))
+
+    def within(matches: Column, at: Column) -> Column:
+        return F.aggregate(matches, F.struct(at.alias("at"), F.array().cast(_NOTHING).alias("spans")), step, lambda acc: acc["spans"])
+
+    return _bound(each, lambda matches: _by_blocks(matches, total, lambda a, b: a + b, within))
 
 
 def _if(condition: Column, spans: Column) -> Column:
@@ -102,12 +137,11 @@ def _battery(raw: Column) -> Column:
         size_class = F.least(F.floor(F.log2(n)), F.lit(12))
         return F.struct(m["encoding"].alias("encoding"), (m["encoding"] * 16 + size_class).cast("int").alias("cell"), F.least(F.floor(-log10_p * BINS_A_DECADE), F.lit(BINS)).cast("int").alias("bin"))
 
-    one = F.transform(F.transform(F.array(made), values), tests)
-    return one[0]
+    return _bound(made, lambda m: _bound(values(m), tests))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, base (spans of the three patterns) and candidates with their test results; null texts are empty."""
+def scan(docs: DataFrame, *keep: str, base_name: str = "base", tested_name: str = "candidates") -> DataFrame:
+    """The columns ``keep``, base (spans of the three patterns) and candidates with their test results; null texts are empty."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     assign = F.filter(_if(text.rlike("(?i)passw|secret|token|api_?key"), _spans(text, ASSIGN, 0, 1)), lambda s: F.length(s["text"]) >= LEAST["assign"])
     access = F.filter(_if(text.contains("AKIA"), _spans(text, ACCESS, 1)), lambda s: F.length(s["text"]) >= LEAST["access"])
@@ -117,16 +151,16 @@ def scan(docs: DataFrame) -> DataFrame:
     random = _if(text.rlike(CANDIDATE), _spans(text, CANDIDATE, 3))
     base = F.array_sort(F.concat(*(F.transform(x, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))) for x in (assign, access, hexes))))
     tested = F.transform(random, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), _battery(s["text"]).alias("test")))
-    return docs.select(F.col("doc_id").cast("long"), base.alias("base"), tested.alias("candidates"))
+    return docs.select(*keep, base.alias(base_name), tested.alias(tested_name))
 
 
-def thresholds(scanned: DataFrame, rate: float = FALSE_DISCOVERY) -> dict[int, int]:
+def thresholds(scanned: DataFrame, rate: float = FALSE_DISCOVERY, tested: str = "candidates") -> dict[int, int]:
     """For each encoding and length class: the least bin of p-values (from 1 downwards) whose strings aren't random.
 
     Benjamini-Hochberg: the largest p with p <= rate * (strings at or below p) / strings. The counts are of all documents, in at most a few thousand cells.
     """
     cells: dict[int, dict[int, int]] = {}
-    for r in scanned.select(F.explode("candidates.test").alias("t")).groupBy("t.cell", "t.bin").count().collect():
+    for r in scanned.select(F.explode(f"{tested}.test").alias("t")).groupBy("t.cell", "t.bin").count().collect():
         cells.setdefault(r["cell"], {})[r["bin"]] = r["count"]
     found = {}
     for cell, bins in cells.items():
@@ -139,21 +173,25 @@ def thresholds(scanned: DataFrame, rate: float = FALSE_DISCOVERY) -> dict[int, i
     return found
 
 
+def _all_spans(base: str, tested: str, least: dict[int, int]) -> Column:
+    """Base spans and those of random strings that touch none, in order; ``least``: see ``thresholds``."""
+    random = F.col(tested)
+    if least:
+        limit = F.create_map(*(F.lit(x) for pair in sorted(least.items()) for x in pair))
+        random = F.filter(random, lambda s: s["test"]["bin"] < limit[s["test"]["cell"]])
+    apart = F.filter(random, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    added = F.transform(apart, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return F.array_sort(F.concat(base, added))
+
+
 def secrets(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
     """doc_id and its spans (array of start, kind, end in order): kinds 0 assign, 1 access, 2 hex, 3 random.
 
     A random string that touches a base span adds none. Texts without spans have empty arrays;
     null and empty texts are such; repeated rows are scanned each for itself.
     """
-    scanned = cut(scan(docs))
-    least = thresholds(scanned, rate)
-    random = F.col("candidates")
-    if least:
-        limit = F.create_map(*(F.lit(x) for pair in sorted(least.items()) for x in pair))
-        random = F.filter(random, lambda s: s["test"]["bin"] < limit[s["test"]["cell"]])
-    apart = F.filter(random, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    added = F.transform(apart, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return scanned.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    scanned = cut(scan(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id"))
+    return scanned.select("doc_id", "base", _all_spans("base", "candidates", thresholds(scanned, rate)).alias("spans"))
 
 
 KINDS = ("assign", "access", "hex", "random")
@@ -169,14 +207,18 @@ def count_kind(spans: Column, kind: int) -> Column:
 
 
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
-    """``docs`` (unique doc_id) with each span of ``text`` replaced by ``mask``; other columns stay."""
-    found = secrets(docs).filter(F.size("spans") > 0).select(F.col("doc_id").alias("scanned_"), F.col("spans").alias("spans_"))
-    # Spans that overlap are merged: what begins before the end so far adds its rest only.
-    def step(acc: Column, s: Column) -> Column:
-        piece = F.when(s["start"] >= acc["at"], F.concat(F.substr(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    text = F.aggregate("spans_", start, step, lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, F.length("text"))))
-    joined = docs.join(found, F.col("doc_id") == F.col("scanned_"), "left")
-    return joined.select(*(F.when(F.col("spans_").isNull(), F.col("text")).otherwise(text).alias(c) if c == "text" else F.col(c) for c in docs.columns))
+    """``docs`` with each span of ``text`` replaced by ``mask``, whatever the row's doc_id; other columns, and null texts, stay."""
+    base, tested, spans = (fresh(c, docs.columns) for c in ("base_", "candidates_", "spans_"))
+    scanned = cut(scan(docs, *docs.columns, base_name=base, tested_name=tested))
+    found = scanned.withColumn(spans, _all_spans(base, tested, thresholds(scanned, tested=tested)))
+    text = F.col("text")
+
+    def cleaned(found: Column) -> Column:
+        # What lies before each span and after the last; spans that overlap are masked as one.
+        starts = F.concat(F.transform(found, lambda s: s["start"]), F.array(F.length(text)))
+        reach = F.concat(F.array(F.lit(0)), _running_max(F.transform(found, lambda s: s["end"])))
+        pieces = F.zip_with(reach, starts, lambda e, s: F.when(s >= e, F.substr(text, e + 1, s - e)))
+        return F.array_join(F.filter(pieces, lambda p: p.isNotNull()), mask)
+
+    masked = F.when(F.size(spans) > 0, _bound(F.col(spans), cleaned)).otherwise(text)
+    return found.select(*(masked.alias(c) if c == "text" else F.col(c) for c in docs.columns))
