@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.llm import jaccard
-from tapeworks.llm.common import cut, fresh, join_groups
+from tapeworks.llm.common import HOT_SHARE, cut, fresh, join_groups
+from tapeworks.llm.graph import components
 
 RADIUS, BITS, SHINGLE, SEED = 3, 64, 3, 42
 #: A larger bucket is dealt again by finer masks, under which no bucket can be larger than this.
@@ -99,46 +100,27 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1), [True]]))
 
 
-def linked(sorted_rows: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
-    """From (table and key, fingerprint) rows in order of the first: links, and the (table, fingerprint) rows of buckets too large."""
+def linked(sorted_rows: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[list[tuple[int, int]]]:
+    """Links within buckets, from (table and key, fingerprint) rows in order of the first. A bucket may come in several pieces."""
     keys, fps = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-    too_large: tuple[int, int] | None = None
     for more_keys, more_fps in sorted_rows:
         keys, fps = np.concatenate([keys, more_keys]), np.concatenate([fps, more_fps])
-        if not len(keys):
-            continue
-        at = _runs(keys)
-        last = int(at[-2])  # the run that may go on
-        links, large = _compare(keys[:last], fps[:last], too_large)
-        keys, fps = keys[last:], fps[last:]
-        if tuple(keys[0]) != too_large:
-            too_large = None
-        if len(keys) > BUCKET or too_large:
-            large += [(int(keys[0, 0]), int(x)) for x in fps]
-            too_large = tuple(keys[0])
-            keys, fps = keys[:0], fps[:0]
-        yield links, large
-    links, large = _compare(keys, fps, too_large)
-    yield links, large
-
-
-def _compare(keys: np.ndarray, fps: np.ndarray, too_large: tuple[int, int] | None) -> tuple[list, list]:
+        if len(keys):
+            last = int(_runs(keys)[-2])  # the run that may go on
+            yield _compare(keys[:last], fps[:last])
+            keys, fps = keys[last:], fps[last:]
+    yield _compare(keys, fps)
+
+
+def _compare(keys: np.ndarray, fps: np.ndarray) -> list[tuple[int, int]]:
     links: list[tuple[int, int]] = []
-    large: list[tuple[int, int]] = []
     if len(fps) == 0:
-        return links, large
+        return links
     at = _runs(keys)
     size = np.diff(at)
-    if too_large and tuple(keys[0]) == too_large:
-        large += [(int(keys[0, 0]), int(x)) for x in fps[: size[0]]]
-        size[0] = 0
     for i in np.flatnonzero(size > SHORT_RUN).tolist():
-        part = fps[at[i] : at[i + 1]]
-        if len(part) > BUCKET:
-            large += [(int(keys[at[i], 0]), int(x)) for x in part]
-        else:
-            links += forest(part)
-    small = np.repeat((size > 1) & (size <= SHORT_RUN), np.diff(at))
+        links += forest(fps[at[i] : at[i + 1]])
+    small = np.repeat((size > 1) & (size <= SHORT_RUN), size)
     keys, fps = keys[small], fps[small]
     for k in range(1, min(SHORT_RUN, len(fps))):
         same = (keys[k:] == keys[:-k]).all(axis=1)
@@ -146,7 +128,7 @@ def _compare(keys: np.ndarray, fps: np.ndarray, too_large: tuple[int, int] | Non
             break
         near = same & _near(fps[k:] ^ fps[:-k])
         links += list(zip(fps[:-k][near].tolist(), fps[k:][near].tolist(), strict=True))
-    return links, large
+    return links
 
 
 def _masked(fps: DataFrame, masks: list[int], table: int = 0) -> DataFrame:
@@ -156,53 +138,36 @@ def _masked(fps: DataFrame, masks: list[int], table: int = 0) -> DataFrame:
 
 
 def _in_buckets(rows: DataFrame) -> DataFrame:
-    """a, b: links; or a null and the table t of a fingerprint b whose bucket was too large."""
-    schema = pa.schema([("t", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+    """a, b: links within the buckets of rows t, key, fp."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numpied = ((np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], axis=1), b.column(2).to_numpy()) for b in batches)
-        for links, large in linked(numpied):
-            if links or large:
-                t = [None] * len(links) + [x for x, _ in large]
-                a = [x for x, _ in links] + [None] * len(large)
-                b = [x for _, x in links] + [x for _, x in large]
-                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+        for found in linked(numpied):
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
 
-    return rows.repartition("t", "key").sortWithinPartitions("t", "key", "fp").mapInArrow(compare, "t bigint, a bigint, b bigint")
+    return rows.repartition("t", "key").sortWithinPartitions("t", "key", "fp").mapInArrow(compare, "a bigint, b bigint")
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """Links a, b between distinct fingerprints (column fp) that join all within the radius; each pair in the radius is in one component."""
-    masks = covering_masks()
-    found = cut(_in_buckets(_masked(fps, masks)))
-    out = found.filter("t IS NULL").select("a", "b")
-    for t in [r["t"] for r in found.filter("t IS NOT NULL").select("t").distinct().collect()]:  # 15 at most
-        again = found.filter(F.col("t") == t).select(F.col("b").alias("fp"))
-        out = out.union(_in_buckets(_masked(again, finer_masks(masks[t]))).filter("t IS NULL").select("a", "b"))
-    return out
-
+    """Links a, b between distinct fingerprints (column fp) that join all within the radius; each pair in the radius is in one component.
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root (the smallest node that it is connected with) for nodes of ``edges`` (a, b: long).
-
-    Each round hangs every larger neighbour, then every smaller one, on the smallest of a
-    node's neighbours, until nothing changes; the number of rounds grows with the
-    logarithm of the components' size.
+    Buckets of more than BUCKET fingerprints never meet in a task: theirs are dealt again by finer masks.
     """
-    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    seen = None
-    while True:
-        both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut(large.union(both.join(least, "a").filter("b > a AND m < a").select("a", F.col("m").alias("b"))).distinct())
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).filter("a <> b")
-        edges = cut(small.distinct())
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("a")).first()
-        if state == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
-        seen = state
+    masks, on = covering_masks(), ["t", "key"]
+    rows = _masked(fps, masks)
+    total = rows.count()
+    large = cut(rows.groupBy(*on).agg(F.count("*").alias("n")).filter(F.col("n") > BUCKET))
+    again = [r["t"] for r in large.select("t").distinct().collect()]  # 15 at most
+    if not again:
+        return cut(_in_buckets(rows))
+    hot = F.broadcast(large.filter(F.col("n") > total // HOT_SHARE + 1).select(*on))
+    out = cut(_in_buckets(rows.join(hot, on, "left_anti").join(large.select(*on), on, "left_anti").select(*on, "fp")))
+    apart = cut(join_groups(rows, large, on, "n", total).select("t", "fp"))
+    for t in again:
+        out = out.union(cut(_in_buckets(_masked(apart.filter(F.col("t") == t).select("fp"), finer_masks(masks[t])))))
+    return out
 
 
 def shingle_links(docs: DataFrame, rows: DataFrame, row: str, near: float) -> DataFrame:
