@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import shared_folder, shuffle_width
+from tapeworks.llm.common import HOT_SHARE, cut, shared_folder, shuffle_width
 from tapeworks.llm.tokens import encoder
 
 #: Ids that the rolling hash sees (a power of two), and bounds and mean of a chunk's length.
@@ -285,6 +285,20 @@ def _steps(store: Store) -> DataFrame:
     return store.recipes.select("shard", "place", "hashes", seq.alias("seq")).select("shard", "place", "seq", F.expr("substring(hashes, seq * 16 + 1, 16)").alias("hash"))
 
 
+def _with_chunks(store: Store, chunks: DataFrame, *columns: str) -> DataFrame:
+    """Each recipe with ``steps``: its chunks that were found, in order, as seq and ``columns`` of ``chunks`` (hash and these). Null if none was.
+
+    Chunks that very many steps name (fewer than HOT_SHARE) are joined by broadcast, the others by their hash.
+    """
+    steps = _steps(store)
+    total = store.recipes.agg(F.sum(F.expr("octet_length(hashes) div 16"))).first()[0] or 0
+    hot = F.broadcast(cut(steps.groupBy("hash").count().filter(F.col("count") > total // HOT_SHARE + 1).select("hash")))
+    by_hot = steps.join(F.broadcast(chunks.join(hot, "hash")), "hash")
+    by_hash = steps.join(hot, "hash", "left_anti").join(chunks, "hash")
+    found = by_hot.unionByName(by_hash).groupBy("shard", "place").agg(F.array_sort(F.collect_list(F.struct("seq", *columns))).alias("steps"))
+    return store.recipes.join(found, ["shard", "place"], "left")
+
+
 def document_digests(store: Store) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, read back from the store and verified.
 
@@ -292,9 +306,7 @@ def document_digests(store: Store) -> DataFrame:
     checksum follows from its chunks'. Raises where a chunk is missing or a length, a root or the manifest doesn't fit.
     """
     check_manifest(store)
-    found = _steps(store).join(checked_chunks(store), "hash", "left")
-    per_doc = found.groupBy("shard", "place").agg(F.array_sort(F.collect_list(F.struct("seq", "n", "crc"))).alias("steps"))
-    whole = store.recipes.join(per_doc, ["shard", "place"]).select("doc_id", "start", "n_tokens", "hashes", "root", F.col("steps.n").alias("n"), F.col("steps.crc").alias("crc"))
+    whole = _with_chunks(store, cut(checked_chunks(store)), "n", "crc").select("doc_id", "start", "n_tokens", "hashes", "root", F.col("steps.n").alias("n"), F.col("steps.crc").alias("crc"))
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,10 +315,10 @@ def document_digests(store: Store) -> DataFrame:
             for raw, top in zip(hashes.to_pylist(), root.to_pylist(), strict=True):
                 if merkle([raw[i : i + 16] for i in range(0, len(raw), 16)]) != top:
                     raise ValueError("a recipe doesn't fit its root")
-            lengths = [np.array(x, np.float64) for x in n.to_pylist()]
-            if any(np.isnan(x).any() or x.sum() != t for x, t in zip(lengths, n_tokens.to_pylist(), strict=True)):
+            lengths = [np.array(x or [], np.int64) for x in n.to_pylist()]
+            if any(len(x) * 16 != len(raw) or x.sum() != t for x, raw, t in zip(lengths, hashes.to_pylist(), n_tokens.to_pylist(), strict=True)):
                 raise ValueError("a chunk is missing or a recipe's length is wrong")
-            crcs = joined_crc(crc.to_pylist(), [x.astype(np.int64) for x in lengths])
+            crcs = joined_crc(crc.to_pylist(), lengths)
             yield pa.RecordBatch.from_arrays([doc_id, start, n_tokens, pa.array(crcs.astype(np.int64))], schema=schema)
 
     return whole.mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
@@ -315,9 +327,7 @@ def document_digests(store: Store) -> DataFrame:
 def read_documents(store: Store) -> DataFrame:
     """doc_id, start, ids (array) of each document, rebuilt from the chunks' payloads and verified as in ``document_digests``."""
     check_manifest(store)
-    found = _steps(store).join(store.chunks.select("hash", "width", "payload"), "hash", "left")
-    per_doc = found.groupBy("shard", "place").agg(F.array_sort(F.collect_list(F.struct("seq", "width", "payload"))).alias("steps"))
-    whole = store.recipes.join(per_doc, ["shard", "place"]).select("doc_id", "start", "steps", "n_tokens", "hashes", "root")
+    whole = _with_chunks(store, store.chunks.select("hash", "width", "payload"), "width", "payload").select("doc_id", "start", "steps", "n_tokens", "hashes", "root")
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int64()))])
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,9 +337,9 @@ def read_documents(store: Store) -> DataFrame:
                 names = [raw[i : i + 16] for i in range(0, len(raw), 16)]
                 if merkle(names) != top:
                     raise ValueError("a recipe doesn't fit its root")
+                if len(names) != len(steps or ()):
+                    raise ValueError("a chunk is missing")
                 for name, s in zip(names, steps, strict=True):
-                    if s["payload"] is None:
-                        raise ValueError(f"chunk {name.hex()} is missing")
                     if chunk_hash(s["payload"], s["width"]) != name:
                         raise ValueError(f"chunk {name.hex()} is damaged")
                 ids.append(np.concatenate([np.frombuffer(s["payload"], f"<u{s['width']}").astype(np.int64) for s in steps]))
