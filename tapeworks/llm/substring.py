@@ -214,8 +214,8 @@ def _batch_id(nth: int) -> int:
     return (TaskContext.get().partitionId() << 32) + nth
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Documents of a window or more, some GROUP_WORDS words at a time, the text (second column) as words."""
+def _groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple]]:
+    """Documents of a window or more, some ``most`` words at a time, the text (second column) as words."""
     group: list[tuple] = []
     size = 0
     for batch in batches:
@@ -226,7 +226,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
                 continue
             group.append((row[0], words, *row[2:]))
             size += len(words)
-            if size >= GROUP_WORDS:
+            if size >= most:
                 yield group
                 group, size = [], 0
     if group:
@@ -258,10 +258,10 @@ def possible(docs: DataFrame, level: int | None, width: int) -> DataFrame:
     ``docs``: row (long, distinct), text, ranges (of the windows to look at; null: all). ``level``: rounds of recompression; None
     names the windows themselves.
     """
-    ends, shares = (unsure(ROUNDS[:level]) if level else 0), SHARES * width
+    ends, shares, most = (unsure(ROUNDS[:level]) if level else 0), SHARES * width, GROUP_WORDS
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for nth, group in enumerate(_groups(batches)):
+        for nth, group in enumerate(_groups(batches, most)):
             first = np.concatenate([[0], np.cumsum([len(g[1]) for g in group])]).astype(np.int64)
             n = int(first[-1])
             words = [w for g in group for w in g[1]]

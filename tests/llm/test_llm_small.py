@@ -655,27 +655,69 @@ def test_near_copies_over_five_words_go(docs, monkeypatch):
     assert {r["doc_id"] for r in simhash.keep_one(docs(rows), 0.8).collect()} == want & by_simhash
     assert simhash.keep_one(docs(rows).limit(0), 0.8).count() == 0
 
-    members = [(k, 300) for k in range(10)]
-    monkeypatch.setattr(jaccard, "BLOCK", 1000)
-    groups = {}
-    for g, cls in jaccard.deal(members):
-        groups.setdefault(g, []).append(cls)
-    met = {p for c in groups.values() for p in itertools.combinations(sorted(c), 2)}
-    assert met == set(itertools.combinations(range(10), 2)) and max(map(len, groups.values())) == 6
+    with monkeypatch.context() as m:
+        m.setattr(jaccard, "BLOCK", 1000)
+        m.setattr(jaccard, "SPREAD", 2)
+        assert {r["doc_id"] for r in simhash.keep_one(docs(rows), 0.8).collect()} == want & by_simhash
+
+
+def test_members_that_their_leader_does_not_link_meet(docs, monkeypatch):
+    """A chain of texts in which neighbours alone are alike, in buckets that any two may share."""
+    monkeypatch.setattr(jaccard, "band_keys", lambda found: np.arange(jaccard.BANDS, dtype=np.int64))
+    monkeypatch.setattr(jaccard, "BLOCK", 500)
+    rng = random.Random(26)
+    words = text(rng, 900, [f"w{i}" for i in range(5000)]).split()
+    rows = [(i, " ".join(words[30 * i : 30 * i + 300])) for i in rng.sample(range(20), 20)] + [(100 + i, text(rng, 200)) for i in range(10)] + [(50, " ".join(words[:300]))]
+    d = docs(rows)
+    got = jaccard.components(jaccard.links(d, F.col("doc_id"), 0.8)).collect()
+    assert sorted((r["node"], r["root"]) for r in got) == sorted([(i, 0) for i in range(20)] + [(50, 0)])
 
 
-def test_large_buckets_are_dealt_again(monkeypatch):
-    """In one process: runs over the limit leave their fingerprints for finer masks, in order and in pieces."""
-    monkeypatch.setattr(simhash, "BUCKET", 8)
-    monkeypatch.setattr(simhash, "SHORT_RUN", 4)
+def test_buckets_come_in_pieces():
+    """In one process: links within runs of equal keys, whatever pieces the rows come in."""
     rng = np.random.default_rng(3)
-    keys = np.sort(rng.integers(0, 4, 60))
-    fps = np.arange(60, dtype=np.int64)
-    cuts = [0, 7, 8, 30, 31, 60]
+    keys = np.sort(rng.integers(0, 9, 300))
+    fps = rng.integers(0, 1 << 9, 300)
+    cuts = [0, 7, 8, 30, 31, 150, 300]
     batches = ((np.stack([np.zeros(b - a, np.int64), keys[a:b]], axis=1), fps[a:b]) for a, b in itertools.pairwise(cuts))
-    large = sorted(x for _, over in simhash.linked(batches) for _, x in over)
-    want = sorted(int(f) for k in range(4) for f in fps[keys == k] if (keys == k).sum() > 8)
-    assert large == want
+    got = [x for found in simhash.linked(batches) for x in found]
+
+    def classes(pairs):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            root[find(a)] = find(b)
+        return {frozenset(y for y in root if find(y) == find(x)) for x in root}
+
+    want = [(a, b) for k in range(9) for a, b in itertools.combinations(fps[keys == k].tolist(), 2) if (a ^ b).bit_count() <= 3 and a != b]
+    assert classes([(a, b) for a, b in got if a != b]) == classes(want)
+
+
+@pytest.mark.parametrize("bucket", [8, 4096])
+def test_large_buckets_are_dealt_again(spark, monkeypatch, bucket):
+    """All pairs in the radius are in one component, with buckets that are dealt by finer masks and a hub among them."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rng = random.Random(5)
+    fps = {rng.getrandbits(20) | 0x5555 << 40 for _ in range(150)} | {0x1234 ^ (1 << i) for i in range(60)} | {0x1234}
+    df = spark.createDataFrame([(f,) for f in sorted(fps)], "fp bigint")
+    got = {r["node"]: r["root"] for r in simhash.components(simhash.links(df)).collect()}
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(fps), 2):
+        if (a ^ b).bit_count() <= 3:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    assert {f: got.get(f, f) for f in fps} == {f: find(f) for f in fps}
 
 
 def test_store_round_trip(docs):
