@@ -2,9 +2,9 @@
 
 Of every WINDOW consecutive lines of a document the one with the smallest hash is a
 fingerprint, so two documents that share a run of WINDOW lines share a fingerprint in it; a line of LEAST_WORDS words or more
-is one by itself. Fingerprints that occur once are dropped. At the other positions all windows that hold the fingerprint, on both sides,
+is one by itself. Fingerprints that occur once are dropped. At the other positions the windows of which the fingerprint is the minimum, on both sides,
 are named by 128 bits of their lines, and those that also stand earlier in the corpus are deleted. As each window of a
-repeated run holds a fingerprint, a match goes on in both directions until the lines differ.
+repeated run has its fingerprint, a match goes on in both directions until the lines differ.
 """
 
 from __future__ import annotations
@@ -34,13 +34,12 @@ def bare_lines(text: str | None) -> tuple[list[int], list[bytes]]:
 
 
 def minima(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Places of the smallest hash in each window of consecutive lines, the last of equals; none for fewer lines."""
+    """For each window of consecutive lines, the place of its smallest hash, the last of equals; none for fewer lines."""
     n = len(hashes)
     if n < window:
         return np.zeros(0, np.int64)
     seen = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    last = window - 1 - seen[:, ::-1].argmin(axis=1)
-    return np.unique(np.arange(n - window + 1) + last)
+    return np.arange(n - window + 1) + window - 1 - seen[:, ::-1].argmin(axis=1)
 
 
 def _key(docs: DataFrame) -> Column:
@@ -49,22 +48,22 @@ def _key(docs: DataFrame) -> Column:
 
 
 def windows_at(lines: list[bytes], window: int = WINDOW, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
-    """For each fingerprint of a document's lines: its hash, and the windows that hold it: first line, number of lines, name."""
+    """For each fingerprint of a document's lines: its hash, and the windows that it is the minimum of: first line, number of lines, name."""
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines))
     signed = hashes.view(np.int64).tolist()
-    last = len(lines) - window
-    names = [xxhash.xxh3_128_digest(b"\n".join(lines[i : i + window])) for i in range(last + 1)]
-    chosen = set(minima(hashes, window).tolist())
-    for at, line in enumerate(lines):
-        around = [(i, window, names[i]) for i in range(max(0, at - window + 1), min(at, last) + 1)] if at in chosen else []
-        if window > 1 and len(line.split()) >= least_words:
-            around.append((at, 1, xxhash.xxh3_128_digest(line)))
-        if around:
-            yield signed[at], around
+    held: dict[int, list[tuple[int, int, bytes]]] = {}
+    for i, at in enumerate(minima(hashes, window).tolist()):
+        held.setdefault(at, []).append((i, window, xxhash.xxh3_128_digest(b"\n".join(lines[i : i + window]))))
+    if window > 1:
+        for at, line in enumerate(lines):
+            if len(line.split()) >= least_words:
+                held.setdefault(at, []).append((at, 1, xxhash.xxh3_128_digest(line)))
+    for at, windows in held.items():
+        yield signed[at], windows
 
 
 def fingerprints(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, key, fingerprint, windows (those that hold it: first, its place among the lines that aren't blank; lines, how many; run, its name)."""
+    """doc_id, key, fingerprint, windows (those that it is the minimum of: first, its place among the lines that aren't blank; lines, how many; run, its name)."""
     each = pa.struct([("first", pa.int32()), ("lines", pa.int32()), ("run", pa.binary())])
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fingerprint", pa.int64()), ("windows", pa.list_(each))])
 
@@ -91,8 +90,8 @@ def later_runs(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_W
     prints = cut(fingerprints(docs, window, least_words))
     shared = cut(prints.groupBy("fingerprint").agg(F.count("*").alias("times")).filter("times > 1"))
     both = join_groups(prints, shared, ["fingerprint"], "times", prints.count())
-    # Rows that are the same document count once: their positions are equal.
-    runs = cut(both.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.first", "w.lines", "w.run").distinct())
+    runs = cut(both.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.first", "w.lines", "w.run"))
+    # Rows that are the same document have the same places, so none of them is later.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "first")
     earliest = runs.groupBy("lines", "run").agg(F.min(place).alias("earliest"), F.count("*").alias("times")).filter("times > 1")
     again = join_groups(runs, cut(earliest), ["lines", "run"], "times", runs.count())
