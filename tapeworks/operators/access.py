@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.functions.exprs import every
+from tapeworks.operators.summaries import exact_quantiles
 
 OPTION_TYPES = ("options_daily", "options_minute")
 DATE_COLUMNS = ("filing_date", "date", "timestamp", "start_date")
@@ -101,7 +102,7 @@ def of_types(df: DataFrame, column: str, kinds: list[str]) -> DataFrame:
 
 def above_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
     """Rows over the exact quantile of the whole table, which joins as one row."""
-    limit = df.agg(F.percentile(column, F.lit(q)).alias("limit_"))
+    limit = exact_quantiles(df, column, [q]).toDF("limit_")
     return df.join(F.broadcast(limit)).filter(F.col(column) > F.col("limit_")).drop("limit_")
 
 

@@ -47,8 +47,19 @@ def prepared(bars: DataFrame) -> DataFrame:
     )
 
 
+def sorted_closes(n: int) -> Column:
+    """The closes of a window in order, which the quantiles and the rank share."""
+    return F.array_sort(F.collect_list("close").over(last_n(n)))
+
+
+def _quantile(ordered: Column, share: float) -> Column:
+    at = F.lit(share) * (F.size(ordered) - 1)
+    low, high = (F.get(ordered, f(at).cast("int")) for f in (F.floor, F.ceil))
+    return F.when(F.floor(at) == at, low).otherwise(low * (F.ceil(at) - at) + high * (at - F.floor(at)))
+
+
 def rolling(n: int) -> dict[str, Column]:
-    """The 29 families for one window length, on a prepared frame."""
+    """The 29 families for one window length, on a prepared frame that has ``sorted_<n>``, see ``sorted_closes``."""
     w = last_n(n)
     c, i, v = F.col("close"), F.col("i_"), F.col("v_")
     many = F.count("*").over(w) > 1
@@ -57,7 +68,7 @@ def rolling(n: int) -> dict[str, Column]:
     fit = guarded_corr(c, i, w)
     high_at = F.max_by("i_", F.struct("high", "i_")).over(w)
     low_at = F.max_by("i_", F.struct((-F.col("low")).alias("low"), F.col("i_"))).over(w)
-    closes = F.collect_list("close").over(w)
+    closes = F.col(f"sorted_{n}")
     lowest, highest = F.min("low").over(w), F.max("high").over(w)
     ups, downs = F.avg((F.col("d_") > 0).cast("double")).over(w), F.avg((F.col("d_") < 0).cast("double")).over(w)
     total, total_v = F.sum("ad_").over(w), F.sum("adv_").over(w)
@@ -67,7 +78,7 @@ def rolling(n: int) -> dict[str, Column]:
         "ROC": sdiv(F.lag("close", n).over(series()), c), "MA": sdiv(mean_c, c), "STD": sdiv(F.stddev_samp("close").over(w), c),
         "MAX": sdiv(F.max("close").over(w), c), "MIN": sdiv(F.min("close").over(w), c),
         "BETA": sdiv(slope, c), "RSQR": fit * fit, "RESI": sdiv(c - (mean_c + slope * (i - mean_i)), c),
-        "QTLU": sdiv(F.percentile("close", F.lit(0.8)).over(w), c), "QTLD": sdiv(F.percentile("close", F.lit(0.2)).over(w), c),
+        "QTLU": sdiv(_quantile(closes, 0.8), c), "QTLD": sdiv(_quantile(closes, 0.2), c),
         "RANK": F.size(F.filter(closes, lambda x: x <= c)) / F.size(closes), "RSV": sdiv(c - lowest, highest - lowest),
         "IMAX": (i - high_at) / n, "IMIN": (i - low_at) / n, "IMXD": (low_at - high_at) / n,
         "CORR": guarded_corr(c, F.col("lv_"), w), "CORD": guarded_corr(F.col("rc_"), F.col("rv_"), w),
@@ -83,7 +94,8 @@ def alpha158(bars: DataFrame, windows: tuple[int, ...] = WINDOWS, families: set[
     """symbol, date and the factors; ``families`` picks rolling families, and rows with fewer than ``min_periods`` rows so far get NULL."""
     chosen = {k: x for n in windows for k, x in rolling(n).items() if families is None or k[: -len(str(n))] in families}
     enough = (lambda x: F.when(F.col("i_") >= min_periods, x)) if min_periods > 1 else (lambda x: x)
-    return prepared(bars).select("symbol", "date", *(x.alias(k) for k, x in {**candle(), **prices()}.items()), *(enough(x).alias(k) for k, x in chosen.items()))
+    ready = prepared(bars).select("*", *(sorted_closes(n).alias(f"sorted_{n}") for n in windows))
+    return ready.select("symbol", "date", *(x.alias(k) for k, x in {**candle(), **prices()}.items()), *(enough(x).alias(k) for k, x in chosen.items()))
 
 
 def rolling_sum(x: str, n: int) -> Column:

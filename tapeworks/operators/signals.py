@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.exprs import last_n, sdiv, series, simple_return, so_far
+from tapeworks.operators.summaries import exact_quantiles
 
 #: Rows, in multiples of the span, after which the truncated moving average ignores the past.
 EMA_REACH = 10
@@ -132,14 +133,14 @@ def forward_labels() -> dict[str, Column]:
 def robust_zscore(df: DataFrame, value: str, label: str, clip: float = 3.0) -> DataFrame:
     """Value less its median over 1.4826 median deviations, clipped; missing values become 0 and rows without a label go.
 
-    The two medians are one-row aggregates that join every row.
+    The two medians (exact, see ``summaries.exact_quantiles``) are one row each that joins every row.
     """
     labelled = df.filter(F.col(label).isNotNull())
-    middle = labelled.agg(F.percentile(value, F.lit(0.5)).alias("median_"))
-    off = labelled.join(F.broadcast(middle)).agg(F.percentile(F.abs(F.col(value) - F.col("median_")), F.lit(0.5)).alias("mad_"))
+    middle = exact_quantiles(labelled, value, [0.5]).toDF("median_")
+    off = exact_quantiles(labelled.join(F.broadcast(middle), how="left"), F.abs(F.col(value) - F.col("median_")), [0.5]).toDF("mad_")
     z = sdiv(F.col(value) - F.col("median_"), F.col("mad_") * 1.4826)
-    z = F.greatest(F.least(z, F.lit(clip)), F.lit(-clip))
-    return labelled.join(F.broadcast(middle)).join(F.broadcast(off)).withColumn(f"{value}_z", F.coalesce(z, F.lit(0.0))).drop("median_", "mad_")
+    z = F.when(z.isNotNull(), F.greatest(F.least(z, F.lit(clip)), F.lit(-clip)))
+    return labelled.join(F.broadcast(middle), how="left").join(F.broadcast(off), how="left").withColumn(f"{value}_z", F.coalesce(z, F.lit(0.0))).drop("median_", "mad_")
 
 
 def top_k(df: DataFrame, k: int, score: str, *group: str, tie: str = "symbol", ascending: bool = False) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks.functions.exprs import count_true, guarded_corr, sdiv, series, simple_return
+from tapeworks.functions.exprs import col, count_true, guarded_corr, sdiv, series, simple_return
 
 
 def monthly_market(bars: DataFrame) -> DataFrame:
@@ -40,14 +40,41 @@ def watermarks(log: DataFrame, *keys: str) -> DataFrame:
     return log.filter("status = 'success'").groupBy(*keys).agg(F.max("date").alias("watermark"))
 
 
+#: The share of a rank by which an approximate quantile may be off is one in ACCURACY.
+ACCURACY = 100_000
+
+
+def exact_quantiles(df: DataFrame, value: str | Column, shares: list[float], key: str | None = None) -> DataFrame:
+    """One row, or one for each ``key`` (few, such as column names): q0, q1.. at ``shares``, interpolated between neighbours; NULL values don't count.
+
+    A first pass gives approximate bounds around each rank (of at most ACCURACY values: all of them); in a second one what lies
+    below and above is counted before the shuffle, and only the few values between the bounds are put in order.
+    """
+    slack = 3 / ACCURACY
+    x = df.select((F.col(key) if key else F.lit("")).alias("key"), col(value).cast("double").alias("x")).filter("x IS NOT NULL")
+    ends = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-slack, slack)]
+    bounds = x.groupBy("key").agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"), F.percentile_approx("x", ends, ACCURACY).alias("at"))
+    few = F.col("n") <= ACCURACY
+    each = F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(s) * (F.col("n") - 1)).alias("rank"), F.when(few, F.col("least")).otherwise(F.col("at")[2 * i]).alias("low"), F.when(few, F.col("most")).otherwise(F.col("at")[2 * i + 1]).alias("high")) for i, s in enumerate(shares)))
+    wanted = bounds.select("key", F.explode(each).alias("w")).select("key", "w.*")
+    v = F.when(F.col("x") < F.col("low"), F.lit(float("-inf"))).when(F.col("x") > F.col("high"), F.lit(float("inf"))).otherwise(F.col("x"))
+    counted = x.join(F.broadcast(wanted), "key").groupBy("key", "i", "rank", v.alias("v")).agg(F.count("*").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("key", "i").orderBy("v"))
+    ranked = counted.withColumn("until", so_far)
+    near = lambda r: F.min(F.when(F.col("until") > r, F.col("v")))
+    two = ranked.groupBy("key", "i", "rank").agg(near(F.floor("rank")).alias("a"), near(F.ceil("rank")).alias("b"))
+    rank = F.col("rank")
+    one = two.select("key", "i", F.when(F.floor(rank) == rank, F.col("a")).otherwise(F.col("a") * (F.ceil(rank) - rank) + F.col("b") * (rank - F.floor(rank))).alias("q"))
+    out = one.groupBy("key").agg(*(F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(shares))))
+    return out.withColumnRenamed("key", key) if key else out.drop("key")
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """A row per column: count, mean, std, min, quartiles, max (exact)."""
     long = df.unpivot([], columns, "feature", "value")
-    q = lambda p: F.percentile("value", F.lit(p))
-    return long.groupBy("feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max("value").alias("max"),
-    )
+    rest = long.groupBy("feature").agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], "feature")
+    return rest.join(quartiles, "feature", "left").select("feature", "count", "mean", "std", "min", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max")
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -69,10 +96,10 @@ def coverage(df: DataFrame, columns: list[str], key: str = "symbol") -> DataFram
 
 def outliers(df: DataFrame, column: str, reach: float = 3.0) -> DataFrame:
     """Rows beyond the quartiles by ``reach`` ranges between them."""
-    q = df.agg(F.percentile(column, F.lit(0.25)).alias("q1"), F.percentile(column, F.lit(0.75)).alias("q3"))
+    q = exact_quantiles(df, column, [0.25, 0.75]).toDF("q1", "q3")
     c, span = F.col(column), F.col("q3") - F.col("q1")
     beyond = (c < F.col("q1") - reach * span) | (c > F.col("q3") + reach * span)
-    return df.join(F.broadcast(q)).agg(F.count(column).alias("n"), count_true(beyond).alias("outliers"))
+    return df.join(F.broadcast(q), how="left").agg(F.count(column).alias("n"), count_true(beyond).alias("outliers"))
 
 
 def distinct_periods(df: DataFrame) -> DataFrame:
@@ -114,9 +141,10 @@ def return_pivot(bars: DataFrame, symbols: list[str]) -> DataFrame:
     return r.groupBy("date").pivot("symbol", symbols).agg(F.max("r"))
 
 
-def symbol_correlations(bars: DataFrame, symbols: list[str]) -> DataFrame:
-    """Correlation of returns between the symbols: an equi-join on the date, so it holds for any number of them."""
-    r = bars.filter(F.col("symbol").isin(symbols)).select("symbol", "date", simple_return("close", 1, series()).alias("r"))
+def symbol_correlations(bars: DataFrame, symbols: list[str] | None = None) -> DataFrame:
+    """Correlation of returns between all symbols, or some: an equi-join on the date. The result has a row for each pair of symbols."""
+    some = bars if symbols is None else bars.filter(F.col("symbol").isin(symbols))
+    r = some.select("symbol", "date", simple_return("close", 1, series()).alias("r"))
     a, b = r.select("date", F.col("symbol").alias("a"), F.col("r").alias("ra")), r.select("date", F.col("symbol").alias("b"), F.col("r").alias("rb"))
     return a.join(b, "date").filter("a < b").groupBy("a", "b").agg(guarded_corr(F.col("ra"), F.col("rb")).alias("corr"), F.count("*").alias("days"))
 
