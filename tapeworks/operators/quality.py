@@ -27,20 +27,28 @@ def unprocessed(expected: DataFrame, log: DataFrame, data_type: str) -> DataFram
     return missing(expected, log.filter((F.col("data_type") == data_type) & (F.col("status") == "success")))
 
 
-def enrich_range(bars: DataFrame, features, start: str, end: str, lookback_days: int = 60) -> DataFrame:
-    """Features over history, trimmed to the range: the same values as a run over everything, if the lookback covers the frames."""
-    begin = F.date_sub(F.lit(start).cast("date"), lookback_days)
-    seen = bars.filter(F.col("date").between(begin, F.lit(end).cast("date")))
-    return features(seen).filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+def enrich_range(bars: DataFrame, features, start: str, end: str, lookback: int = 60, key: str = "symbol") -> DataFrame:
+    """Features over history, trimmed to the range: the same values as a run over everything if no frame reaches further back than ``lookback`` rows of a key, however far apart these are."""
+    inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    nth = fresh("nth", bars.columns)
+    before = bars.filter(F.col("date") < F.lit(start).cast("date")).withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(F.desc("date"))))
+    return features(bars.filter(inside).unionByName(before.filter(F.col(nth) <= lookback).drop(nth))).filter(inside)
 
 
-def backfill(bars: DataFrame, features, expected: DataFrame, done: DataFrame, lookback_days: int = 60) -> DataFrame:
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name in taken:
+        name += "_"
+    return name
+
+
+def backfill(bars: DataFrame, features, expected: DataFrame, done: DataFrame, lookback: int = 60) -> DataFrame:
     """Features of the expected dates that aren't done yet."""
     gaps = missing(expected, done)
     span = gaps.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
     if span["a"] is None:
         return features(bars.limit(0))
-    return enrich_range(bars, features, str(span["a"]), str(span["b"]), lookback_days).join(gaps, "date", "left_semi")
+    return enrich_range(bars, features, str(span["a"]), str(span["b"]), lookback).join(gaps, "date", "left_semi")
 
 
 def log_entries(log: DataFrame, data_type: str | None = None, start: str | None = None, end: str | None = None, status: str | None = None, layer: str | None = None) -> DataFrame:
@@ -130,10 +138,12 @@ def completeness(bars: DataFrame) -> DataFrame:
     return bars.agg(F.count_distinct("symbol").alias("symbols"), F.count_distinct("date").alias("dates"), F.count("*").alias("rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
-def schema_differences(spark: SparkSession, paths: list[str]) -> dict[str, set[tuple[str, str]]]:
-    """For each path, the columns (name, type) by which its schema differs from the first one's. Reads footers only."""
-    found = {p: {(f.name, f.dataType.simpleString()) for f in spark.read.parquet(p).schema.fields} for p in paths}
-    return {p: s ^ found[paths[0]] for p, s in found.items()}
+def schema_differences(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, column, type, expected: where a path's column has another type than in the first path, or only one of the two has it (NULL on the other side). Reads footers only."""
+    found = {p: {f.name: f.dataType.simpleString() for f in spark.read.parquet(p).schema.fields} for p in paths}
+    first = found[paths[0]]
+    rows = [(p, c, s.get(c), first.get(c)) for p, s in found.items() for c in sorted(s.keys() | first.keys()) if s.get(c) != first.get(c)]
+    return spark.createDataFrame(rows, "path string, column string, type string, expected string")
 
 
 def panel_check(panel: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -55,11 +55,12 @@ def with_dates(bars: DataFrame) -> DataFrame:
 
 
 def read_payload(spark: SparkSession, path: str, name: str, wrapped: str | None = "results") -> DataFrame:
-    """JSON payloads, one object a line: rows of the array ``wrapped``, or the objects themselves."""
+    """JSON payloads, one object a line: rows of the array ``wrapped``, or the objects themselves; after those of partition folders."""
     row = PAYLOADS[name]
     if wrapped is None:
         return spark.read.schema(row).json(path)
-    return spark.read.schema(f"{wrapped} array<struct<{', '.join(f.replace(' ', ':', 1) for f in _split(row))}>>").json(path).select(F.inline(wrapped))
+    pages = spark.read.schema(f"{wrapped} array<struct<{', '.join(f.replace(' ', ':', 1) for f in _split(row))}>>").json(path)
+    return pages.select(*(c for c in pages.columns if c != wrapped), F.inline(wrapped))
 
 
 def _split(ddl: str) -> list[str]:
@@ -75,10 +76,11 @@ def _split(ddl: str) -> list[str]:
 
 
 def read_api_bars(spark: SparkSession, path: str, wrapped: str | None = "results") -> DataFrame:
-    """API bars with full names; epoch ms becomes timestamp, VWAP and transactions default to 0."""
+    """API bars with full names; epoch ms becomes timestamp, VWAP and transactions default to 0. Columns of partition folders, such as symbol, come first."""
     b = read_payload(spark, path, "bars", wrapped)
+    known = {f.split()[0] for f in _split(PAYLOADS["bars"])}
     return b.select(
-        F.timestamp_millis("t").alias("timestamp"), F.col("o").alias("open"), F.col("h").alias("high"), F.col("l").alias("low"), F.col("c").alias("close"),
+        *(c for c in b.columns if c not in known), F.timestamp_millis("t").alias("timestamp"), F.col("o").alias("open"), F.col("h").alias("high"), F.col("l").alias("low"), F.col("c").alias("close"),
         F.col("v").cast("bigint").alias("volume"), F.coalesce("vw", F.lit(0.0)).alias("vwap"), F.coalesce("n", F.lit(0)).cast("bigint").alias("transactions"),
     )
 
