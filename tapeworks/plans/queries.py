@@ -18,6 +18,7 @@ from tapeworks.operators import summaries as A
 from tapeworks.plans import views as V
 from tapeworks.plans.catalog import query
 from tapeworks.sources import sinks
+from tapeworks.sources.scratch import folder
 
 W = "(PARTITION BY symbol ORDER BY date)"
 
@@ -63,7 +64,9 @@ def _(s, d):
     return V.bars_daily(s, d)
 
 
-@query("a2_tick_bars_5min", "A-2", "SELECT symbol, time_bucket(INTERVAL 5 MINUTE, ts) AS timestamp, arg_min(price, row(ts, event_id)) AS open, max(price) AS high, min(price) AS low, arg_max(price, row(ts, event_id)) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS transactions FROM ticks GROUP BY 1, 2", OHLC, ["symbol", "timestamp", "volume", "transactions"])
+@query("a2_tick_bars_5min", "A-2", """SELECT symbol, time_bucket(INTERVAL 5 MINUTE, ts) AS timestamp, arg_min(price, row(ts, event_id)) AS open, max(price) AS high, min(price) AS low, arg_max(price,
+  row(ts, event_id)) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS transactions
+  FROM ticks GROUP BY 1, 2""", OHLC, ["symbol", "timestamp", "volume", "transactions"])
 def _(s, d):
     return B.window_bars(V.ticks(s, d), 5, "minutes")
 
@@ -91,13 +94,17 @@ def _(s, d):
     return B.minute_features(V.bars_minute(s, d))
 
 
-@query("minute_simple_features", "W-15 W-16", "SELECT symbol, timestamp, (close - open) / nullif(open, 0) AS minute_return, (high - low) / nullif(close, 0) AS spread, (high + low + close) / 3 AS typical_price, volume / nullif(transactions, 0) AS avg_trade_size, volume * ((high + low + close) / 3) / nullif(volume, 0) AS vwap_approx FROM bars_minute",
+@query("minute_simple_features", "W-15 W-16", """SELECT symbol, timestamp, (close - open) / nullif(open, 0) AS minute_return, (high - low) / nullif(close, 0) AS spread, (high + low + close) / 3 AS typical_price,
+  volume / nullif(transactions, 0) AS avg_trade_size, volume * ((high + low + close) / 3) / nullif(volume, 0) AS vwap_approx
+  FROM bars_minute""",
     ["minute_return", "spread", "typical_price", "avg_trade_size", "vwap_approx"], ["symbol", "timestamp"])
 def _(s, d):
     return B.minute_simple_features(V.bars_minute(s, d)).select("symbol", "timestamp", "minute_return", "spread", "typical_price", "avg_trade_size", "vwap_approx")
 
 
-@query("option_features", "W-20 W-21", f"SELECT ticker, date, volume, volume / nullif(avg(volume) OVER {frame(21, 'ticker')}, 0) AS volume_ratio, {nlr(1, 'ticker')} AS returns_1d, (close - open) / nullif(open, 0) AS daily_return, (high - low) / nullif(close, 0) AS spread, (high + low + close) / 3 AS typical_price, volume / nullif(transactions, 0) AS avg_trade_size FROM option_daily",
+@query("option_features", "W-20 W-21", f"""SELECT ticker, date, volume, volume / nullif(avg(volume) OVER {frame(21, 'ticker')}, 0) AS volume_ratio, {nlr(1, 'ticker')} AS returns_1d, (close - open) / nullif(open,
+  0) AS daily_return, (high - low) / nullif(close, 0) AS spread, (high + low + close) / 3 AS typical_price, volume / nullif(transactions, 0) AS avg_trade_size
+  FROM option_daily""",
     ["volume_ratio", "returns_1d", "daily_return", "spread", "typical_price", "avg_trade_size"], ["ticker", "date", "volume"])
 def _(s, d):
     return B.option_simple_features(B.option_features(V.option_daily(s, d))).select("ticker", "date", "volume", "volume_ratio", "returns_1d", "daily_return", "spread", "typical_price", "avg_trade_size")
@@ -138,12 +145,26 @@ def _(s, d):
     return V.bars_daily(s, d).select("symbol", "date", T.ema(12).alias("ema_12"))
 
 
-@query("ema_macd_exact", "T-4 T-5 UD-1", None)
+def _ema(x: str, n: int) -> str:
+    return f"list_reduce(list({x}) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING), lambda acc, x: x * (2.0 / {n + 1}) + acc * (1 - 2.0 / {n + 1}))"
+
+
+@query("ema_macd_exact", "T-4 T-5", f"""
+WITH e AS (SELECT symbol, date, close, {_ema('CAST(close AS DOUBLE)', 12)} AS ema_12, {_ema('CAST(close AS DOUBLE)', 26)} AS ema_26 FROM bars_daily),
+m AS (SELECT *, ema_12 - ema_26 AS macd FROM e), g AS (SELECT *, {_ema('macd', 9)} AS macd_signal FROM m)
+SELECT symbol, date, close, ema_12, ema_26, macd, macd_signal, macd - macd_signal AS macd_histogram FROM g""", ["close", "ema_12", "ema_26", "macd", "macd_signal", "macd_histogram"], ["symbol", "date"])
 def _(s, d):
-    """Checked against pandas in the tests."""
     return T.exact_ema(V.bars_daily(s, d), [12, 26])
 
 
+@query("registered_feature", "UD-1", f"SELECT symbol, date, close / nullif(avg(close) OVER {frame(3)}, 0) AS nearness, close - lag(close) OVER {W} AS step FROM bars_daily", ["nearness", "step"], ["symbol", "date"])
+def _(s, d):
+    """Two features of a user's own, registered by name."""
+    B.register_feature("nearness", lambda key, order: X.sdiv("close", F.avg("close").over(X.last_n(3, key, order))))
+    B.register_feature("step", lambda key, order: F.col("close") - F.lag("close").over(X.series(key, order)))
+    return B.with_registered(V.bars_daily(s, d), ["nearness", "step"]).select("symbol", "date", "nearness", "step")
+
+
 @query("rank_spread", "T-15", f"""
 WITH r AS (SELECT symbol, date, close / nullif(lag(close, 5) OVER {W}, 0) AS p, volume / nullif(lag(volume, 5) OVER {W}, 0) AS v FROM bars_daily)
 SELECT symbol, date, percent_rank() OVER (PARTITION BY date ORDER BY p) - percent_rank() OVER (PARTITION BY date ORDER BY v) AS rank_spread FROM r WHERE p IS NOT NULL AND v IS NOT NULL""", ["rank_spread"], ["symbol", "date"])
@@ -159,12 +180,16 @@ def _features(s, d):
     return V.bars_daily(s, d).select("*", X.sdiv(F.col("close") - F.col("open"), "open").alias("daily_return"), (F.col("high") - F.col("low")).alias("price_range"), X.simple_return("close", 1, w).alias("simple_return"), X.neg_log_return("close", 1, w).alias("alpha"))
 
 
-@query("combined_signal", "T-16 T-18 T-24", f"SELECT symbol, date, (daily_return * 1.0 + price_range * 1.0) / 2.0 AS equal_signal, (daily_return * 0.7 + price_range * 0.3) / 1.0 AS weighted_signal, daily_return - price_range * 0.001 AS net_return, 2.0 * 5 / 50 AS expected_turnover FROM {FEATURES} f", ["equal_signal", "weighted_signal", "net_return", "expected_turnover"], ["symbol", "date"])
+@query("combined_signal", "T-16 T-18 T-24", f"""SELECT symbol, date, (daily_return * 1.0 + price_range * 1.0) / 2.0 AS equal_signal, (daily_return * 0.7 + price_range * 0.3) / 1.0 AS weighted_signal,
+  daily_return - price_range * 0.001 AS net_return, 2.0 * 5 / 50 AS expected_turnover
+  FROM {FEATURES} f""", ["equal_signal", "weighted_signal", "net_return", "expected_turnover"], ["symbol", "date"])
 def _(s, d):
     return _features(s, d).select("symbol", "date", T.combined({"daily_return": 1.0, "price_range": 1.0}).alias("equal_signal"), T.combined({"daily_return": 0.7, "price_range": 0.3}).alias("weighted_signal"), T.after_cost("daily_return", "price_range", 0.001).alias("net_return"), T.turnover(5, 50).alias("expected_turnover"))
 
 
-@query("industry_neutral", "T-17", f"SELECT symbol, date, (daily_return - avg(daily_return) OVER g) / nullif(stddev_samp(daily_return) OVER g, 0) AS neutral FROM (SELECT *, CAST(substr(symbol, 2) AS BIGINT) % 7 AS industry FROM {FEATURES} f) WINDOW g AS (PARTITION BY date, industry)", ["neutral"], ["symbol", "date"])
+@query("industry_neutral", "T-17", f"""SELECT symbol, date, (daily_return - avg(daily_return) OVER g) / nullif(stddev_samp(daily_return) OVER g, 0) AS neutral
+  FROM (SELECT *, CAST(substr(symbol, 2) AS BIGINT) % 7 AS industry
+  FROM {FEATURES} f) WINDOW g AS (PARTITION BY date, industry)""", ["neutral"], ["symbol", "date"])
 def _(s, d):
     f = _features(s, d).withColumn("industry", F.substring("symbol", 2, 20).cast("long") % 7)
     return f.select("symbol", "date", T.group_zscore("daily_return", "date", "industry").alias("neutral"))
@@ -177,7 +202,7 @@ def _(s, d):
 
 @query("robust_zscore", "T-20", f"""
 WITH f AS (SELECT * FROM {FEATURES} f WHERE simple_return IS NOT NULL), m AS (SELECT quantile_cont(daily_return, 0.5) AS m FROM f), a AS (SELECT quantile_cont(abs(daily_return - m), 0.5) AS a FROM f, m)
-SELECT symbol, date, coalesce(greatest(least((daily_return - m) / nullif(a * 1.4826, 0), 3.0), -3.0), 0.0) AS daily_return_z FROM f, m, a""", ["daily_return_z"], ["symbol", "date"])
+SELECT symbol, date, CASE WHEN (daily_return - m) / nullif(a * 1.4826, 0) IS NULL THEN 0.0 ELSE greatest(least((daily_return - m) / nullif(a * 1.4826, 0), 3.0), -3.0) END AS daily_return_z FROM f, m, a""", ["daily_return_z"], ["symbol", "date"])
 def _(s, d):
     return T.robust_zscore(_features(s, d), "daily_return", "simple_return").select("symbol", "date", "daily_return_z")
 
@@ -283,7 +308,8 @@ def _(s, d):
     return K.alpha158(V.bars_long(s, d))
 
 
-@query("rolling_helpers", "R-19", f"SELECT symbol, date, sum(close) OVER {frame(10)} AS sum_10, CASE WHEN close > 0 THEN ln(close) END AS log_close, abs(close - open) AS abs_move, CAST(sign(close - open) AS DOUBLE) AS side FROM bars_daily", ["sum_10", "log_close", "abs_move", "side"], ["symbol", "date"])
+@query("rolling_helpers", "R-19", f"""SELECT symbol, date, sum(close) OVER {frame(10)} AS sum_10, CASE WHEN close > 0 THEN ln(close) END AS log_close, abs(close - open) AS abs_move, CAST(sign(close - open) AS DOUBLE) AS side
+  FROM bars_daily""", ["sum_10", "log_close", "abs_move", "side"], ["symbol", "date"])
 def _(s, d):
     return V.bars_daily(s, d).select("symbol", "date", K.rolling_sum("close", 10).alias("sum_10"), X.positive_ln("close").alias("log_close"), F.abs(F.col("close") - F.col("open")).alias("abs_move"), F.signum(F.col("close") - F.col("open")).alias("side"))
 
@@ -405,11 +431,13 @@ def _(s, d):
     return O.chain(V.option_bars(s, d), "stan")
 
 
-@query("table_info", "Q-19", None)
+@query("table_info", "Q-19", "SELECT count(*) AS rows, count(DISTINCT o_custkey) AS tickers, CAST(year(o_orderdate) AS INT) AS first_year, CAST(year(o_orderdate) AS INT) AS last_year FROM orders GROUP BY year(o_orderdate)")
 def _(s, d):
-    """Per file, so SQL over views can't say it."""
+    """Orders written as a file for each year; rows, tickers and years of each file."""
+    path = folder(s, "orders")
     t = V.table(s, d, "orders").select(F.col("o_custkey").cast("string").alias("ticker"), F.year("o_orderdate").alias("year"))
-    return Q.table_info(t).drop("file")
+    t.withColumn("part", F.col("year")).repartition("part").write.partitionBy("part").parquet(path)
+    return Q.table_info(s.read.parquet(path)).drop("file")
 
 
 @query("partition_listing", "Q-20", "SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, count(*) AS rows, count(DISTINCT symbol) AS symbols, min(date) AS first_date, max(date) AS last_date FROM bars_long GROUP BY ALL")

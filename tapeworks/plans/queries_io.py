@@ -32,7 +32,9 @@ def _raw(s, d) -> DataFrame:
     return b.select(F.col("symbol").alias("ticker"), some("volume", 3, "NaN").alias("volume"), some("open", 4, "NA").alias("open"), "close", some("high", 5, "NULL").alias("high"), some("low", 6, "").alias("low"), ns.alias("window_start"), "transactions")
 
 
-@query("csv_landing_to_bars", "SRC-1 SRC-2 SRC-3 SRC-4 SRC-5 SNK-8", f"SELECT CAST(year(date) AS SMALLINT) AS year, CAST(month(date) AS TINYINT) AS month, symbol, date, {NOON} AS timestamp, CASE WHEN transactions % 7 <> 4 THEN open END AS open, CASE WHEN transactions % 7 <> 5 THEN high END AS high, CASE WHEN transactions % 7 <> 6 THEN low END AS low, close, CASE WHEN transactions % 7 <> 3 THEN volume END AS volume, transactions FROM bars_daily",
+@query("csv_landing_to_bars", "SRC-1 SRC-2 SRC-3 SRC-4 SRC-5 SNK-8", f"""SELECT CAST(year(date) AS SMALLINT) AS year, CAST(month(date) AS TINYINT) AS month, symbol, date, {NOON} AS timestamp, CASE WHEN transactions % 7 <> 4 THEN open END AS open,
+  CASE WHEN transactions % 7 <> 5 THEN high END AS high, CASE WHEN transactions % 7 <> 6 THEN low END AS low, close, CASE WHEN transactions % 7 <> 3 THEN volume END AS volume,
+  transactions FROM bars_daily""",
     OHLC, ["year", "month", "symbol", "date", "timestamp", "volume", "transactions"])
 def _(s, d):
     """Write raw bar files, read, clean, rename, date and conform them."""
@@ -42,18 +44,71 @@ def _(s, d):
     return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-@query("api_bars", "SRC-6 SRC-10 SRC-11", f"SELECT symbol, {NOON} AS timestamp, open, high, low, close, volume, 0.0 AS vwap, CASE WHEN transactions % 2 = 0 THEN transactions ELSE 0 END AS transactions FROM bars_daily", [*OHLC, "vwap"], ["symbol", "timestamp", "volume", "transactions"])
+@query("api_bars", "SRC-6", f"SELECT symbol, {NOON} AS timestamp, open, high, low, close, volume, 0.0 AS vwap, CASE WHEN transactions % 2 = 0 THEN transactions ELSE 0 END AS transactions FROM bars_daily", [*OHLC, "vwap"], ["symbol", "timestamp", "volume", "transactions"])
 def _(s, d):
-    """Payload rows with short names and missing fields, written and read as JSON; the close carries the symbol's bar."""
+    """Payload rows with short names and missing fields, a page for each symbol and month, written and read as JSON."""
     path = folder(s, "payload")
     ms = (F.unix_date("date").cast("bigint") * 86400 + 43200) * 1000
-    b = V.bars_daily(s, d)
     row = F.struct(ms.alias("t"), F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"), F.col("volume").alias("v"), F.when(F.col("transactions") % 2 == 0, F.col("transactions")).alias("n"))
-    b.groupBy("symbol").agg(F.collect_list(row).alias("results")).write.partitionBy("symbol").json(path)
-    symbol = F.regexp_extract(F.input_file_name(), "symbol=([^/]+)", 1)
-    rows = s.read.schema(f"results array<struct<{', '.join(f.replace(' ', ':', 1) for f in readers._split(readers.PAYLOADS['bars']))}>>").json(path).select(symbol.alias("symbol"), F.inline("results"))
-    out = rows.select("symbol", F.timestamp_millis("t").cast("timestamp_ntz").alias("timestamp"), F.col("o").alias("open"), F.col("h").alias("high"), F.col("l").alias("low"), F.col("c").alias("close"), F.col("v").cast("bigint").alias("volume"), F.coalesce("vw", F.lit(0.0)).alias("vwap"), F.coalesce("n", F.lit(0)).cast("bigint").alias("transactions"))
-    return out
+    V.bars_daily(s, d).groupBy("symbol", F.trunc("date", "month").alias("month")).agg(F.collect_list(row).alias("results")).drop("month").write.partitionBy("symbol").json(path)
+    return readers.read_api_bars(s, path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def _through_json(s, df: DataFrame, name: str) -> DataFrame:
+    """Rows written as payload objects, and read back by the payload's schema."""
+    path = folder(s, name)
+    df.write.json(path)
+    return readers.read_payload(s, path, name, wrapped=None)
+
+
+def _facts(df: DataFrame, kind: str, name, detail, number) -> DataFrame:
+    """kind, name, detail, number: what the payload tables have in common."""
+    return df.select(F.lit(kind).alias("kind"), name.cast("string").alias("name"), detail.cast("string").alias("detail"), number.cast("double").alias("number"))
+
+
+@query("reference_payloads", "SRC-10", """
+SELECT 'holidays' AS kind, CAST(date AS VARCHAR) AS name, symbol || ' closed' AS detail, NULL AS number FROM bars_long
+UNION ALL SELECT 'exchanges', n_name, 'XNAT', n_nationkey FROM nation
+UNION ALL SELECT 'conditions', r_name, 'trade,bbo', r_regionkey FROM region
+UNION ALL SELECT DISTINCT 'ticker_types', type, locale, NULL FROM tickers
+UNION ALL SELECT 'market_status', c_mktsegment, CASE WHEN max(c_acctbal) > 9000 THEN 'open' ELSE 'closed' END, NULL FROM customer GROUP BY c_mktsegment""", ["number"], ["kind", "name", "detail"])
+def _(s, d):
+    """Holidays, exchanges, conditions, ticker types and market status as the service sends them."""
+    bars, nation, region = V.bars_long(s, d), V.table(s, d, "nation"), V.table(s, d, "region")
+    holidays = _through_json(s, bars.select(F.col("date").cast("string").alias("date"), F.col("symbol").alias("exchange"), F.lit("closed").alias("status")), "holidays")
+    exchanges = _through_json(s, nation.select(F.col("n_nationkey").alias("id"), F.lit("exchange").alias("type"), F.col("n_name").alias("name"), F.lit("XNAT").alias("mic")), "exchanges")
+    conditions = _through_json(s, region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"), F.array(F.lit("trade"), F.lit("bbo")).alias("data_types")), "conditions")
+    types = _through_json(s, V.tickers(s, d).select(F.col("type").alias("code"), "locale").distinct(), "ticker_types")
+    state = V.table(s, d, "customer").groupBy(F.col("c_mktsegment").alias("market")).agg(F.max("c_acctbal").alias("most"))
+    status = _through_json(s, state.select("market", F.create_map(F.lit("main"), F.when(F.col("most") > 9000, "open").otherwise("closed")).alias("exchanges")), "market_status")
+    none = F.lit(None)
+    return Q.union_all(
+        _facts(holidays, "holidays", F.col("date"), F.concat_ws(" ", "exchange", "status"), none), _facts(exchanges, "exchanges", F.col("name"), F.col("mic"), F.col("id")),
+        _facts(conditions, "conditions", F.col("name"), F.concat_ws(",", "data_types"), F.col("id")), _facts(types, "ticker_types", F.col("code"), F.col("locale"), none),
+        _facts(status, "market_status", F.col("market"), F.col("exchanges")["main"], none),
+    )
+
+
+@query("market_payloads", "SRC-11", """
+SELECT 'trades' AS kind, CAST(event_id AS VARCHAR) AS name, CAST(epoch_ns(ts) AS VARCHAR) AS detail, price AS number FROM ticks
+UNION ALL SELECT 'quotes', CAST(event_id AS VARCHAR), CAST(volume AS VARCHAR), price - 0.5 FROM ticks
+UNION ALL SELECT 'forex_quotes', symbol, CAST(epoch_us(ts) // 1000 AS VARCHAR), price + 0.5 FROM ticks
+UNION ALL SELECT 'crypto_trades', CAST(event_id AS VARCHAR), '1,2', price FROM ticks
+UNION ALL SELECT 'index_values', symbol, 'value', avg(price) FROM ticks GROUP BY symbol""", ["number"], ["kind", "name", "detail"])
+def _(s, d):
+    """Trades, quotes, currency quotes, coin trades and index values as the service sends them. A currency quote has no id: its exchange stands for the symbol."""
+    t = V.ticks(s, d).withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    key, user = F.col("event_id").cast("string").alias("id"), F.substring("symbol", 2, 20).cast("bigint")
+    trades = _through_json(s, t.select(key, (F.col("us") * 1000).alias("sip_timestamp"), "price", F.col("volume").cast("double").alias("size")), "trades")
+    quotes = _through_json(s, t.select(F.col("event_id").alias("sequence_number"), (F.col("price") - 0.5).alias("bid_price"), F.col("volume").cast("double").alias("bid_size")), "quotes")
+    forex = _through_json(s, t.select((F.col("price") + 0.5).alias("ask"), user.alias("exchange"), F.expr("us div 1000").alias("timestamp")), "forex_quotes")
+    crypto = _through_json(s, t.select(key, "price", F.array(F.lit(1), F.lit(2)).alias("conditions")), "crypto_trades")
+    index = _through_json(s, t.groupBy(F.col("symbol").alias("ticker")).agg(F.avg("price").alias("value")).withColumn("type", F.lit("value")), "index_values")
+    return Q.union_all(
+        _facts(trades, "trades", F.col("id"), F.col("sip_timestamp"), F.col("price")), _facts(quotes, "quotes", F.col("sequence_number"), F.col("bid_size").cast("bigint"), F.col("bid_price")),
+        _facts(forex, "forex_quotes", F.concat(F.lit("S"), F.col("exchange").cast("string")), F.col("timestamp"), F.col("ask")),
+        _facts(crypto, "crypto_trades", F.col("id"), F.concat_ws(",", F.col("conditions").cast("array<string>")), F.col("price")), _facts(index, "index_values", F.col("ticker"), F.col("type"), F.col("value")),
+    )
 
 
 @query("option_contract_payload", "SRC-7", "SELECT DISTINCT ticker, underlying, 100 AS shares_per_contract, 'american' AS exercise_style FROM option_parsed WHERE underlying IS NOT NULL", None)
@@ -95,7 +150,10 @@ def _(s, d):
     return readers.read_table(s, path).select("symbol", "date", "close")
 
 
-@query("fundamentals_sink", "SNK-3 Q-7 U-2", "SELECT ticker, fiscal_year, fiscal_period, 'b' AS kind FROM balance_sheets WHERE ticker = 'C1' UNION ALL SELECT ticker, fiscal_year, fiscal_period, 'i' FROM income_statements WHERE ticker = 'C1' UNION ALL SELECT ticker, fiscal_year, fiscal_period, 'c' FROM cash_flow WHERE ticker = 'C1'")
+@query("fundamentals_sink", "SNK-3 Q-7 U-2", """SELECT ticker, fiscal_year, fiscal_period, 'b' AS kind FROM balance_sheets
+  WHERE ticker = 'C1' UNION ALL SELECT ticker, fiscal_year, fiscal_period, 'i'
+  FROM income_statements WHERE ticker = 'C1' UNION ALL SELECT ticker, fiscal_year, fiscal_period, 'c'
+  FROM cash_flow WHERE ticker = 'C1'""")
 def _(s, d):
     root = folder(s, "fundamentals")
     for name, df in (("balance_sheets", V.balance_sheets(s, d)), ("income_statements", V.income_statements(s, d)), ("cash_flow", V.cash_flow(s, d))):
@@ -143,15 +201,23 @@ def _(s, d):
     return DQ.backfill(V.bars_daily(s, d), B.daily_features, DQ.dates(s, "2024-01-08", "2024-01-12"), done).select("symbol", "date", "price_range")
 
 
-@query("schema_consistency", "DQ-11", "SELECT 0 AS differences")
+@query("schema_consistency", "DQ-11", """
+SELECT part, "column", type, expected, n AS rows FROM (SELECT user_id % 3 AS k, count(*) AS n FROM events GROUP BY 1)
+JOIN (VALUES (1, 'part=1', 'user_id', 'string', 'bigint'), (2, 'part=2', 'props', NULL, 'string')) v (k, part, "column", type, expected) USING (k)""")
 def _(s, d):
-    """Columns by which any file of a table differs in type from the table's first file; every file's footer is read."""
-    files = sorted(s.read.parquet(f"{d}/events.parquet").inputFiles())
-    found = DQ.schema_differences(s, files)
-    return s.range(1).select(F.lit(sum(map(len, found.values()))).alias("differences"))
-
-
-@query("scalar_functions", "X-1 X-2 X-3 X-4 X-5 X-6", "SELECT ticker, upper(sector) AS up, lower(sic_code) AS low, replace(sector, ' ', '_') AS under, substr(sector, 1, 3) AS head, round(sqrt(coalesce(market_cap, 0)), 3) AS root, greatest(length(sector), 10) AS most, try_cast(substr(ticker, 2) AS BIGINT) AS number, len(string_split(sector, ' ')) AS words FROM tickers", {"root": 3}, ["ticker", "up", "low", "under", "head", "most", "number", "words"])
+    """Events in three parts by user, one with the user as text and one without props: each difference, and the rows that have it."""
+    root, events = folder(s, "parts"), V.table(s, d, "events")
+    mine = lambda k: events.filter(F.col("user_id") % 3 == k)
+    for k, part in enumerate((mine(0), mine(1).withColumn("user_id", F.col("user_id").cast("string")), mine(2).drop("props"))):
+        part.write.parquet(f"{root}/part={k}")
+    found = DQ.schema_differences(s, [f"{root}/part={k}" for k in range(3)]).withColumn("part", F.regexp_extract("path", "(part=[0-9]+)$", 1))
+    sizes = [s.read.parquet(f"{root}/part={k}").agg(F.count("*").alias("rows")).withColumn("part", F.lit(f"part={k}")) for k in range(3)]
+    return found.join(Q.union_all(*sizes), "part").select("part", "column", "type", "expected", "rows")
+
+
+@query("scalar_functions", "X-1 X-2 X-3 X-4 X-5 X-6", """SELECT ticker, upper(sector) AS up, lower(sic_code) AS low, replace(sector, ' ', '_') AS under, substr(sector, 1, 3) AS head, round(sqrt(coalesce(market_cap,
+  0)), 3) AS root, greatest(length(sector), 10) AS most, try_cast(substr(ticker, 2) AS BIGINT) AS number, len(string_split(sector, ' ')) AS words
+  FROM tickers""", {"root": 3}, ["ticker", "up", "low", "under", "head", "most", "number", "words"])
 def _(s, d):
     return V.tickers(s, d).select(
         "ticker", F.upper("sector").alias("up"), F.lower("sic_code").alias("low"), F.replace("sector", F.lit(" "), F.lit("_")).alias("under"), F.substring("sector", 1, 3).alias("head"), F.sqrt(F.coalesce("market_cap", F.lit(0.0))).alias("root"),
@@ -213,15 +279,16 @@ def _(s, d):
     return rows.filter(F.col("v") == rows.agg(F.max("v")).first()[0]).select("ticker", "price")
 
 
-@query("stream_landing", "ST-1", "SELECT symbol, date, close FROM bars_daily", ["close"], ["symbol", "date"])
+@query("stream_landing", "ST-1", "SELECT symbol, date, open, high, low, close, volume, transactions FROM bars_daily", OHLC, ["symbol", "date", "volume", "transactions"])
 def _(s, d):
     """Raw files through the landing stream into a bronze table, in two runs; the second takes the new files only."""
     land, bronze, mark = folder(s, "land"), folder(s, "bronze"), folder(s, "marks")
-    raw = _raw(s, d).withColumns({c: F.lit(1.0) for c in ("volume", "open", "high", "low")}).select("ticker", "volume", "open", "close", "high", "low", "window_start", "transactions")
+    ns = (F.unix_date("date").cast("bigint") * 86400 + 43200) * 1_000_000_000
+    raw = V.bars_daily(s, d).select(F.col("symbol").alias("ticker"), F.col("volume").cast("double").alias("volume"), "open", "close", "high", "low", ns.alias("window_start"), "transactions")
     for part in (F.col("ticker") < "S5", F.col("ticker") >= "S5"):
         raw.filter(part).write.mode("append").option("header", True).csv(land)
         jobs.landing_to_bronze(s, land, bronze, mark, "stocks_daily").awaitTermination()
-    return s.read.parquet(bronze).select("symbol", "date", "close")
+    return s.read.parquet(bronze).select("symbol", "date", *OHLC, "volume", "transactions")
 
 
 @query("log_append", "IN-6", "SELECT layer, count(*) AS rows FROM ingestion_log GROUP BY 1")

@@ -13,7 +13,7 @@ from tapeworks.operators import quality as DQ
 from tapeworks.operators import summaries as A
 from tapeworks.plans import views as V
 from tapeworks.plans.catalog import query
-from tapeworks.plans.queries import FEATURES, OHLC, RANGE, STATEMENTS, W, _features, _ratios, _statements, daily_sql
+from tapeworks.plans.queries import FEATURES, OHLC, RANGE, STATEMENTS, W, _features, _ratio_sql, _ratios, _statements, daily_sql
 from tapeworks.sources import sinks
 
 PERIOD = ["ticker", "fiscal_year", "fiscal_period"]
@@ -21,7 +21,10 @@ PERIOD = ["ticker", "fiscal_year", "fiscal_period"]
 # ---------------------------------------------------------------- joins
 
 
-@query("statements_join", "J-1 J-2", "SELECT ticker, fiscal_year, fiscal_period, timeframe, assets, equity, revenues, net_income_loss, net_cash_flow_from_operating_activities AS ocf, b.filing_date, i.filing_date AS filing_date_is, c.filing_date AS filing_date_cf FROM balance_sheets b JOIN income_statements i USING (ticker, fiscal_year, fiscal_period, timeframe) LEFT JOIN cash_flow c USING (ticker, fiscal_year, fiscal_period, timeframe)",
+@query("statements_join", "J-1 J-2", """SELECT ticker, fiscal_year, fiscal_period, timeframe, assets, equity, revenues, net_income_loss, net_cash_flow_from_operating_activities AS ocf, b.filing_date,
+  i.filing_date AS filing_date_is, c.filing_date AS filing_date_cf
+  FROM balance_sheets b JOIN income_statements i USING (ticker, fiscal_year, fiscal_period, timeframe)
+  LEFT JOIN cash_flow c USING (ticker, fiscal_year, fiscal_period, timeframe)""",
     ["assets", "equity", "revenues", "net_income_loss", "ocf"], [*PERIOD, "timeframe", "filing_date", "filing_date_is", "filing_date_cf"])
 def _(s, d):
     out = FU.statements(V.balance_sheets(s, d), V.income_statements(s, d), V.cash_flow(s, d))
@@ -31,7 +34,9 @@ def _(s, d):
 MARKET = "(SELECT ticker, fiscal_year, fiscal_period, assets / 1000 AS price, equity / 100 AS shares FROM balance_sheets WHERE fiscal_period <> 'Q3') m"
 
 
-@query("valuation", "J-3 F-11", f"SELECT ticker, fiscal_year, fiscal_period, price, shares, price * shares AS market_cap, price * shares / nullif(net_income_loss, 0) AS pe_ratio, price * shares / nullif(equity, 0) AS pb_ratio, price * shares / nullif(revenues, 0) AS ps_ratio, price * shares / nullif(operating_income_loss, 0) AS ev_ebitda_simple FROM {STATEMENTS} LEFT JOIN {MARKET} USING (ticker, fiscal_year, fiscal_period)",
+@query("valuation", "J-3 F-11", f"""SELECT ticker, fiscal_year, fiscal_period, price, shares, price * shares AS market_cap, price * shares / nullif(net_income_loss, 0) AS pe_ratio, price * shares / nullif(equity,
+  0) AS pb_ratio, price * shares / nullif(revenues, 0) AS ps_ratio, price * shares / nullif(operating_income_loss, 0) AS ev_ebitda_simple
+  FROM {STATEMENTS} LEFT JOIN {MARKET} USING (ticker, fiscal_year, fiscal_period)""",
     {"price": 6, "shares": 6, "market_cap": 1, "pe_ratio": 3, "pb_ratio": 3, "ps_ratio": 3, "ev_ebitda_simple": 3}, PERIOD)
 def _(s, d):
     m = V.balance_sheets(s, d).filter("fiscal_period <> 'Q3'").select(*PERIOD, (F.col("assets") / 1000).alias("price"), (F.col("equity") / 100).alias("shares"))
@@ -87,13 +92,18 @@ def _(s, d):
 PW = "(PARTITION BY ticker ORDER BY fiscal_year, fiscal_period)"
 
 
-@query("growth", "F-13", f"SELECT ticker, fiscal_year, fiscal_period, (revenues - lag(revenues) OVER {PW}) / nullif(lag(revenues) OVER {PW}, 0) * 100 AS revenue_growth, (net_income_loss - lag(net_income_loss) OVER {PW}) / nullif(abs(lag(net_income_loss) OVER {PW}), 0) * 100 AS net_income_growth, (assets - lag(assets) OVER {PW}) / nullif(lag(assets) OVER {PW}, 0) * 100 AS assets_growth, (equity - lag(equity) OVER {PW}) / nullif(lag(equity) OVER {PW}, 0) * 100 AS equity_growth FROM {STATEMENTS}",
+@query("growth", "F-13", f"""SELECT ticker, fiscal_year, fiscal_period, (revenues - lag(revenues) OVER {PW}) / nullif(lag(revenues) OVER {PW}, 0) * 100 AS revenue_growth, (net_income_loss - lag(net_income_loss) OVER {PW}) / nullif(abs(lag(net_income_loss) OVER {PW}),
+  0) * 100 AS net_income_growth, (assets - lag(assets) OVER {PW}) / nullif(lag(assets) OVER {PW}, 0) * 100 AS assets_growth, (equity - lag(equity) OVER {PW}) / nullif(lag(equity) OVER {PW},
+  0) * 100 AS equity_growth FROM {STATEMENTS}""",
     dict.fromkeys(["revenue_growth", "net_income_growth", "assets_growth", "equity_growth"], 4), PERIOD)
 def _(s, d):
     return FU.growth(FU.statements(*_statements(s, d))).select(*PERIOD, "revenue_growth", "net_income_growth", "assets_growth", "equity_growth")
 
 
-@query("reference_enrichment", "J-5", "SELECT ticker, id, sector, type, coalesce(n_related, NULL) AS n_related FROM dividends LEFT JOIN tickers USING (ticker) LEFT JOIN (SELECT source_ticker AS ticker, count(*) AS n_related FROM (SELECT DISTINCT source_ticker, ticker FROM relationships) GROUP BY 1) r USING (ticker)")
+@query("reference_enrichment", "J-5", """SELECT ticker, id, sector, type, coalesce(n_related, NULL) AS n_related
+  FROM dividends LEFT JOIN tickers USING (ticker) LEFT JOIN (SELECT source_ticker AS ticker, count(*) AS n_related
+  FROM (SELECT DISTINCT source_ticker, ticker FROM relationships)
+  GROUP BY 1) r USING (ticker)""")
 def _(s, d):
     return C.enriched(V.dividends(s, d), V.tickers(s, d), V.relationships(s, d)).select("ticker", "id", "sector", "type", "n_related")
 
@@ -107,15 +117,25 @@ def _(s, d):
 DAYS = "(SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '1995-12-31', INTERVAL 1 DAY)) AS DATE) AS date) e"
 
 
-@query("missing_dates", "J-7 IN-1", f"SELECT date FROM {DAYS} WHERE date NOT IN (SELECT date FROM bars_long WHERE symbol = 'C1')")
+@query("missing_dates", "J-7 IN-1", f"""
+SELECT symbol, date FROM (SELECT DISTINCT symbol FROM bars_long) s CROSS JOIN {DAYS} WHERE (symbol, date) NOT IN (SELECT (symbol, date) FROM bars_long)""")
 def _(s, d):
-    return J.missing(DQ.dates(s, "1995-01-01", "1995-12-31"), V.bars_long(s, d).filter("symbol = 'C1'"))
+    """Days of a year without a bar, for every symbol."""
+    b = V.bars_long(s, d)
+    year = F.explode(F.sequence(F.lit("1995-01-01").cast("date"), F.lit("1995-12-31").cast("date"))).alias("date")
+    return J.missing(b.select("symbol").distinct().select("symbol", year), b, ["symbol", "date"])
+
 
+#: Two layers of the same bars: those that didn't fall, and those of more than one trade.
+LAYER_A, LAYER_B = "close >= open", "transactions > 1"
 
-@query("layer_difference", "J-8 U-4", "SELECT date, 'a' AS only_in FROM (SELECT DISTINCT date FROM bars_long WHERE symbol = 'C1') WHERE date NOT IN (SELECT date FROM bars_long WHERE symbol = 'C2') UNION ALL SELECT date, 'b' FROM (SELECT DISTINCT date FROM bars_long WHERE symbol = 'C2') WHERE date NOT IN (SELECT date FROM bars_long WHERE symbol = 'C1')")
+
+@query("layer_difference", "J-8 U-4", f"""
+WITH a AS (SELECT DISTINCT date FROM bars_long WHERE {LAYER_A}), b AS (SELECT DISTINCT date FROM bars_long WHERE {LAYER_B})
+SELECT date, 'a' AS only_in FROM a WHERE date NOT IN (SELECT date FROM b) UNION ALL SELECT date, 'b' FROM b WHERE date NOT IN (SELECT date FROM a)""")
 def _(s, d):
     b = V.bars_long(s, d)
-    return J.layer_difference(b.filter("symbol = 'C1'"), b.filter("symbol = 'C2'"))
+    return J.layer_difference(b.filter(LAYER_A), b.filter(LAYER_B))
 
 
 @query("trading_days_only", "J-9 IN-2", "SELECT symbol, date, volume FROM bars_daily WHERE isodow(date) <= 5 AND date <> DATE '2024-01-15'")
@@ -127,7 +147,9 @@ def _(s, d):
 COUNT = "(SELECT symbol, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, count(*) AS {n} FROM bars_long WHERE {w} GROUP BY ALL)"
 
 
-@query("layer_coverage", "J-10", f"SELECT symbol, year, month, coalesce(bronze_rows, 0) AS bronze_rows, coalesce(silver_rows, 0) AS silver_rows, coalesce(silver_rows, 0) / nullif(coalesce(bronze_rows, 0), 0) AS coverage FROM {COUNT.format(n='bronze_rows', w='true')} b FULL JOIN {COUNT.format(n='silver_rows', w='transactions > 1')} s USING (symbol, year, month)", ["coverage"], ["symbol", "year", "month", "bronze_rows", "silver_rows"])
+@query("layer_coverage", "J-10", f"""SELECT symbol, year, month, coalesce(bronze_rows, 0) AS bronze_rows, coalesce(silver_rows, 0) AS silver_rows, coalesce(silver_rows, 0) / nullif(coalesce(bronze_rows,
+  0), 0) AS coverage FROM {COUNT.format(n='bronze_rows', w='true')} b
+  FULL JOIN {COUNT.format(n='silver_rows', w='transactions > 1')} s USING (symbol, year, month)""", ["coverage"], ["symbol", "year", "month", "bronze_rows", "silver_rows"])
 def _(s, d):
     b = V.bars_long(s, d)
     return J.layer_coverage(b, b.filter("transactions > 1"))
@@ -139,11 +161,18 @@ def _(s, d):
     return J.as_of(V.bars_long(s, d).select("symbol", "date", "close"), b, "symbol", "date", "filing_date", ["assets"])
 
 
-@query("split_adjusted", "J-13", "SELECT symbol, date, close, exp(coalesce((SELECT sum(ln(split_to / split_from)) FROM actions_2024 a WHERE a.ticker = b.symbol AND a.event_date > b.date), 0)) AS split_factor, close / exp(coalesce((SELECT sum(ln(split_to / split_from)) FROM actions_2024 a WHERE a.ticker = b.symbol AND a.event_date > b.date), 0)) AS adjusted_close FROM bars_daily b",
+#: Lifts values a hair, so that the engines' sums of logarithms, which differ in their last bits, don't round ties apart.
+HAIR = 1 + 1e-12
+
+
+@query("split_adjusted", "J-13", f"""
+WITH f AS (SELECT symbol, date, close, exp(coalesce((SELECT sum(ln(split_to / split_from)) FROM actions_2024 a WHERE a.ticker = b.symbol AND a.event_date > b.date), 0)) AS split_factor FROM bars_daily b)
+SELECT symbol, date, close, split_factor * {HAIR} AS split_factor, close / split_factor * {HAIR} AS adjusted_close FROM f""",
     {"close": 6, "split_factor": 5, "adjusted_close": 5}, ["symbol", "date"])
 def _(s, d):
     e = V.actions_2024(s, d).withColumn("split_ratio", F.col("split_to") / F.col("split_from"))
-    return C.split_adjusted(V.bars_daily(s, d), e).select("symbol", "date", "close", "split_factor", "adjusted_close")
+    out = C.split_adjusted(V.bars_daily(s, d), e)
+    return out.select("symbol", "date", "close", *((F.col(c) * HAIR).alias(c) for c in ("split_factor", "adjusted_close")))
 
 
 @query("dividend_yield", "J-14", """
@@ -153,7 +182,10 @@ def _(s, d):
     return C.dividend_yield(C.dividends(V.dividends(s, d)), V.bars_daily(s, d))
 
 
-@query("universe_coverage", "J-15", "SELECT count(*) AS tickers, count(*) FILTER (f AND r) AS complete, count(*) FILTER (NOT f) AS no_fundamentals, count(*) FILTER (NOT r) AS no_ratios, count(*) FILTER (f AND r) / nullif(count(*), 0) * 100 AS complete_pct FROM (SELECT ticker, ticker IN (SELECT ticker FROM income_statements) AS f, ticker IN (SELECT ticker FROM cash_flow) AS r FROM (SELECT DISTINCT ticker FROM balance_sheets))", ["complete_pct"], ["tickers", "complete", "no_fundamentals", "no_ratios"])
+@query("universe_coverage", "J-15", """SELECT count(*) AS tickers, count(*) FILTER (f AND r) AS complete, count(*) FILTER (NOT f) AS no_fundamentals, count(*) FILTER (NOT r) AS no_ratios, count(*) FILTER (f AND r) / nullif(count(*),
+  0) * 100 AS complete_pct FROM (SELECT ticker, ticker IN (SELECT ticker
+  FROM income_statements) AS f, ticker IN (SELECT ticker FROM cash_flow) AS r
+  FROM (SELECT DISTINCT ticker FROM balance_sheets))""", ["complete_pct"], ["tickers", "complete", "no_fundamentals", "no_ratios"])
 def _(s, d):
     return J.universe_coverage(V.balance_sheets(s, d), V.income_statements(s, d), V.cash_flow(s, d))
 
@@ -161,7 +193,8 @@ def _(s, d):
 # ---------------------------------------------------------------- summaries
 
 
-@query("monthly_market", "A-3", "SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, count(DISTINCT symbol) AS symbols, avg(volume) AS avg_volume, CAST(sum(volume) AS BIGINT) AS total_volume FROM bars_long GROUP BY ALL", ["avg_volume"], ["year", "month", "symbols", "total_volume"])
+@query("monthly_market", "A-3", """SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, count(DISTINCT symbol) AS symbols, avg(volume) AS avg_volume, CAST(sum(volume) AS BIGINT) AS total_volume
+  FROM bars_long GROUP BY ALL""", ["avg_volume"], ["year", "month", "symbols", "total_volume"])
 def _(s, d):
     return A.monthly_market(V.bars_long(s, d))
 
@@ -176,7 +209,9 @@ def _(s, d):
     return C.reference_coverage(V.tickers(s, d), V.relationships(s, d))
 
 
-EVENTS = "(SELECT ticker, event_type, event_date, id FROM div_events UNION ALL SELECT ticker, event_type, event_date, id FROM split_events UNION ALL SELECT ticker, 'ipo', listing_date, ticker || '_' || CAST(listing_date AS VARCHAR) FROM ipos UNION ALL SELECT ticker, 'ticker_change', date, id FROM ticker_changes) ev"
+EVENTS = """(SELECT ticker, event_type, event_date, id FROM div_events UNION ALL SELECT ticker, event_type, event_date, id
+  FROM split_events UNION ALL SELECT ticker, 'ipo', listing_date, ticker || '_' || CAST(listing_date AS VARCHAR)
+  FROM ipos UNION ALL SELECT ticker, 'ticker_change', date, id FROM ticker_changes) ev"""
 
 
 def _actions(s, d):
@@ -213,7 +248,9 @@ def _(s, d):
     return C.news_counts(C.news_rows(V.news(s, d)))
 
 
-@query("log_summary", "A-12", "SELECT data_type, layer, count(*) AS total, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped') AS skipped, CAST(sum(records) AS BIGINT) AS records, sum(file_size_mb) AS size_mb, count(*) FILTER (status IN ('success', 'skipped')) / count(*) AS success_rate FROM ingestion_log GROUP BY 1, 2", {"size_mb": 3, "success_rate": 6}, ["data_type", "layer", "total", "success", "failed", "skipped", "records"])
+@query("log_summary", "A-12", """SELECT data_type, layer, count(*) AS total, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped') AS skipped,
+  CAST(sum(records) AS BIGINT) AS records, sum(file_size_mb) AS size_mb, count(*) FILTER (status IN ('success', 'skipped')) / count(*) AS success_rate
+  FROM ingestion_log GROUP BY 1, 2""", {"size_mb": 3, "success_rate": 6}, ["data_type", "layer", "total", "success", "failed", "skipped", "records"])
 def _(s, d):
     return A.log_summary(V.ingestion_log(s, d), "data_type", "layer")
 
@@ -226,7 +263,9 @@ def _(s, d):
 STATS = ["open", "close", "daily_return", "price_range"]
 
 
-@query("factor_statistics", "A-14", " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS max FROM {FEATURES} f" for c in STATS), {c: 4 for c in ("mean", "std", "min", "q25", "q50", "q75", "max")}, ["feature", "count"])
+@query("factor_statistics", "A-14", " UNION ALL ".join(f"""SELECT '{c}' AS feature, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min, quantile_cont({c}, 0.25) AS q25, quantile_cont({c},
+  0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS max
+  FROM {FEATURES} f""" for c in STATS), {c: 4 for c in ("mean", "std", "min", "q25", "q50", "q75", "max")}, ["feature", "count"])
 def _(s, d):
     return A.describe(_features(s, d), STATS)
 
@@ -261,7 +300,9 @@ def _(s, d):
     return A.distinct_periods(V.balance_sheets(s, d))
 
 
-@query("put_call_ratio", "A-21", "SELECT underlying, date, CAST(sum(volume) FILTER (contract_type = 'P') AS BIGINT) AS put_volume, CAST(sum(volume) FILTER (contract_type = 'C') AS BIGINT) AS call_volume, sum(volume) FILTER (contract_type = 'P') / nullif(sum(volume) FILTER (contract_type = 'C'), 0) AS put_call_ratio FROM option_parsed WHERE underlying IS NOT NULL GROUP BY 1, 2", ["put_call_ratio"], ["underlying", "date", "put_volume", "call_volume"])
+@query("put_call_ratio", "A-21", """SELECT underlying, date, CAST(sum(volume) FILTER (contract_type = 'P') AS BIGINT) AS put_volume, CAST(sum(volume) FILTER (contract_type = 'C') AS BIGINT) AS call_volume,
+  sum(volume) FILTER (contract_type = 'P') / nullif(sum(volume) FILTER (contract_type = 'C'), 0) AS put_call_ratio
+  FROM option_parsed WHERE underlying IS NOT NULL GROUP BY 1, 2""", ["put_call_ratio"], ["underlying", "date", "put_volume", "call_volume"])
 def _(s, d):
     return O.put_call_ratio(O.with_parsed(V.option_daily(s, d)))
 
@@ -271,7 +312,10 @@ def _(s, d):
     return A.benchmark_return(V.bars_daily(s, d))
 
 
-IC = f"(SELECT date, CASE WHEN max(a) > min(a) AND max(b) > min(b) THEN corr(a, b) END AS ic FROM (SELECT date, CASE WHEN nxt IS NOT NULL THEN price_range END AS a, CASE WHEN price_range IS NOT NULL THEN nxt END AS b FROM (SELECT *, lead(close) OVER {W} / nullif(close, 0) - 1 AS nxt FROM {FEATURES} f)) GROUP BY 1) ics"
+IC = f"""(SELECT date, CASE WHEN max(a) > min(a) AND max(b) > min(b) THEN corr(a, b) END AS ic
+  FROM (SELECT date, CASE WHEN nxt IS NOT NULL THEN price_range END AS a, CASE WHEN price_range IS NOT NULL THEN nxt END AS b
+  FROM (SELECT *, lead(close) OVER {W} / nullif(close, 0) - 1 AS nxt
+  FROM {FEATURES} f)) GROUP BY 1) ics"""
 
 
 @query("information_coefficient", "A-23", f"SELECT date, ic FROM {IC}", ["ic"], ["date"])
@@ -294,17 +338,17 @@ def _(s, d):
     return A.column_presence(V.balance_sheets(s, d), ["assets", "current_assets", "current_liabilities", "equity"])
 
 
-@query("return_pivot", "A-26", f"SELECT date, max(simple_return) FILTER (symbol = 'S1') AS \"S1\", max(simple_return) FILTER (symbol = 'S2') AS \"S2\", max(simple_return) FILTER (symbol = 'S3') AS \"S3\" FROM {FEATURES} f WHERE symbol IN ('S1', 'S2', 'S3') GROUP BY 1", ['"S1"', '"S2"', '"S3"'], ["date"])
+@query("return_pivot", "A-26", f"""SELECT date, max(simple_return) FILTER (symbol = 'S1') AS \"S1\", max(simple_return) FILTER (symbol = 'S2') AS \"S2\", max(simple_return) FILTER (symbol = 'S3') AS \"S3\"
+  FROM {FEATURES} f WHERE symbol IN ('S1', 'S2', 'S3') GROUP BY 1""", ['"S1"', '"S2"', '"S3"'], ["date"])
 def _(s, d):
     return A.return_pivot(V.bars_daily(s, d), ["S1", "S2", "S3"])
 
 
-SOME = [f"S{k}" for k in range(1, 9)]
-
-
-@query("symbol_correlations", "A-26", f"SELECT x.symbol AS a, y.symbol AS b, corr(x.simple_return, y.simple_return) AS corr, count(*) AS days FROM {FEATURES} x JOIN {FEATURES} y USING (date) WHERE x.symbol < y.symbol AND x.symbol IN {tuple(SOME)} AND y.symbol IN {tuple(SOME)} GROUP BY 1, 2", ["corr"], ["a", "b", "days"])
+@query("symbol_correlations", "A-26", f"""
+WITH r AS (SELECT symbol, date, close / nullif(lag(close) OVER {W}, 0) - 1 AS r FROM bars_long)
+SELECT x.symbol AS a, y.symbol AS b, corr(x.r, y.r) AS corr, count(*) AS days FROM r x JOIN r y USING (date) WHERE x.symbol < y.symbol GROUP BY 1, 2""", ["corr"], ["a", "b", "days"])
 def _(s, d):
-    return A.symbol_correlations(V.bars_daily(s, d), SOME)
+    return A.symbol_correlations(V.bars_long(s, d))
 
 
 @query("averages", "A-27", "SELECT symbol, avg(close) AS avg_close, avg(volume) AS avg_volume, stddev_samp(close) AS std_close FROM bars_daily GROUP BY 1", ["avg_close", "avg_volume", "std_close"], ["symbol"])
@@ -315,7 +359,9 @@ def _(s, d):
 # ---------------------------------------------------------------- options
 
 
-@query("option_parse", "O-1 O-2 O-3 O-6 O-8 O-10", "SELECT ticker, date, underlying, expiration_date, contract_type, strike_price, ok AS valid, strike_price / nullif(close, 0) AS moneyness, CAST(expiration_date - date AS INT) AS days_to_expiry, CASE contract_type WHEN 'C' THEN 'call' WHEN 'P' THEN 'put' END AS contract_word FROM option_parsed", ["strike_price", "moneyness"], ["ticker", "date", "underlying", "expiration_date", "contract_type", "valid", "days_to_expiry", "contract_word"])
+@query("option_parse", "O-1 O-2 O-3 O-6 O-8 O-10", """SELECT ticker, date, underlying, expiration_date, contract_type, strike_price, ok AS valid, strike_price / nullif(close, 0) AS moneyness, CAST(expiration_date - date AS INT) AS days_to_expiry,
+  CASE contract_type WHEN 'C' THEN 'call' WHEN 'P' THEN 'put' END AS contract_word
+  FROM option_parsed""", ["strike_price", "moneyness"], ["ticker", "date", "underlying", "expiration_date", "contract_type", "valid", "days_to_expiry", "contract_word"])
 def _(s, d):
     o = O.with_parsed(V.option_daily(s, d))
     return o.select("ticker", "date", *O.FIELDS, O.is_valid().alias("valid"), O.moneyness().alias("moneyness"), O.days_to_expiry().alias("days_to_expiry"), O.contract_word().alias("contract_word"))
@@ -326,7 +372,8 @@ def _(s, d):
     return O.contracts(V.option_bars(s, d))
 
 
-@query("option_underlying", "O-7 J-11", "SELECT o.ticker, o.date, o.strike_price, u.close AS underlying_price, o.strike_price / nullif(u.close, 0) AS moneyness_underlying FROM option_parsed o LEFT JOIN underlying_bars u ON o.underlying = u.symbol AND o.date = u.date", ["strike_price", "underlying_price", "moneyness_underlying"], ["ticker", "date"])
+@query("option_underlying", "O-7 J-11", """SELECT o.ticker, o.date, o.strike_price, u.close AS underlying_price, o.strike_price / nullif(u.close, 0) AS moneyness_underlying
+  FROM option_parsed o LEFT JOIN underlying_bars u ON o.underlying = u.symbol AND o.date = u.date""", ["strike_price", "underlying_price", "moneyness_underlying"], ["ticker", "date"])
 def _(s, d):
     return O.with_underlying(O.with_parsed(V.option_daily(s, d)), V.underlying_bars(s, d)).select("ticker", "date", "strike_price", "underlying_price", "moneyness_underlying")
 
@@ -411,9 +458,12 @@ def _(s, d):
 # ---------------------------------------------------------------- incremental runs, quality, panels
 
 
-@query("expected_dates", "IN-1 IN-2", f"SELECT date FROM {DAYS} WHERE isodow(date) <= 5")
+@query("expected_dates", "IN-1 IN-2", """
+SELECT date FROM (SELECT CAST(unnest(generate_series(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM bars_long) WHERE isodow(date) <= 5""")
 def _(s, d):
-    return DQ.trading_days(DQ.dates(s, "1995-01-01", "1995-12-31"))
+    """Trading days of the span that the bars cover."""
+    span = V.bars_long(s, d).agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    return DQ.trading_days(span.select(F.explode(F.sequence("a", "b")).alias("date")))
 
 
 @query("unprocessed_dates", "IN-3", f"SELECT date FROM {DAYS} WHERE date NOT IN (SELECT date FROM ingestion_log WHERE data_type = '1-URGENT' AND status = 'success')")
@@ -431,7 +481,9 @@ def _(s, d):
     return DQ.log_entries(V.ingestion_log(s, d), "1-URGENT", "1996-01-01", "1998-12-31", "failed", "silver").select("data_type", "date", "status", "layer", "seq")
 
 
-@query("bar_freshness", "IN-8", "SELECT symbol, max(date) AS last_date, CAST(date_diff('hour', CAST(max(date) AS TIMESTAMP), TIMESTAMP '2024-01-31 12:00:00') AS DOUBLE) AS hours, date_diff('hour', CAST(max(date) AS TIMESTAMP), TIMESTAMP '2024-01-31 12:00:00') >= 48 AS stale FROM bars_daily GROUP BY 1", ["hours"], ["symbol", "last_date", "stale"])
+@query("bar_freshness", "IN-8", """SELECT symbol, max(date) AS last_date, CAST(date_diff('hour', CAST(max(date) AS TIMESTAMP), TIMESTAMP '2024-01-31 12:00:00') AS DOUBLE) AS hours, date_diff('hour',
+  CAST(max(date) AS TIMESTAMP), TIMESTAMP '2024-01-31 12:00:00') >= 48 AS stale
+  FROM bars_daily GROUP BY 1""", ["hours"], ["symbol", "last_date", "stale"])
 def _(s, d):
     return DQ.freshness(V.bars_daily(s, d), "2024-01-31 12:00:00")
 
@@ -465,17 +517,19 @@ def _(s, d):
     return DQ.date_ranges(V.bars_long(s, d), "symbol")
 
 
-@query("integrity_report", "DQ-4", """
-WITH a AS (SELECT DISTINCT date FROM bars_long WHERE symbol = 'C1'), b AS (SELECT DISTINCT date FROM bars_long WHERE symbol = 'C2'), g AS (SELECT date + 1 AS s, lead(date) OVER (ORDER BY date) - 1 AS e FROM a)
-SELECT 'stocks_daily' AS data_type, (SELECT count(*) FROM bars_long WHERE symbol = 'C1') AS rows, (SELECT min(date) FROM a) AS first_date, (SELECT max(date) FROM a) AS last_date,
+@query("integrity_report", "DQ-4", f"""
+WITH a AS (SELECT DISTINCT date FROM bars_long WHERE {LAYER_A}), b AS (SELECT DISTINCT date FROM bars_long WHERE {LAYER_B}), g AS (SELECT date + 1 AS s, lead(date) OVER (ORDER BY date) - 1 AS e FROM a)
+SELECT 'stocks_daily' AS data_type, (SELECT count(*) FROM bars_long WHERE {LAYER_A}) AS rows, (SELECT min(date) FROM a) AS first_date, (SELECT max(date) FROM a) AS last_date,
   (SELECT count(*) FROM g WHERE e >= s AND len([x for x in generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY) if isodow(x) <= 5]) > 0) AS gaps,
   (SELECT count(*) FROM a WHERE date NOT IN (SELECT date FROM b)) AS missing_after, (SELECT count(*) FROM b WHERE date NOT IN (SELECT date FROM a)) AS missing_before""")
 def _(s, d):
     b = V.bars_long(s, d)
-    return DQ.integrity(b.filter("symbol = 'C1'"), b.filter("symbol = 'C2'"), "stocks_daily")
+    return DQ.integrity(b.filter(LAYER_A), b.filter(LAYER_B), "stocks_daily")
 
 
-@query("table_validation", "DQ-5", "SELECT count(*) AS rows, count(DISTINCT symbol) AS keys, count(DISTINCT symbol) * 100.0 / 150 AS coverage_pct, CAST(DATE '2024-06-30' - max(date) AS BIGINT) AS age_days, count(*) / count(DISTINCT symbol) AS rows_per_key, count(DISTINCT symbol) * 100.0 / 150 < 95 AS warn_coverage, DATE '2024-06-30' - max(date) > 90 AS warn_age, count(*) / count(DISTINCT symbol) < 40 AS warn_rows FROM bars_daily", ["coverage_pct", "rows_per_key"], ["rows", "keys", "age_days", "warn_coverage", "warn_age", "warn_rows"])
+@query("table_validation", "DQ-5", """SELECT count(*) AS rows, count(DISTINCT symbol) AS keys, count(DISTINCT symbol) * 100.0 / 150 AS coverage_pct, CAST(DATE '2024-06-30' - max(date) AS BIGINT) AS age_days,
+  count(*) / count(DISTINCT symbol) AS rows_per_key, count(DISTINCT symbol) * 100.0 / 150 < 95 AS warn_coverage, DATE '2024-06-30' - max(date) > 90 AS warn_age,
+  count(*) / count(DISTINCT symbol) < 40 AS warn_rows FROM bars_daily""", ["coverage_pct", "rows_per_key"], ["rows", "keys", "age_days", "warn_coverage", "warn_age", "warn_rows"])
 def _(s, d):
     return DQ.validate(V.bars_daily(s, d), 150, "2024-06-30", key="symbol")
 
@@ -534,7 +588,9 @@ def _(s, d):
     return DQ.calendar_of(V.bars_daily(s, d), "2024-01-05", "2024-01-20", V.splits(s, d).select(F.col("execution_date").alias("date")))
 
 
-@query("aligned_panel", "P-3 P-4", f"SELECT symbol, date, {', '.join(OHLC)}, CAST(volume AS DOUBLE) AS volume, CAST(transactions AS DOUBLE) AS transactions FROM (SELECT DISTINCT symbol FROM bars_daily) s CROSS JOIN (SELECT DISTINCT date FROM bars_daily) c LEFT JOIN bars_daily USING (symbol, date)", [*OHLC, "volume", "transactions"], ["symbol", "date"])
+@query("aligned_panel", "P-3 P-4", f"""SELECT symbol, date, {', '.join(OHLC)}, CAST(volume AS DOUBLE) AS volume, CAST(transactions AS DOUBLE) AS transactions
+  FROM (SELECT DISTINCT symbol FROM bars_daily) s CROSS JOIN (SELECT DISTINCT date
+  FROM bars_daily) c LEFT JOIN bars_daily USING (symbol, date)""", [*OHLC, "volume", "transactions"], ["symbol", "date"])
 def _(s, d):
     b = V.bars_daily(s, d)
     return DQ.aligned_panel(b, b.select("date").distinct(), DQ.feature_columns(b), narrow=False)
@@ -546,13 +602,15 @@ def _(s, d):
     return DQ.long_panel(b, DQ.feature_columns(b))
 
 
-@query("ratios_aligned_union", "F-20", f"SELECT ticker, fiscal_year, fiscal_period, assets, revenues FROM (SELECT ticker, fiscal_year, fiscal_period, assets, NULL AS revenues FROM balance_sheets UNION ALL SELECT ticker, fiscal_year, fiscal_period, NULL, revenues FROM income_statements)", ["assets", "revenues"], PERIOD)
+@query("ratios_aligned_union", "F-20", f"""SELECT ticker, fiscal_year, fiscal_period, assets, revenues FROM (SELECT ticker, fiscal_year, fiscal_period, assets, NULL AS revenues
+  FROM balance_sheets UNION ALL SELECT ticker, fiscal_year, fiscal_period, NULL, revenues
+  FROM income_statements)""", ["assets", "revenues"], PERIOD)
 def _(s, d):
     a = V.balance_sheets(s, d).select(*PERIOD, "assets")
     return FU.aligned_union([a, V.income_statements(s, d).select(*PERIOD, "revenues")])
 
 
-@query("ratio_averages", "A-27", None)
+@query("ratio_averages", "A-27", f"SELECT ticker, avg(roe) AS avg_roe, avg(current_ratio) AS avg_current_ratio, avg(debt_to_equity) AS avg_debt_to_equity FROM ({_ratio_sql}) r GROUP BY 1", {"avg_roe": 4, "avg_current_ratio": 4, "avg_debt_to_equity": 4}, ["ticker"])
 def _(s, d):
-    """Average ratios per ticker; the single ratios are checked by ``financial_ratios``."""
+    """Average ratios per ticker."""
     return A.averages(_ratios(s, d), ["roe", "current_ratio", "debt_to_equity"], "ticker")

@@ -85,6 +85,7 @@ def balance_sheets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def income_statements(spark: SparkSession, d: str) -> DataFrame:
+    """All nations but one, which files none, so that joins meet a gap."""
     o = table(spark, d, "orders").join(table(spark, d, "customer").filter("c_nationkey <> 3").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
     rows = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     flag = F.col("l_returnflag")
@@ -110,18 +111,18 @@ def dividends(spark: SparkSession, d: str) -> DataFrame:
 
 
 def splits(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").filter("l_orderkey % 50 = 0")
-    return rows.select(
+    """Returned lines as splits."""
+    return table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(
         _mod_ticker("l_partkey"), F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey").alias("id"), F.to_date("l_shipdate").alias("execution_date"),
         (1 + F.col("l_partkey") % 4).cast("double").alias("split_from"), (1 + F.col("l_suppkey") % 4).cast("double").alias("split_to"),
     )
 
 
 def actions_2024(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").filter("o_orderkey % 100 = 0")
-    return o.select(
+    """Orders in progress as actions of one month."""
+    return table(spark, d, "orders").filter("o_orderstatus = 'P'").select(
         _mod_ticker("o_custkey"), F.col("o_orderkey").cast("string").alias("id"), F.make_date(F.lit(2024), F.lit(1), (1 + F.col("o_orderkey") % 30).cast("int")).alias("event_date"),
-        (1 + F.col("o_orderkey") % 4).cast("double").alias("split_from"), (1 + F.col("o_custkey") % 4).cast("double").alias("split_to"), (F.col("o_totalprice") / 100000).alias("cash_amount"),
+        (20 + F.col("o_orderkey") % 4).cast("double").alias("split_from"), (20 + F.col("o_custkey") % 4).cast("double").alias("split_to"), (F.col("o_totalprice") / 100000).alias("cash_amount"),
     )
 
 
@@ -214,10 +215,10 @@ SELECT CONCAT('C', CAST(s_nationkey AS VARCHAR)) AS ticker, CAST(year(l_shipdate
     "div_events": """SELECT ticker, 'dividend' AS event_type, ex_dividend_date AS event_date, id, cash_amount AS div_cash_amount, frequency AS div_frequency,
        CASE WHEN frequency IN (12, 4, 2, 1) THEN cash_amount * frequency END AS div_annualized_amount, frequency = 0 AS div_is_special, CAST(quarter(ex_dividend_date) AS INT) AS div_quarter FROM dividends""",
     "splits": """SELECT CONCAT('S', CAST(l_partkey % 150 AS VARCHAR)) AS ticker, CONCAT(CAST(l_orderkey AS VARCHAR), '_', CAST(l_linenumber AS VARCHAR), '_', CAST(l_partkey AS VARCHAR)) AS id, CAST(l_shipdate AS DATE) AS execution_date,
-       CAST(1 + l_partkey % 4 AS DOUBLE) AS split_from, CAST(1 + l_suppkey % 4 AS DOUBLE) AS split_to FROM lineitem WHERE l_orderkey % 50 = 0""",
+       CAST(1 + l_partkey % 4 AS DOUBLE) AS split_from, CAST(1 + l_suppkey % 4 AS DOUBLE) AS split_to FROM lineitem WHERE l_returnflag = 'R'""",
     "split_events": """SELECT ticker, 'split' AS event_type, execution_date AS event_date, id, split_from, split_to, split_to / split_from AS split_ratio, split_to / split_from < 1 AS split_is_reverse FROM splits""",
     "actions_2024": """SELECT CONCAT('S', CAST(o_custkey % 150 AS VARCHAR)) AS ticker, CAST(o_orderkey AS VARCHAR) AS id, make_date(2024, 1, CAST(1 + o_orderkey % 30 AS INT)) AS event_date,
-       CAST(1 + o_orderkey % 4 AS DOUBLE) AS split_from, CAST(1 + o_custkey % 4 AS DOUBLE) AS split_to, o_totalprice / 100000 AS cash_amount FROM orders WHERE o_orderkey % 100 = 0""",
+       CAST(20 + o_orderkey % 4 AS DOUBLE) AS split_from, CAST(20 + o_custkey % 4 AS DOUBLE) AS split_to, o_totalprice / 100000 AS cash_amount FROM orders WHERE o_orderstatus = 'P'""",
     "tickers": """SELECT CONCAT('S', CAST(p_partkey AS VARCHAR)) AS ticker, p_type AS sector, p_brand AS sic_code, p_partkey % 10 <> 0 AS active, CASE WHEN p_partkey % 7 = 0 THEN 'ca' ELSE 'us' END AS locale,
        CASE p_partkey % 4 WHEN 0 THEN 'ETF' WHEN 1 THEN 'WARRANT' ELSE 'CS' END AS type, CASE WHEN p_partkey % 11 <> 0 THEN power(10, 6 + p_partkey % 6) * p_size END AS market_cap FROM part""",
     "relationships": "SELECT CONCAT('S', CAST(l_partkey AS VARCHAR)) AS source_ticker, CONCAT('S', CAST(l_suppkey AS VARCHAR)) AS ticker FROM lineitem",
