@@ -213,3 +213,46 @@ def test_empty_tables(spark):
     for df in (bars.daily_features(e), signals.price_signals(e), alpha158.alpha158(e, (5,)), quality.instruments(e), quality.date_gaps(e, "symbol"), signals.top_k(e, 3, "close", "date")):
         assert df.count() == 0
     assert summaries.candle_counts(e).count() == 1
+
+
+@pytest.mark.parametrize("accuracy", [100_000, 40])
+def test_exact_quantiles_are_numpy_s(spark, monkeypatch, accuracy):
+    """With all values in order, and with bounds from an approximate pass; ties, keys, nulls, one value and none."""
+    monkeypatch.setattr(summaries, "ACCURACY", accuracy)
+    rng = np.random.default_rng(5)
+    groups = {"a": rng.normal(size=997).round(2), "b": np.repeat([1.0, 2.0, 7.0], 300), "c": np.array([4.0]), "d": np.exp(rng.normal(size=500) * 9)}
+    rows = [(k, float(x)) for k, v in groups.items() for x in v] + [("a", None), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(7)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
+    got = {r["k"]: r[1:] for r in summaries.exact_quantiles(df, "x", shares, "k").collect()}
+    assert got.keys() == groups.keys()
+    for k, v in groups.items():
+        assert np.allclose(got[k], np.quantile(v, shares), rtol=1e-12), k
+    assert summaries.exact_quantiles(df.limit(0), "x", [0.5]).count() == 0
+    one = summaries.exact_quantiles(df.filter("k = 'a'"), F.abs("x"), [0.5]).first()["q0"]
+    assert math.isclose(one, np.quantile(np.abs(groups["a"]), 0.5))
+
+
+def test_nothing_is_over_the_quantile_of_nothing(spark):
+    b = series(spark, [1.0, 2.0, 3.0]).withColumn("x", F.lit(None).cast("double"))
+    assert access.above_quantile(b, "x", 0.5).count() == 0
+    assert summaries.outliers(b, "x").collect() == [(0, 0)]
+    assert signals.robust_zscore(b, "x", "close").select("x_z").distinct().collect() == [(0.0,)]
+
+
+def test_range_of_a_thinly_traded_symbol_is_that_of_the_full_run(spark):
+    """Frames count rows, so the history is counted in rows too."""
+    closes = [100.0 + i * i % 17 for i in range(60)]
+    b = series(spark, closes).withColumn("date", F.date_add(F.lit("2019-01-01").cast("date"), F.datediff("date", F.lit("2024-01-01").cast("date")) * 30)).withColumn("nth", F.lit(7))
+    full = bars.daily_features(b)
+    part = quality.enrich_range(b, bars.daily_features, "2023-06-01", "2023-10-01")
+    want = collect(full.filter("date BETWEEN '2023-06-01' AND '2023-10-01'").select("date", "returns_20d", "volatility_20d", "nth"), "date")
+    assert len(want) == 4 and collect(part.select("date", "returns_20d", "volatility_20d", "nth"), "date") == want
+
+
+def test_schema_differences_name_column_and_types(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(3).selectExpr("id", "1.5D AS x").write.parquet(a)
+    spark.range(3).selectExpr("id", "'t' AS x", "1 AS more").write.parquet(b)
+    assert sorted(r[1:] for r in map(tuple, quality.schema_differences(spark, [a, b]).collect())) == [("more", "int", None), ("x", "string", "double")]
+    assert quality.schema_differences(spark, [a, a]).count() == 0
