@@ -140,12 +140,12 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For some texts at a time, in order: all their ids (unsigned 32-bit), each text's followed by id 0, and the places where texts begin, with the end."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        group = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+        group = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // GROUP_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b > a:
-                yield self._group(texts.slice(a, b - a))
+                yield self._group(pc.fill_null(texts.slice(a, b - a).cast(pa.large_string()), ""))
+        pa.default_memory_pool().release_unused()
 
     def _ids(self, words: pa.Array, times: np.ndarray, known: Words) -> pa.Array:
         """The ids of each distinct word, which came ``times`` times, after the blank of ``known``."""
