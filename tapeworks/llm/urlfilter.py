@@ -81,16 +81,15 @@ def _alike() -> Column:
     return (F.col("labelled") == 0) | (_off() * _off() <= ALIKE * F.col("labelled") * share * (1 - share))
 
 
-def _branches(tree: DataFrame) -> DataFrame:
-    """host, node, child, paths and the child's name in the tree: its own, or that of the branch it is merged into."""
+def _branches(tree: DataFrame, total: int) -> DataFrame:
+    """host, node, child, paths and the child's name in the tree: its own, or that of the branch it is merged into. ``total``: no fewer than the children."""
     children = cut(tree.groupBy(*_NODE, "child").agg(*(F.sum(c).alias(c) for c in _COUNTS), F.count("*").alias("paths")))
-    total = children.count()
-    parents = cut(children.groupBy(*_NODE).agg(*_sums(F.count("*").alias("kinds"))))
+    parents = children.groupBy(*_NODE).agg(*_sums(F.count("*").alias("kinds")))
     both = join_groups(children, parents, _NODE, "kinds", total)
     variable = (F.col("kinds") > KINDS) & (F.col("kinds") > KINDS_SHARE * F.col("all_pages"))
     side = F.when(variable | _alike(), F.lit("*")).when(_off() > 0, F.lit("{more}")).otherwise(F.lit("{less}"))
     sided = cut(both.select(*_NODE, "child", *_COUNTS, "paths", side.alias("side")))
-    sides = cut(sided.filter("side <> '*'").groupBy(*_NODE, "side").agg(*_sums(F.count("*").alias("kinds"))))
+    sides = sided.filter("side <> '*'").groupBy(*_NODE, "side").agg(*_sums(F.count("*").alias("kinds")))
     apart = join_groups(sided.filter("side <> '*'"), sides, [*_NODE, "side"], "kinds", total)
     name = F.when((F.col("kinds") > 1) & _alike(), F.col("side")).otherwise(F.when(F.col("child") == "/", F.lit("$")).otherwise(F.col("child")))
     merged = sided.filter("side = '*'").select(*_NODE, "child", "paths", F.col("side").alias("name"))
@@ -122,8 +121,8 @@ def templates(pages: DataFrame) -> DataFrame:
         ended = stepped.filter("at = 0").select("host", "shape", "pages", F.concat("node", F.when(F.col("alone"), whole_rest).otherwise(F.lit("/**"))).alias("template"), "purity")
         done = ended if done is None else done.unionByName(ended)
         open_ones = stepped.filter("at > 0").withColumn("child", F.coalesce(F.get("rest", F.col("at") - 1), F.lit("/")))
-        going = cut(open_ones.withColumn("shared", F.when(F.col("at") > 1, F.concat(F.lit("/"), F.array_join(F.slice("rest", F.lit(1), F.col("at") - 1), "/"))).otherwise(F.lit(""))))
-        named = cut(_branches(going))
+        going = open_ones.withColumn("shared", F.when(F.col("at") > 1, F.concat(F.lit("/"), F.array_join(F.slice("rest", F.lit(1), F.col("at") - 1), "/"))).otherwise(F.lit("")))
+        named = cut(_branches(going, left))
         joined = join_groups(going, named, [*_NODE, "child"], "paths", left)
         further = F.slice("rest", F.least(F.col("at") + 1, F.size("rest") + 1), F.greatest(F.size("rest") - F.col("at"), F.lit(0)))
         tree = cut(joined.select("host", "shape", *_COUNTS, "purity", F.concat("node", "shared", F.lit("/"), "name").alias("node"), further.alias("rest")))
