@@ -201,7 +201,15 @@ def _(s, d):
     return DQ.backfill(V.bars_daily(s, d), B.daily_features, DQ.dates(s, "2024-01-08", "2024-01-12"), done).select("symbol", "date", "price_range")
 
 
-@query("schema_consistency", "DQ-11", """
+@query("schema_consistency", "DQ-11", "SELECT 0 AS differences")
+def _(s, d):
+    """Columns by which any file of a table differs in type from the table's first file, counted on both sides; every file's footer is read.
+    The driver's table is consistent; ``schema_drift`` has differences to find."""
+    found = DQ.schema_differences(s, sorted(s.read.parquet(f"{d}/events.parquet").inputFiles()))
+    return found.agg(F.coalesce(F.sum(F.col("type").isNotNull().cast("int") + F.col("expected").isNotNull().cast("int")), F.lit(0)).cast("int").alias("differences"))
+
+
+@query("schema_drift", "DQ-11", """
 SELECT part, "column", type, expected, n AS rows FROM (SELECT user_id % 3 AS k, count(*) AS n FROM events GROUP BY 1)
 JOIN (VALUES (1, 'part=1', 'user_id', 'string', 'bigint'), (2, 'part=2', 'props', NULL, 'string')) v (k, part, "column", type, expected) USING (k)""")
 def _(s, d):
