@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.sources.scratch import folder
@@ -62,3 +62,23 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
     by_hot = rows.join(hot, on).select(*out)
     by_key = rows.join(hot.select(*on), on, "left_anti").join(cold, on).select(*out)
     return by_hot.unionByName(by_key)
+
+
+def places(rows: DataFrame, group: list[str], order: list[Column], place: str, size: str) -> DataFrame:
+    """``rows`` with their place (from 0) in ``order`` among those of equal ``group`` columns (never null), and how many these are.
+
+    ``rows`` should be a written table: it is read twice. Ranges of the whole order are dealt to tasks, so a large
+    group, or one row that repeats very often, takes many tasks; places are counted from how many of a group
+    the ranges before hold. Rows equal in ``order`` come in any order.
+    """
+    spark = rows.sparkSession
+    tie, at, part, ahead = (fresh(c, [*rows.columns, place, size]) for c in ("tie_", "at_", "part_", "ahead_"))
+    keys = [*map(F.col, group), *order, F.col(tie)]
+    dealt = rows.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(shuffle_width(spark), *keys)
+    stored = cut(dealt.sortWithinPartitions(*keys).withColumn(at, F.monotonically_increasing_id()).drop(tie))
+    stored = stored.withColumn(part, F.shiftright(at, 33))
+    runs = stored.groupBy(part, *group).agg(F.count("*").alias(size), F.min(at).alias("first_"))
+    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum(size).over(whole.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select(part, *group, (before - F.col("first_")).alias(ahead), F.sum(size).over(whole).alias("whole_"))
+    return stored.join(runs, [part, *group]).select(*rows.columns, (F.col(at) + F.col(ahead)).alias(place), F.col("whole_").alias(size))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontam, exactdup, linedup, packing, secretscan, simhash, store, substring, toxicity, urlfilter
-from tapeworks.llm.common import table
+from tapeworks.llm import decontam, exactdup, linedup, merkle, packing, resample, secretscan, simhash, store, substring, tokencache, toxicity, urlfilter
+from tapeworks.llm.common import shared_folder, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -63,11 +63,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About half of the rows, by a hash of their ids, are counted first; the others then find their copies' counts in the cache."""
+    docs, tokenizer, counts = table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), shared_folder(spark)
+    early = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    return tokencache.token_counts(docs.filter(early), tokenizer, counts).unionByName(tokencache.token_counts(docs.filter(~early), tokenizer, counts))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_url_filters, op3_secret_scan, op4_benchmark_decontamination, op5_line_dedup,
         op6_exact_dedup, op7_substring_dedup, op8_simhash_near_dedup, op9_token_store, op10_toxicity,
+        op11_merkle_manifest, op12_importance_resampling, op13_token_counts,
     )
 }
 
@@ -128,5 +144,81 @@ WITH d AS (
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
        row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END AS fs,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END AS fd,
+         CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS fl,
+         CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS fn,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS ft, replace(text, chr(10), '') AS bare,
+         list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                     lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])) % 2 = 1 AS even FROM documents, tab),
+l AS (
+  SELECT doc_id, source, sha256(fd || fs || fl || fn || ft) AS leaf,
+         sha256(fd || fs || fl || fn || CASE WHEN bare IS NULL OR even IS NOT TRUE THEN ft ELSE strlen(bare) || ':' || bare END) AS used FROM d),
+r AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l),
+t AS (
+  SELECT CAST(0 AS BIGINT) AS lvl, s, i, leaf AS h, count(*) OVER (PARTITION BY s) AS n FROM r
+  UNION ALL
+  SELECT lvl + 1, s, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM t WHERE n > 1 GROUP BY lvl, s, i // 3, n),
+sub AS (SELECT s, h AS subroot FROM t WHERE n = 1),
+u AS (
+  SELECT CAST(0 AS BIGINT) AS lvl, s AS i, subroot AS h, count(*) OVER () AS n FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM u WHERE n > 1 GROUP BY lvl, i // 3, n),
+low AS (
+  SELECT a.s, a.lvl, a.i, string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i) AS before_, string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i) AS after_
+  FROM t a JOIN t b ON a.s = b.s AND a.lvl = b.lvl AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY a.s, a.lvl, a.i),
+high AS (
+  SELECT a.lvl, a.i, string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i) AS before_, string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i) AS after_
+  FROM u a JOIN u b ON a.lvl = b.lvl AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY a.lvl, a.i),
+deep AS (SELECT max(lvl) AS m FROM t),
+step AS (
+  SELECT r.s, r.i, low.lvl AS lvl, coalesce(before_, '') AS before_, coalesce(after_, '') AS after_
+  FROM r JOIN low ON low.s = r.s JOIN (SELECT unnest(range((SELECT m + 1 FROM deep))) AS lvl) k ON low.lvl = k.lvl AND low.i = r.i // CAST(pow(3, k.lvl) AS BIGINT)
+  UNION ALL
+  SELECT r.s, r.i, (SELECT m + 1 FROM deep) + high.lvl, coalesce(before_, ''), coalesce(after_, '')
+  FROM r JOIN (SELECT unnest(range((SELECT max(lvl) + 1 FROM u))) AS lvl) k ON true JOIN high ON high.lvl = k.lvl AND high.i = r.s // CAST(pow(3, k.lvl) AS BIGINT)),
+p AS (
+  SELECT s, i, list(before_ ORDER BY lvl) AS b, list(after_ ORDER BY lvl) AS a, string_agg(before_ || after_, '' ORDER BY lvl) AS proof FROM step GROUP BY s, i),
+f AS (
+  SELECT s, i, 1 AS k, used AS h FROM r
+  UNION ALL
+  SELECT f.s, f.i, k + 1, sha256(p.b[k] || h || p.a[k]) FROM f JOIN p ON f.s = p.s AND f.i = p.i WHERE k <= len(p.b))
+SELECT r.doc_id, r.leaf, subroot, (SELECT h FROM u WHERE n = 1) AS root, sha256(coalesce(p.proof, '')) AS proof_sha256, g.h AS folded_root, g.h = (SELECT h FROM u WHERE n = 1) AS verified
+FROM r JOIN sub USING (s) LEFT JOIN p ON p.s = r.s AND p.i = r.i
+JOIN (SELECT s, i, max_by(h, k) AS h FROM f GROUP BY s, i) g ON g.s = r.s AND g.i = r.i
+""",
+    "op12_importance_resampling": r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+w AS (
+  SELECT row_number() OVER () AS r, true AS doc, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 0, false, NULL, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+g AS (SELECT doc, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM w),
+n AS (SELECT doc, r, f, count(*) AS n FROM g GROUP BY ALL),
+x AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM n)),
+b AS (
+  SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(0, CAST(len(x) AS BIGINT), 2), lambda i: (instr('123456789ABCDEF', x[i + 1]) * 16 + instr('123456789ABCDEF', x[i + 2])))),
+                            lambda c, v: xor(c >> 8, tab[(xor(c, v) & 255) + 1])), 4294967295) % 10000 AS b FROM x, tab),
+k AS (
+  SELECT b, coalesce(sum(n) FILTER (doc), 0) AS s, coalesce(sum(n) FILTER (NOT doc), 0) AS t FROM n JOIN b USING (f) GROUP BY b),
+z AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM k),
+v AS (SELECT b, CAST(floor(1000 * ln(CAST((t + 1) * (ss + 10000) AS DOUBLE) / CAST((s + 1) * (tt + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM k, z),
+d AS (SELECT r, sum(n) AS n, sum(n * gain) AS total FROM n JOIN b USING (f) JOIN v USING (b) WHERE doc GROUP BY r),
+h AS (
+  SELECT w.doc_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_features, len(w.w) >= 20 AS able, CAST(coalesce(floor(total / n), 0) AS BIGINT) AS weight,
+         CAST('0x' || sha256('7:' || coalesce(CAST(w.doc_id AS VARCHAR), ''))[1:8] AS BIGINT) AS h
+  FROM w LEFT JOIN d ON w.r = d.r WHERE w.doc),
+p AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM h),
+q AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS FIRST, n_features) AS place, count(*) OVER (PARTITION BY able) AS m FROM p)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 25 * m // 100 THEN place END AS rank FROM q
 """,
 }
