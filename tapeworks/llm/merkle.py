@@ -53,10 +53,10 @@ def addresses(levels: int) -> list[list[int]]:
     return [(DIGEST * address(levels, d, np.arange(ARITY**d))).tolist() for d in range(levels)]
 
 
-def levels_for(size: int) -> int:
+def levels_for(size: int, height: int) -> int:
     """Levels of a block of a tree that has ``size`` nodes in this tier: all of them, or fewer where one block holds all."""
     levels = 1
-    while levels <= HEIGHT and ARITY ** (levels - 1) < size:
+    while levels <= height and ARITY ** (levels - 1) < size:
         levels += 1
     return levels
 
@@ -114,15 +114,15 @@ def leaves(docs: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, height: int) -> DataFrame:
     """Members (key, size, place, label, leaf, altered) grouped by block, each block grown in a task. A block's rows are bounded."""
-    width = ARITY**HEIGHT
+    width = ARITY**height
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 key, size, block, rows = (c[i].as_py() for c in batch.columns)
-                tree = grow([r["leaf"] for r in rows], levels_for(size))
+                tree = grow([r["leaf"] for r in rows], levels_for(size, height))
                 out = [[key], [size], [block], [[r["label"] for r in rows]], [[r["altered"] for r in rows]], [tree], [tree[:DIGEST]]]
                 kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.binary()), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], [x.split()[0] for x in _BLOCK.split(", ")])
@@ -132,43 +132,43 @@ def _blocks(members: DataFrame) -> DataFrame:
     return cut(members.groupBy("key", "size", block).agg(rows.alias("rows")).mapInArrow(build, _BLOCK))
 
 
-def tiers(members: DataFrame) -> list[DataFrame]:
+def tiers(members: DataFrame, height: int) -> list[DataFrame]:
     """Tables of blocks (key, size, block, labels, altered, tree, root), the leaves' first. The last tier of a tree has one block, number 0."""
-    width = ARITY**HEIGHT
-    made = [_blocks(members)]
+    width = ARITY**height
+    made = [_blocks(members, height)]
     while made[-1].filter(F.col("size") > width).limit(1).count():
         above = made[-1].filter(F.col("size") > width)
         made.append(_blocks(above.select(
             "key", F.ceil(F.col("size") / width).alias("size"), F.col("block").alias("place"), F.col("block").cast("string").alias("label"),
             F.col("root").alias("leaf"), F.lit(None).cast("binary").alias("altered"),
-        )))
+        ), height))
     return made
 
 
-def roots(made: list[DataFrame]) -> DataFrame:
+def roots(made: list[DataFrame], height: int) -> DataFrame:
     """key and root of each tree."""
-    tops = [t.filter(F.col("size") <= ARITY**HEIGHT).select("key", "root") for t in made]
+    tops = [t.filter(F.col("size") <= ARITY**height).select("key", "root") for t in made]
     out = tops[0]
     for t in tops[1:]:
         out = out.unionByName(t)
     return out
 
 
-def _with_paths(made: list[DataFrame], above: DataFrame) -> DataFrame:
+def _with_paths(made: list[DataFrame], above: DataFrame, height: int) -> DataFrame:
     """The first tier's blocks with the path from their roots to the root of all. ``above``: key, before, after, subroot, root for each tree."""
     columns = ["key", "size", "block", "labels", "altered", "tree", "before", "after", "subroot", "root"]
     found = None
     for t in reversed(made):
         t = t.drop("root")
-        blocks = t.filter(F.col("size") <= ARITY**HEIGHT).join(above, "key").select(*columns)
+        blocks = t.filter(F.col("size") <= ARITY**height).join(above, "key").select(*columns)
         if found is not None:
-            known = _members(found).select("key", F.col("place").alias("block"), "before", "after", "subroot", "root")
-            blocks = blocks.unionByName(t.filter(F.col("size") > ARITY**HEIGHT).join(known, ["key", "block"]).select(*columns))
+            known = _members(found, height).select("key", F.col("place").alias("block"), "before", "after", "subroot", "root")
+            blocks = blocks.unionByName(t.filter(F.col("size") > ARITY**height).join(known, ["key", "block"]).select(*columns))
         found = blocks
     return found
 
 
-def _members(blocks: DataFrame) -> DataFrame:
+def _members(blocks: DataFrame, height: int) -> DataFrame:
     """Each member of some blocks with a path: its place in its tier, label, digest, and own path to the root of all."""
     names = [x.split()[0] for x in _PATH.split(", ")]
     kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string(), pa.string())
@@ -177,37 +177,41 @@ def _members(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 key, size, block, labels, _, tree, before, after, subroot, root = (c[i].as_py() for c in batch.columns)
-                levels, n = levels_for(size), len(labels)
+                levels, n = levels_for(size, height), len(labels)
                 own = [siblings(tree, levels, n, k) for k in range(n)]
                 digests = [tree[a : a + DIGEST].hex() for a in addresses(levels)[-1][:n]]
-                first = block * ARITY**HEIGHT
+                first = block * ARITY**height
                 out = ([key] * n, list(range(first, first + n)), labels, digests, [[b for b, _ in p] + before for p in own], [[a for _, a in p] + after for p in own], [subroot] * n, [root] * n)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
     return blocks.mapInArrow(down, _PATH)
 
 
-def _prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row a document of a block: its digests, its proof, and the root folded again."""
+def _prove(blocks: DataFrame, height: int) -> DataFrame:
+    """One row a document of some blocks with a path: its digests, its proof, and the root folded again."""
     names = [x.split()[0] for x in _PROOF.split(", ")]
     kinds = (pa.int64(), *[pa.string()] * 5, pa.bool_())
-    for batch in batches:
-        for i in range(batch.num_rows):
-            _, size, _, labels, altered, tree, before, after, subroot, root = (c[i].as_py() for c in batch.columns)
-            levels = levels_for(size)
-            at, path = addresses(levels)[-1], list(zip(before, after, strict=True))
-            above = "".join(b + a for b, a in path)
-            rows = []
-            for k, (label, other) in enumerate(zip(labels, altered, strict=True)):
-                own = siblings(tree, levels, len(labels), k)
-                leaf = tree[at[k] : at[k] + DIGEST].hex()
-                folded = fold(other.hex() if other else leaf, own + path)
-                proof = hashlib.sha256(("".join(b + a for b, a in own) + above).encode()).hexdigest()
-                rows.append((None if label is None else int(label), leaf, subroot, root, proof, folded, folded == root))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
-
-def manifest(docs: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+
+    def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                _, size, _, labels, altered, tree, before, after, subroot, root = (c[i].as_py() for c in batch.columns)
+                levels = levels_for(size, height)
+                at, path = addresses(levels)[-1], list(zip(before, after, strict=True))
+                above = "".join(b + a for b, a in path)
+                rows = []
+                for k, (label, other) in enumerate(zip(labels, altered, strict=True)):
+                    own = siblings(tree, levels, len(labels), k)
+                    leaf = tree[at[k] : at[k] + DIGEST].hex()
+                    folded = fold(other.hex() if other else leaf, own + path)
+                    proof = hashlib.sha256(("".join(b + a for b, a in own) + above).encode()).hexdigest()
+                    rows.append((None if label is None else int(label), leaf, subroot, root, proof, folded, folded == root))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    return blocks.mapInArrow(prove, _PROOF)
+
+
+def manifest(docs: DataFrame, height: int = HEIGHT) -> tuple[list[DataFrame], list[DataFrame]]:
     """The stored tiers of the trees by source, and those of the tree over their roots.
 
     ``docs``: doc_id, source, lang, n_chars, text; other columns are ignored. Leaves ascend by doc_id, null first;
@@ -216,22 +220,22 @@ def manifest(docs: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     """
     stored = cut(leaves(docs))  # no texts from here on
     members = places(stored, ["key"], [F.col("doc_id").asc_nulls_first(), F.col("leaf")], "place", "size")
-    low = tiers(members.select("key", "size", "place", F.col("doc_id").cast("string").alias("label"), "leaf", "altered"))
-    tops = places(cut(roots(low)), [], [F.col("key")], "place", "size")
-    high = tiers(tops.select(F.lit("").alias("key"), "size", "place", F.col("key").alias("label"), F.col("root").alias("leaf"), F.lit(None).cast("binary").alias("altered")))
+    low = tiers(members.select("key", "size", "place", F.col("doc_id").cast("string").alias("label"), "leaf", "altered"), height)
+    tops = places(cut(roots(low, height)), [], [F.col("key")], "place", "size")
+    high = tiers(tops.select(F.lit("").alias("key"), "size", "place", F.col("key").alias("label"), F.col("root").alias("leaf"), F.lit(None).cast("binary").alias("altered")), height)
     return low, high
 
 
-def proofs(low: list[DataFrame], high: list[DataFrame]) -> DataFrame:
+def proofs(low: list[DataFrame], high: list[DataFrame], height: int = HEIGHT) -> DataFrame:
     """One row per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
     ``folded_root`` is made from the altered leaf, where there is one, and the stored siblings.
     """
     none = F.array().cast("array<string>")
-    top = roots(high).select("key", none.alias("before"), none.alias("after"), F.lit("").alias("subroot"), F.lower(F.hex("root")).alias("root"))
-    sources = _members(_with_paths(high, top)).select(F.col("label").alias("key"), "before", "after", F.col("digest").alias("subroot"), "root")
-    return _with_paths(low, sources).mapInArrow(_prove, _PROOF)
+    top = roots(high, height).select("key", none.alias("before"), none.alias("after"), F.lit("").alias("subroot"), F.lower(F.hex("root")).alias("root"))
+    sources = _members(_with_paths(high, top, height), height).select(F.col("label").alias("key"), "before", "after", F.col("digest").alias("subroot"), "root")
+    return _prove(_with_paths(low, sources, height), height)
 
 
-def verify(docs: DataFrame) -> DataFrame:
-    return proofs(*manifest(docs))
+def verify(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
+    return proofs(*manifest(docs, height), height)

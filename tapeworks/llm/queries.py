@@ -156,7 +156,7 @@ d AS (
          CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS fn,
          CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS ft, replace(text, chr(10), '') AS bare,
          list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
-                     lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])) % 2 = 1 AS even FROM documents, tab),
+                     lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])) % 2 = 1 AND doc_id IS NOT NULL AS even FROM documents, tab),
 l AS (
   SELECT doc_id, source, sha256(fd || fs || fl || fn || ft) AS leaf,
          sha256(fd || fs || fl || fn || CASE WHEN bare IS NULL OR even IS NOT TRUE THEN ft ELSE strlen(bare) || ':' || bare END) AS used FROM d),
