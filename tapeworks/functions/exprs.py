@@ -23,12 +23,12 @@ def positive_ln(x: str | Column) -> Column:
     return F.when(x > 0, F.ln(x))
 
 
-def series(key: str = "symbol", order: str = "date") -> WindowSpec:
-    """All of a key's rows in time order."""
+def series(key: str | list[str] = "symbol", order: str = "date") -> WindowSpec:
+    """All of a key's rows in time order; a key may be several columns."""
     return Window.partitionBy(key).orderBy(order)
 
 
-def last_n(n: int, key: str = "symbol", order: str = "date") -> WindowSpec:
+def last_n(n: int, key: str | list[str] = "symbol", order: str = "date") -> WindowSpec:
     """The current row and up to n - 1 before it."""
     return series(key, order).rowsBetween(-(n - 1), 0)
 

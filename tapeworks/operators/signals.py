@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.exprs import last_n, sdiv, series, simple_return, so_far
+from tapeworks.operators.chunks import days, numbered
 from tapeworks.operators.summaries import exact_quantiles
 
 #: Rows, in multiples of the span, after which the truncated moving average ignores the past.
 EMA_REACH = 10
+#: Rows of a chunk of an exact moving average.
+EMA_CHUNK = 256
 
 
 def roc(n: int = 20, price: str = "close") -> Column:
@@ -44,24 +48,68 @@ def ema(n: int, price: str = "close", reach: int = EMA_REACH) -> Column:
     return F.aggregate(rest, window[0].cast("double"), lambda acc, x: x * a + acc * (1 - a))
 
 
-def exact_ema(bars: DataFrame, spans: list[int], price: str = "close", key: str = "symbol", order: str = "date") -> DataFrame:
-    """EMAs from each key's first row on, and MACD (12, 26, 9) when 12 and 26 are among the spans. One key's series must fit a task."""
-    wanted = [f"ema_{n}" for n in spans]
-    macd = {12, 26} <= set(spans)
-    names = wanted + (["macd", "macd_signal", "macd_histogram"] if macd else [])
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        for n in spans:
-            pdf[f"ema_{n}"] = pdf[price].ewm(span=n, adjust=False).mean()
-        if macd:
-            pdf["macd"] = pdf.ema_12 - pdf.ema_26
-            pdf["macd_signal"] = pdf.macd.ewm(span=9, adjust=False).mean()
-            pdf["macd_histogram"] = pdf.macd - pdf.macd_signal
-        return pdf[[key, order, price, *names]]
-
-    fields = ", ".join(f"`{c}` {dict(bars.dtypes)[c]}" for c in (key, order, price))
-    return bars.select(key, order, price).groupBy(key).applyInPandas(smooth, fields + "".join(f", {n} double" for n in names))
+def exact_ema(
+    bars: DataFrame, spans: list[int], price: str = "close", key: str = "symbol", order: str = "date", chunk_rows: int = EMA_CHUNK, bucket: Column | None = None
+) -> DataFrame:
+    """EMAs from each key's first row on, and MACD (12, 26, 9) when 12 and 26 are among the spans.
+
+    A step of the average is an affine map of the value before it, and such maps compose. Series are cut into chunks of
+    ``chunk_rows``: each chunk's map is found within it, the maps of a key's chunks are combined by doubling distances, and the value
+    before a chunk is then put into its rows. So a long series takes many tasks; one task holds a chunk, or a key's chunks as one
+    row each. A missing price leaves the average as it was; before the first price it is NULL. ``bucket`` is what
+    ``chunks.numbered`` asks for (512 days if none).
+    """
+    if chunk_rows > EMA_CHUNK:
+        raise ValueError(f"powers of the weights are in range for chunks of {EMA_CHUNK} rows at most")
+    most = bars.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    rounds = max(0, math.ceil(math.log2(max(1, math.ceil(most / chunk_rows)))))
+    rows = numbered(bars.select(key, order, price), days(512, order) if bucket is None else bucket, key, order)
+    rows = rows.withColumn("chunk_", F.floor((F.col("i_") - 1) / chunk_rows))
+    rows = _recursive(rows, {f"ema_{n}": (price, n) for n in spans}, key, rounds)
+    names = [f"ema_{n}" for n in spans]
+    if {12, 26} <= set(spans):
+        rows = _recursive(rows.withColumn("macd", F.col("ema_12") - F.col("ema_26")), {"macd_signal": ("macd", 9)}, key, rounds)
+        rows = rows.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+        names += ["macd", "macd_signal", "macd_histogram"]
+    return rows.select(key, order, price, *names)
+
+
+def _recursive(rows: DataFrame, wanted: dict[str, tuple[str, int]], key: str, rounds: int) -> DataFrame:
+    """Numbered rows in chunks with recursive averages: name -> (column, span). ``rounds``: the logarithm of the most chunks a key has."""
+    so_far_ = Window.partitionBy(key, "chunk_").orderBy("i_").rowsBetween(Window.unboundedPreceding, 0)
+    kept, weight = rows.columns, {name: 2.0 / (n + 1) for name, (_, n) in wanted.items()}
+    value = {name: F.col(c).cast("double") for name, (c, _) in wanted.items()}
+    rows = rows.select("*", *(F.count(c).over(so_far_).alias(f"{name}_k") for name, (c, _) in wanted.items()))
+    grown = {name: value[name] * F.pow(F.lit(1 - a), -F.col(f"{name}_k")) if a < 1 else None for name, a in weight.items()}
+    rows = rows.select(
+        "*", *(F.pow(F.lit(1 - a), F.col(f"{name}_k")).alias(f"{name}_a") for name, a in weight.items()),
+        *((F.coalesce(F.sum(grown[name]).over(so_far_), F.lit(0.0)) * a if a < 1 else F.coalesce(F.last(value[name], ignorenulls=True).over(so_far_), F.lit(0.0))).alias(f"{name}_s") for name, a in weight.items()),
+    )
+    rows = rows.select("*", *((F.col(f"{name}_s") * (F.col(f"{name}_a") if a < 1 else 1)).alias(f"{name}_b") for name, a in weight.items()))
+    # A chunk's map is that of its last row; its first value stands in where nothing came before.
+    last = [F.max_by(F.struct(*(F.col(f"{name}_{x}").alias(x) for x in "ab")), "i_").alias(name) for name in wanted]
+    first = [F.min_by(value[name], F.when(value[name].isNotNull(), F.col("i_"))).alias(f"{name}_first") for name in wanted]
+    maps = rows.groupBy(key, "chunk_").agg(*last, *first)
+    series_ = Window.partitionBy(key).orderBy("chunk_")
+    for d in range(rounds):
+        before = {name: F.lag(name, 1 << d).over(series_) for name in wanted}
+        maps = maps.select(key, "chunk_", *wanted, *(f"{n}_first" for n in wanted), *(b.alias(f"{n}_before") for n, b in before.items()))
+        joined = [
+            F.when(F.col(f"{n}_before").isNull(), F.col(n)).otherwise(F.struct(
+                (F.col(f"{n}.a") * F.col(f"{n}_before.a")).alias("a"), (F.col(f"{n}.a") * F.col(f"{n}_before.b") + F.col(f"{n}.b")).alias("b"),
+            )).alias(n) for n in wanted
+        ]
+        maps = maps.select(key, "chunk_", *joined, *(f"{n}_first" for n in wanted))
+    prior = {n: F.first(f"{n}_first", ignorenulls=True).over(series_.rowsBetween(Window.unboundedPreceding, -1)) for n in wanted}
+    maps = maps.select(
+        F.col(key).alias("key_"), F.col("chunk_").alias("c_"), *(F.lag(n).over(series_).alias(n) for n in wanted),
+        *(x.alias(f"{n}_prior") for n, x in prior.items()), *(f"{n}_first" for n in wanted),
+    )
+    value_in = {n: F.when(F.col(f"{n}_prior").isNotNull(), F.col(f"{n}.a") * F.col(f"{n}_prior") + F.col(f"{n}.b")).otherwise(F.col(f"{n}_first")) for n in wanted}
+    maps = maps.select("key_", "c_", *(f"{n}_prior" for n in wanted), *(x.alias(f"{n}_in") for n, x in value_in.items()))
+    found = rows.join(maps, F.col(key).eqNullSafe(F.col("key_")) & (F.col("chunk_") == F.col("c_")))
+    made = {n: F.when((F.col(f"{n}_k") > 0) | F.col(f"{n}_prior").isNotNull(), F.col(f"{n}_a") * F.col(f"{n}_in") + F.col(f"{n}_b")).alias(n) for n in wanted}
+    return found.select(*kept, *made.values())
 
 
 def bollinger(n: int = 20, k: float = 2.0) -> dict[str, Column]:

@@ -287,7 +287,7 @@ SELECT symbol, date, {', '.join(f'{x} AS {k}' for k, x in shape.items())} FROM b
 
 def panel_digits(columns: list[str]) -> dict[str, int]:
     """Shares of small whole numbers end in a 5 now and then: more digits keep both sides from rounding it differently."""
-    digits = {"SUM": 11, "VSUM": 11, "VMA": 11, "CNT": 11, "RANK": 11, "CORR": 5, "CORD": 5, "RSQR": 5, "RESI": 5, "BETA": 8}
+    digits = {"SUM": 11, "VSUM": 11, "VMA": 11, "CNT": 11, "RANK": 11, "CORR": 5, "CORD": 5, "RSQR": 5, "RESI": 5, "BETA": 10}
     return {c: next((n for start, n in digits.items() if c.startswith(start)), 8) for c in columns}
 
 
