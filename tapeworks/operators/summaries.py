@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.exprs import col, count_true, guarded_corr, sdiv, series, simple_return
+from tapeworks.operators.gram import series_correlations
 
 
 def monthly_market(bars: DataFrame) -> DataFrame:
@@ -142,11 +143,9 @@ def return_pivot(bars: DataFrame, symbols: list[str]) -> DataFrame:
 
 
 def symbol_correlations(bars: DataFrame, symbols: list[str] | None = None) -> DataFrame:
-    """Correlation of returns between all symbols, or some: an equi-join on the date. The result has a row for each pair of symbols."""
+    """Correlation of returns between all symbols, or some, by products of symbol blocks. The result has a row for each pair of symbols."""
     some = bars if symbols is None else bars.filter(F.col("symbol").isin(symbols))
-    r = some.select("symbol", "date", simple_return("close", 1, series()).alias("r"))
-    a, b = r.select("date", F.col("symbol").alias("a"), F.col("r").alias("ra")), r.select("date", F.col("symbol").alias("b"), F.col("r").alias("rb"))
-    return a.join(b, "date").filter("a < b").groupBy("a", "b").agg(guarded_corr(F.col("ra"), F.col("rb")).alias("corr"), F.count("*").alias("days"))
+    return series_correlations(some.withColumn("r", simple_return("close", 1, series())), F.col("r"))
 
 
 def averages(df: DataFrame, columns: list[str], *keys: str, deviation: str | None = None) -> DataFrame:

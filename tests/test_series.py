@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.operators import alpha158, signals
 from tapeworks.operators.chunks import days, numbered, overlapped
+from tapeworks.operators.gram import series_correlations
 from tapeworks.operators.sliding import Sliding, quantile
 
 BARS = "symbol string, date date, open double, high double, low double, close double, volume bigint, transactions bigint"
@@ -137,3 +138,29 @@ def test_ema_holds_no_series_in_one_task(spark):
     plan = signals.exact_ema(bars(spark, {"A": 2000}), [12, 26], chunk_rows=100)._jdf.queryExecution().executedPlan().toString()
     assert "InPandas" not in plan and "Python" not in plan
     assert signals.exact_ema(bars(spark, {"A": 2}).limit(0), [12]).count() == 0
+
+
+@pytest.mark.parametrize(("block", "span"), [(2, 30), (64, 512), (1, 7)])
+def test_blocked_correlations_are_numpy_s(spark, block, span):
+    rng = random.Random(block)
+    start = dt.date(1969, 12, 1)  # days before 1970 too
+    rows = [(f"é{s}" if s == 3 else f"s{s}", start + dt.timedelta(days=d), None if rng.random() < 0.1 else 5.1 if s == 4 else 1000 + rng.gauss(0, 1) + (d % 7) * s) for s in range(7) for d in range(100) if rng.random() < 0.7]
+    rows += [("alone", dt.date(2050, 1, 1), 1.0), ("alone", dt.date(2050, 1, 2), 2.0), ("few", start, 1.0), (None, start, 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, date date, v double")
+    got = {(r["a"], r["b"]): (r["corr"], r["days"]) for r in series_correlations(df, F.col("v"), block=block, span=span).collect()}
+    by = {}
+    for s, d, v in rows:
+        if s:
+            by.setdefault(s, {})[d] = v
+    want = {}
+    for a in by:
+        for b in by:
+            common = [d for d in by[a] if d in by[b]]
+            if a < b and common:
+                xy = np.array([(by[a][d], by[b][d]) for d in common if by[a][d] is not None and by[b][d] is not None])
+                flat = len(xy) < 2 or (xy.max(0) == xy.min(0)).any()
+                want[a, b] = (None if flat else np.corrcoef(xy.T)[0, 1], len(common))
+    assert got.keys() == want.keys()
+    for k, (c, n) in want.items():
+        assert got[k][1] == n and (c is None) == (got[k][0] is None) and (c is None or math.isclose(c, got[k][0], abs_tol=1e-9))
+    assert series_correlations(df.limit(0), F.col("v")).count() == 0
