@@ -16,7 +16,7 @@ from tapeworks.operators import summaries as A
 from tapeworks.plans import views as V
 from tapeworks.plans.catalog import query
 from tapeworks.plans.queries import OHLC
-from tapeworks.sources import readers, schemas, sinks
+from tapeworks.sources import readers, schemas, sinks, upserts
 from tapeworks.sources.scratch import folder
 from tapeworks.streaming import jobs
 
@@ -283,8 +283,7 @@ def _(s, d):
     path = folder(s, "latest")
     e = _tick_stream(s, d).select(F.col("symbol").alias("ticker"), "price", F.struct("ts", "event_id").alias("at"))
     jobs.upsert_reference(e, path, folder(s, "marks"), ["ticker"], "at").awaitTermination()
-    rows = s.read.parquet(path)
-    return rows.filter(F.col("v") == rows.agg(F.max("v")).first()[0]).select("ticker", "price")
+    return upserts.read_upserted(s, path).select("ticker", "price")
 
 
 @query("stream_landing", "ST-1", "SELECT symbol, date, open, high, low, close, volume, transactions FROM bars_daily", OHLC, ["symbol", "date", "volume", "transactions"])

@@ -14,7 +14,8 @@ from tapeworks.operators import summaries as A
 from tapeworks.plans import views as V
 from tapeworks.plans.catalog import query
 from tapeworks.plans.queries import FEATURES, OHLC, RANGE, STATEMENTS, W, _features, _ratio_sql, _ratios, _statements, daily_sql
-from tapeworks.sources import sinks
+from tapeworks.sources import sinks, upserts
+from tapeworks.sources.scratch import folder
 
 PERIOD = ["ticker", "fiscal_year", "fiscal_period"]
 
@@ -442,7 +443,10 @@ def _(s, d):
 @query("upsert", "SNK-5 U-3", "SELECT ticker, src, v FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY v DESC, src DESC) AS k FROM (SELECT ticker, 0 AS src, length(sector) AS v FROM tickers UNION ALL SELECT ticker, 1, 20 FROM ipos)) WHERE k = 1")
 def _(s, d):
     a = V.tickers(s, d).select("ticker", F.lit(0).alias("src"), F.length("sector").cast("long").alias("v"))
-    return sinks.upserted(a, V.ipos(s, d).select("ticker", F.lit(1).alias("src"), F.lit(20).cast("long").alias("v")), ["ticker"], "v")
+    path = folder(s, "upserts")
+    for batch in (a, V.ipos(s, d).select("ticker", F.lit(1).alias("src"), F.lit(20).cast("long").alias("v"))):
+        upserts.upsert(batch, path, ["ticker"], "v")
+    return upserts.read_upserted(s, path).select("ticker", "src", "v")
 
 
 @query("market_cap_class", "C-13 C-14", "SELECT ticker, CASE WHEN market_cap >= 200e9 THEN 'mega' WHEN market_cap >= 10e9 THEN 'large' WHEN market_cap >= 2e9 THEN 'mid' WHEN market_cap >= 300e6 THEN 'small' WHEN market_cap >= 50e6 THEN 'micro' ELSE 'nano' END AS cap_class FROM tickers")

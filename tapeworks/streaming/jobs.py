@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks.sources.readers import normalize, with_dates
-from tapeworks.sources.sinks import MONTHS, _existing, upserted
+from tapeworks.sources.sinks import MONTHS
+from tapeworks.sources.upserts import BUCKETS, upsert
 
 
 def landing_to_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str, data_type: str) -> StreamingQuery:
@@ -33,14 +34,11 @@ def unique_news(news: DataFrame, within: str = "7 days") -> DataFrame:
     return news.withWatermark("published", within).dropDuplicatesWithinWatermark(["id"])
 
 
-def upsert_reference(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: str) -> StreamingQuery:
-    """Keep the latest row of each key in ``path/v=N``; each batch writes a new version, so a repeated batch gives the same one."""
+def upsert_reference(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the latest row of each key in a table for ``upserts.read_upserted``; a micro-batch writes the buckets it touches, once."""
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        old = _existing(spark, f"{path}/v={epoch - 1}") if epoch else None
-        merged = upserted(batch.limit(0) if old is None else old, batch, keys, order)
-        merged.write.mode("overwrite").parquet(f"{path}/v={epoch}")
+        upsert(batch, path, keys, order, buckets, name=str(epoch))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
