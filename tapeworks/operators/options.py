@@ -63,6 +63,16 @@ def chain(bars: DataFrame, underlying: str) -> DataFrame:
     return contracts(bars).filter(F.col("underlying") == underlying.upper())
 
 
+def stored_chain(table: DataFrame, underlying: str) -> DataFrame:
+    """Distinct contracts of one underlying, from a table that keeps contract fields as columns: the filter reaches the scan."""
+    return table.filter(F.col("underlying") == underlying.upper()).select("ticker", *FIELDS).distinct()
+
+
+def contract_bars(table: DataFrame, ticker: str) -> DataFrame:
+    """All bars of one contract."""
+    return table.filter(F.col("ticker") == ticker.upper())
+
+
 def put_call_ratio(options: DataFrame) -> DataFrame:
     """Volume of puts over that of calls per underlying and date (parsed rows)."""
     volume = lambda t: F.sum(F.when(F.col("contract_type") == t, F.col("volume")))

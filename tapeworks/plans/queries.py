@@ -17,7 +17,7 @@ from tapeworks.operators import signals as T
 from tapeworks.operators import summaries as A
 from tapeworks.plans import views as V
 from tapeworks.plans.catalog import query
-from tapeworks.sources import sinks
+from tapeworks.sources import layouts, sinks
 from tapeworks.sources.scratch import folder
 
 W = "(PARTITION BY symbol ORDER BY date)"
@@ -431,6 +431,14 @@ def _(s, d):
     return O.chain(V.option_bars(s, d), "stan")
 
 
+@query("option_chain_stored", "Q-18", "SELECT DISTINCT ticker, underlying, expiration_date, contract_type, strike_price FROM option_parsed WHERE underlying = 'STAN'", ["strike_price"], ["ticker", "underlying", "expiration_date", "contract_type"])
+def _(s, d):
+    """From a table clustered by underlying, of which only the chain's row groups are read."""
+    path = folder(s, "options")
+    layouts.write_clustered(O.with_parsed(V.option_bars(s, d).select("ticker", "date", "close", "volume")), path, ["underlying", "ticker", "date"], {"ticker": 20_000})
+    return O.stored_chain(s.read.parquet(path), "stan")
+
+
 @query("table_info", "Q-19", "SELECT count(*) AS rows, count(DISTINCT o_custkey) AS tickers, CAST(year(o_orderdate) AS INT) AS first_year, CAST(year(o_orderdate) AS INT) AS last_year FROM orders GROUP BY year(o_orderdate)")
 def _(s, d):
     """Orders written as a file for each year; rows, tickers and years of each file."""

@@ -14,7 +14,7 @@ from tapeworks.operators import summaries as A
 from tapeworks.plans import views as V
 from tapeworks.plans.catalog import query
 from tapeworks.plans.queries import FEATURES, OHLC, RANGE, STATEMENTS, W, _features, _ratio_sql, _ratios, _statements, daily_sql
-from tapeworks.sources import sinks, upserts
+from tapeworks.sources import layouts, sinks, upserts
 from tapeworks.sources.scratch import folder
 
 PERIOD = ["ticker", "fiscal_year", "fiscal_period"]
@@ -376,7 +376,11 @@ def _(s, d):
 @query("option_underlying", "O-7 J-11", """SELECT o.ticker, o.date, o.strike_price, u.close AS underlying_price, o.strike_price / nullif(u.close, 0) AS moneyness_underlying
   FROM option_parsed o LEFT JOIN underlying_bars u ON o.underlying = u.symbol AND o.date = u.date""", ["strike_price", "underlying_price", "moneyness_underlying"], ["ticker", "date"])
 def _(s, d):
-    return O.with_underlying(O.with_parsed(V.option_daily(s, d)), V.underlying_bars(s, d)).select("ticker", "date", "strike_price", "underlying_price", "moneyness_underlying")
+    """Both sides are stored in buckets of underlying and date, and joined bucket by bucket."""
+    lines, at, buckets = V.option_lines(s, d), ["underlying", "date"], int(s.conf.get("spark.sql.shuffle.partitions"))
+    options = layouts.bucketed(O.with_parsed(V.option_daily(s, d, lines)).select("ticker", "strike_price", *at), at, buckets)
+    prices = layouts.bucketed(V.underlying_bars(s, d, lines).withColumnRenamed("symbol", "underlying"), at, buckets)
+    return O.with_underlying(options, prices.withColumnRenamed("underlying", "symbol")).select("ticker", "date", "strike_price", "underlying_price", "moneyness_underlying")
 
 
 @query("option_volume_oi", "O-9", "SELECT ticker, date, volume / nullif(transactions % 3, 0) AS volume_oi_ratio FROM option_daily", ["volume_oi_ratio"], ["ticker", "date"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.operators import bars as B
+from tapeworks.sources.scratch import folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,29 +34,37 @@ def bars_minute(spark: SparkSession, d: str) -> DataFrame:
     return B.window_bars(ticks(spark, d), 1, "minutes")
 
 
+def option_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines that stand for option trades, stored for several readers."""
+    path = folder(spark, "lines")
+    columns = ["p_type", "p_retailprice", "l_shipdate", "l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "o_orderdate"]
+    _option_lines(spark, d).select(*columns).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _option_lines(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return lines.join(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def option_bars(spark: SparkSession, d: str) -> DataFrame:
+def option_bars(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
     two = lambda c: F.lpad(c.cast("string"), 2, "0")
     ship = F.col("l_shipdate")
     ticker = F.concat(
         F.lit("O:"), F.upper(F.substring("p_type", 1, 4)), two(F.year(ship) % 100), two(F.month(ship)), two(F.dayofmonth(ship)),
         F.when(F.col("l_returnflag") == "R", "P").otherwise("C"), F.lpad(F.round(F.col("p_retailprice") * 1000).cast("long").cast("string"), 8, "0"),
     )
-    return _option_lines(spark, d).select(ticker.alias("ticker"), F.to_date("o_orderdate").alias("date"), "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / 1000).alias("close"), F.col("l_quantity").cast("long").alias("volume"))
+    return (_option_lines(spark, d) if lines is None else lines).select(ticker.alias("ticker"), F.to_date("o_orderdate").alias("date"), "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / 1000).alias("close"), F.col("l_quantity").cast("long").alias("volume"))
 
 
-def underlying_bars(spark: SparkSession, d: str) -> DataFrame:
-    return _option_lines(spark, d).groupBy(F.upper(F.substring("p_type", 1, 4)).alias("symbol"), F.to_date("o_orderdate").alias("date")).agg(F.max("p_retailprice").alias("close"))
+def underlying_bars(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
+    return (_option_lines(spark, d) if lines is None else lines).groupBy(F.upper(F.substring("p_type", 1, 4)).alias("symbol"), F.to_date("o_orderdate").alias("date")).agg(F.max("p_retailprice").alias("close"))
 
 
-def option_daily(spark: SparkSession, d: str) -> DataFrame:
+def option_daily(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
     """One bar per contract and date."""
     close = F.col("close")
-    return option_bars(spark, d).groupBy("ticker", "date").agg(
+    return option_bars(spark, d, lines).groupBy("ticker", "date").agg(
         F.min_by(close, F.struct("l_orderkey", "l_linenumber")).alias("open"), F.max(close).alias("high"), F.min(close).alias("low"),
         F.max_by(close, F.struct("l_orderkey", "l_linenumber")).alias("close"), F.sum("volume").cast("long").alias("volume"), F.count("*").alias("transactions"),
     )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tapeworks.sources.layouts import write_clustered
+
 MONTHS = ("year", "month")
 #: Files below this many bytes are worth joining, into files of about TARGET_BYTES.
 SMALL_BYTES, TARGET_BYTES = 100 << 20, 256 << 20
@@ -42,9 +44,9 @@ def write_fundamentals(df: DataFrame, path: str) -> None:
 
 
 def write_actions(df: DataFrame, path: str, by_ticker: bool = False) -> None:
-    """By year and month, or by event type with tickers clustered (ranges of tickers, newest first): few files, prunable by statistics."""
+    """By year and month, or by event type with tickers clustered, which a lookup of one ticker prunes by statistics."""
     if by_ticker:
-        df.repartitionByRange("event_type", "ticker").sortWithinPartitions("event_type", "ticker", F.desc("event_date")).write.mode("overwrite").partitionBy("event_type").parquet(path)
+        write_clustered(df, path, ["ticker", "event_date"], partition_by=("event_type",))
     else:
         df.repartition(*MONTHS).sortWithinPartitions(*MONTHS, "ticker", F.desc("event_date")).write.mode("overwrite").partitionBy(*MONTHS).parquet(path)
 

@@ -1,4 +1,4 @@
-"""Tables laid out for their readers: bucketed upserts."""
+"""Tables laid out for their readers: bucketed upserts, clustered lookups, joins by bucket."""
 
 import os
 import random
@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks.sources import upserts
+from tapeworks.operators import options
+from tapeworks.sources import layouts, sinks, upserts
 
 ROWS = "k string, g int, t int, v string"
 
@@ -65,3 +66,82 @@ def test_many_rows_of_one_key_meet_before_the_exchange(spark, tmp_path):
     assert [tuple(r) for r in upserts.latest(hot, ["k"], F.col("t")).collect()] == [("hot", 4999)]
     plan = upserts.latest(hot, ["k"], F.col("t"))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan
+
+
+def scanned(df):
+    """Rows that the scan gave out, after row groups and pages were skipped."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            node = node.executedPlan()
+        if node.nodeName().startswith("Scan"):
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+    return total
+
+
+def groups(path):
+    import pyarrow.parquet as pq
+
+    files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    return sum(pq.ParquetFile(f).num_row_groups for f in files)
+
+
+@pytest.fixture
+def contracts(spark):
+    ticker = F.concat(F.lit("O:"), F.element_at(F.array(*map(F.lit, ("SPY", "STAN", "AAPL", "F", "TSLA"))), (F.col("id") % 5 + 1).cast("int")), F.lit("240315C"), F.lpad(F.xxhash64("id").cast("string").substr(2, 5), 8, "0"))
+    return options.with_parsed(spark.range(60_000).select(ticker.alias("ticker"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("date"), F.col("id").alias("volume")))
+
+
+def test_a_chain_reads_its_row_groups_only(spark, contracts, tmp_path):
+    layouts.write_clustered(contracts, str(tmp_path / "t"), ["underlying", "ticker", "date"], {"ticker": 5000}, group_bytes=16 << 10, files=3)
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    many = groups(tmp_path / "t")
+    assert many >= 20 and stored.count() == 60_000
+    chain = options.stored_chain(stored, "stan")
+    assert sorted(map(tuple, chain.collect())) == sorted(map(tuple, options.chain(contracts, "stan").collect()))
+    assert 12_000 <= scanned(chain) < 60_000 / 3
+    one = contracts.first()["ticker"]
+    assert scanned(options.contract_bars(stored, one)) < 60_000 / 10
+    assert options.contract_bars(stored, one.lower()).count() == contracts.filter(F.col("ticker") == one).count()
+
+
+def test_bloom_filters_skip_what_the_order_can_t(spark, contracts, tmp_path):
+    """By date each row group spans all tickers: statistics skip nothing, filters do."""
+    some = contracts.withColumn("ticker", F.concat("ticker", F.lit("-"), F.col("volume").cast("string")))
+    missing = some.filter("volume = 30000").first()["ticker"] + "x"
+    read = {}
+    for name, bloom in (("plain", None), ("bloom", {"ticker": 5000})):
+        layouts.write_clustered(some, str(tmp_path / name), ["date"], bloom, group_bytes=16 << 10, files=2)
+        stored = spark.read.option("parquet.filter.dictionary.enabled", "false").option("parquet.filter.columnindex.enabled", "false").parquet(str(tmp_path / name))
+        assert options.contract_bars(stored, missing[:-1]).count() == 1
+        read[name] = scanned(stored.filter(F.col("ticker") == missing))
+    assert groups(tmp_path / "plain") >= 10
+    assert read["plain"] > 10_000 and read["bloom"] < read["plain"] / 4, read
+
+
+def test_actions_of_one_ticker_skip_the_others(spark, tmp_path):
+    rows = spark.range(40_000).select(F.concat(F.lit("T"), F.col("id") % 400).alias("ticker"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 900).cast("int")).alias("event_date"), F.element_at(F.array(F.lit("dividend"), F.lit("split")), (F.col("id") % 2 + 1).cast("int")).alias("event_type"))
+    sinks.write_actions(rows, str(tmp_path / "a"), by_ticker=True)
+    one = spark.read.parquet(str(tmp_path / "a")).filter("ticker = 'T7' AND event_type = 'split'")
+    assert one.count() == 100 and scanned(one) <= 40_000 / 4  # not the other type's folder nor, in files, other tickers' pages
+
+
+def test_bucketed_tables_join_without_exchange_or_sort(spark, contracts):
+    prices = contracts.select(F.col("underlying"), "date").distinct().withColumn("close", F.length("underlying") * 10.0)
+    at = ["underlying", "date"]
+    a, b = layouts.bucketed(contracts, at, 4), layouts.bucketed(prices, at, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = options.with_underlying(a, b.withColumnRenamed("underlying", "symbol"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = options.with_underlying(contracts, prices.withColumnRenamed("underlying", "symbol"))
+        assert sorted(map(tuple, joined.select("ticker", "date", "volume", "underlying_price").collect())) == sorted(map(tuple, want.select("ticker", "date", "volume", "underlying_price").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
