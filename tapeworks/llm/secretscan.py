@@ -99,7 +99,7 @@ def _if(condition: Column, spans: Column) -> Column:
 
 
 def _battery(raw: Column) -> Column:
-    """Struct of encoding, n (symbols) and p of a candidate: how likely a random string deviates as much."""
+    """Struct of encoding, cell and bin of p of a candidate: how likely a random string deviates as much. Linear in its length."""
     which = F.lit(len(ENCODINGS) - 1)
     for i, (_, must, _) in reversed(list(enumerate(ENCODINGS[:-1]))):
         which = F.when(raw.rlike(must), F.lit(i)).otherwise(which)
@@ -108,36 +108,49 @@ def _battery(raw: Column) -> Column:
     alphabet = F.element_at(F.array(*(F.lit(a) for _, _, a in ENCODINGS)), which + 1)
     made = F.struct(which.alias("encoding"), s.alias("s"), alphabet.alias("alphabet"), F.length(s).alias("n"), F.length(alphabet).cast("double").alias("size"))
 
-    def values(m: Column) -> Column:
-        places = F.transform(F.sequence(F.lit(1), m["n"]), lambda i: F.call_function("instr", m["alphabet"], F.substr(m["s"], i, F.lit(1))).cast("double"))
-        return F.struct(m.alias("m"), places.alias("v"))
+    def sums(m: Column) -> Column:
+        """One pass over the symbols' places in the alphabet: sums for the serial correlation, how many are high, how often that changes."""
+        v = F.transform(F.split(m["s"], "", -1), lambda c: F.call_function("instr", m["alphabet"], c).cast("double"))
+        half = m["size"] / 2
+
+        def step(acc: Column, y: Column) -> Column:
+            high = (y > half).cast("double")
+            return F.struct(
+                y.alias("last"), high.alias("was"), (acc["sum"] + y).alias("sum"), (acc["square"] + y * y).alias("square"),
+                (acc["lagged"] + acc["last"] * y).alias("lagged"), (acc["high"] + high).alias("high"), (acc["changes"] + F.abs(high - acc["was"])).alias("changes"),
+                F.when(acc["first"] == 0, y).otherwise(acc["first"]).alias("first"),
+            )
+
+        # Places are from 1 on, so 0 stands for no symbol yet; the first change, from 0, is taken off again.
+        start = F.struct(*(F.lit(0.0).alias(x) for x in ("last", "was", "sum", "square", "lagged", "high", "changes", "first")))
+        return F.struct(m.alias("m"), F.aggregate(v, start, step).alias("t"))
 
     def tests(x: Column) -> Column:
-        m, v = x["m"], x["v"]
+        m, t = x["m"], x["t"]
         n = m["n"].cast("double")
         symbols = F.sequence(F.lit(1), m["size"].cast("int"))
         squares = F.aggregate(symbols, F.lit(0.0), lambda acc, k: acc + F.pow(m["n"] - F.length(F.replace(m["s"], F.substr(m["alphabet"], k, F.lit(1)), F.lit(""))), F.lit(2.0)))
         chi = m["size"] / n * squares - n
         z_chi = (chi - (m["size"] - 1)) / F.sqrt(2 * (m["size"] - 1) * (n - 1) / n)
-        pairs = F.zip_with(F.slice(v, F.lit(1), m["n"] - 1), F.slice(v, F.lit(2), m["n"] - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        half = m["size"] / 2
-        runs = 1 + F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + ((p["a"] > half) != (p["b"] > half)).cast("double"))
-        high = F.aggregate(v, F.lit(0.0), lambda acc, y: acc + (y > half).cast("double"))
+        high, runs = t["high"], 1 + t["changes"] - (t["first"] > m["size"] / 2).cast("double")
         expected = 2 * high * (n - high) / n + 1
         spread = (expected - 1) * (expected - 2) / (n - 1)
         z_runs = F.when(spread > 0, (runs - expected) / F.sqrt(F.abs(spread))).otherwise(F.sqrt(n))
-        mean = F.aggregate(v, F.lit(0.0), lambda acc, y: acc + y) / n
-        power = F.aggregate(v, F.lit(0.0), lambda acc, y: acc + (y - mean) * (y - mean))
-        product = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + (p["a"] - mean) * (p["b"] - mean))
-        z_serial = F.when(power > 0, product / F.when(power > 0, power) * F.sqrt(n)).otherwise(F.sqrt(n))
-        total = F.pow(F.greatest(z_chi, F.lit(0.0)), F.lit(2.0)) + z_runs * z_runs + z_serial * z_serial
+        mean = t["sum"] / n
+        power = t["square"] - t["sum"] * mean
+        product = t["lagged"] - mean * (2 * t["sum"] - t["first"] - t["last"]) + (n - 1) * mean * mean
+        z_serial = F.when(n * t["square"] > t["sum"] * t["sum"], product / F.when(power != 0, power) * F.sqrt(n)).otherwise(F.sqrt(n))
+        return F.struct(m.alias("m"), (F.pow(F.greatest(z_chi, F.lit(0.0)), F.lit(2.0)) + z_runs * z_runs + z_serial * z_serial).alias("total"))
+
+    def judged(x: Column) -> Column:
+        m, total = x["m"], x["total"]
         # About chi-squared with three degrees; its cube root is about normal, whose tail is about logistic.
         z = (F.pow(total / 3, F.lit(1 / 3)) - (1 - 2 / 27)) / (2 / 27) ** 0.5
         log10_p = -F.log10(1 + F.exp(F.least(1.5976 * z + 0.07056 * z * z * z, F.lit(690.0))))
-        size_class = F.least(F.floor(F.log2(n)), F.lit(12))
+        size_class = F.least(F.floor(F.log2(m["n"].cast("double"))), F.lit(12))
         return F.struct(m["encoding"].alias("encoding"), (m["encoding"] * 16 + size_class).cast("int").alias("cell"), F.least(F.floor(-log10_p * BINS_A_DECADE), F.lit(BINS)).cast("int").alias("bin"))
 
-    return _bound(made, lambda m: _bound(values(m), tests))
+    return _bound(made, lambda m: _bound(sums(m), lambda x: _bound(tests(x), judged)))
 
 
 def scan(docs: DataFrame, *keep: str, base_name: str = "base", tested_name: str = "candidates") -> DataFrame:
