@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.exprs import col, sdiv
+from tapeworks.operators.chunks import days, with_before
 
 BASE = ["ticker", "event_type", "event_date", "id"]
 #: Payments a year of each dividend frequency.
@@ -146,17 +147,19 @@ def news_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("ticker", F.substring("published_utc", 1, 10).alias("day")).agg(F.count("*").alias("articles"), F.count_distinct("id").alias("ids"), F.count("amp_url").alias("amp_links"))
 
 
-def split_adjusted(bars: DataFrame, events: DataFrame, column: str = "close") -> DataFrame:
+def split_adjusted(bars: DataFrame, events: DataFrame, column: str = "close", span: int = 512) -> DataFrame:
     """Prices divided by the product of the ratios of all later splits.
 
-    Bars and splits are laid in one series per symbol and the ratios' logs summed from the end: no range join.
+    Bars and splits are laid in one series per symbol and the ratios' logs summed from the end, within buckets of ``span`` days
+    and from bucket to bucket: no range join, and a long series takes many tasks.
     """
     one = events.filter("split_ratio > 0").groupBy(F.col("ticker").alias("symbol"), F.col("event_date").alias("date")).agg(F.sum(F.ln("split_ratio")).alias("ln_"))
     laid = bars.withColumn("ln_", F.lit(None).cast("double")).unionByName(one, allowMissingColumns=True)
-    after = Window.partitionBy("symbol").orderBy(F.desc("date")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    today = Window.partitionBy("symbol", "date")
-    later = F.coalesce(F.sum("ln_").over(after), F.lit(0.0)) - F.coalesce(F.sum("ln_").over(today), F.lit(0.0))
-    made = laid.withColumn("split_factor", F.exp(later)).filter(F.col(column).isNotNull()).drop("ln_")
+    laid = with_before(laid, {"beyond_": F.sum("ln_")}, {"beyond_": "sum"}, "symbol", days(span), forward=False)
+    after = Window.partitionBy("symbol", "bucket_").orderBy(F.desc("date")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    today = Window.partitionBy("symbol", "bucket_", "date")
+    later = F.coalesce(F.sum("ln_").over(after), F.lit(0.0)) - F.coalesce(F.sum("ln_").over(today), F.lit(0.0)) + F.coalesce("beyond_", F.lit(0.0))
+    made = laid.withColumn("split_factor", F.exp(later)).filter(F.col(column).isNotNull()).drop("ln_", "beyond_", "bucket_")
     return made.withColumn(f"adjusted_{column}", F.col(column) / F.col("split_factor"))
 
 

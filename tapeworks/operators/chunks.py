@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def days(span: int, order: str = "date") -> Column:
+def days(span: int, order: str | Column = "date") -> Column:
     """Buckets of so many days."""
     return F.floor(F.unix_date(F.to_date(order)) / span)
 
@@ -39,3 +39,18 @@ def overlapped(rows: DataFrame, size: int, overlap: int, number: str = "i_", chu
     first = F.floor(at / size)
     both = F.when(at % size >= size - overlap, F.array(first, first + 1)).otherwise(F.array(first))
     return rows.select("*", F.explode(both).alias(chunk)).withColumn(own, F.col(chunk) == first)
+
+
+def with_before(rows: DataFrame, found: dict[str, Column], combine: dict[str, str], key: str, bucket: Column, forward: bool = True) -> DataFrame:
+    """``rows`` with what the earlier buckets of their key (later ones if not ``forward``) add up to: the second level of a carry.
+
+    ``found``: name -> aggregate of a bucket; ``combine``: name -> ``last`` (the nearest bucket's that isn't null) or ``sum``. Adds the
+    names and ``bucket_``; a window over (key, bucket_) does the rest. A task holds a bucket's rows, or a key's buckets as one row each.
+    """
+    rows = rows.withColumn("bucket_", bucket)
+    ends = rows.groupBy(F.col(key).alias("key_"), F.col("bucket_").alias("b_")).agg(*(x.alias(n) for n, x in found.items()))
+    order = F.col("b_").asc_nulls_first() if forward else F.col("b_").desc_nulls_last()
+    before = Window.partitionBy("key_").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    carried = {n: F.last(n, ignorenulls=True) if combine[n] == "last" else F.sum(n) for n in found}
+    ends = ends.select("key_", "b_", *(x.over(before).alias(n) for n, x in carried.items()))
+    return rows.join(ends, F.col(key).eqNullSafe(F.col("key_")) & F.col("bucket_").eqNullSafe(F.col("b_"))).drop("key_", "b_")

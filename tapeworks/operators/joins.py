@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.exprs import count_true, sdiv
+from tapeworks.operators.chunks import days, with_before
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, columns: list[str]) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, columns: list[str], bucket: Callable[[Column], Column] | None = None) -> DataFrame:
     """Each left row with the latest right row of its key at or before its time.
 
-    Both sides are laid in one series per key and the right side's values carried forward: one exchange, no range join.
+    Both sides are laid in one series per key and the right side's values carried forward: within a ``bucket`` of time (512 days if none;
+    it must not fall when time rises), and from bucket to bucket, so a key with very many rows takes many tasks. No range join. Null
+    keys and times have no match; of right rows of one key and time any counts.
     """
     found = F.struct(F.col(right_time).alias(right_time), *columns)
-    r = right.select(F.col(key), F.col(right_time).alias("t_"), F.lit(0).alias("side_"), found.alias("found_"))
+    known = right.filter(F.col(key).isNotNull() & F.col(right_time).isNotNull())
+    r = known.select(F.col(key).alias("key_of_"), F.col(right_time).alias("t_"), F.lit(0).alias("side_"), found.alias("found_"))
     rows = F.struct(*left.columns)
-    lhs = left.select(F.col(key), F.col(left_time).alias("t_"), F.lit(1).alias("side_"), F.lit(None).cast(r.schema["found_"].dataType).alias("found_"), rows.alias("row_"))
-    w = Window.partitionBy(key).orderBy("t_", "side_").rowsBetween(Window.unboundedPreceding, 0)
-    laid = lhs.unionByName(r, allowMissingColumns=True).withColumn("found_", F.last("found_", ignorenulls=True).over(w))
+    lhs = left.select(F.col(key).alias("key_of_"), F.col(left_time).alias("t_"), F.lit(1).alias("side_"), F.lit(None).cast(r.schema["found_"].dataType).alias("found_"), rows.alias("row_"))
+    at = days(512, F.col("t_")) if bucket is None else bucket(F.col("t_"))
+    latest = F.max_by("found_", F.when(F.col("side_") == 0, F.col("t_")))
+    laid = with_before(lhs.unionByName(r, allowMissingColumns=True), {"before_": latest}, {"before_": "last"}, "key_of_", at)
+    w = Window.partitionBy("key_of_", "bucket_").orderBy("t_", "side_").rowsBetween(Window.unboundedPreceding, 0)
+    laid = laid.withColumn("found_", F.when(F.col("t_").isNotNull(), F.coalesce(F.last("found_", ignorenulls=True).over(w), "before_")))
     return laid.filter("side_ = 1").select("row_.*", *(F.col(f"found_.{c}").alias(c) for c in (right_time, *columns)))
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks.operators import alpha158, signals
+from tapeworks.operators import actions, alpha158, joins, signals
 from tapeworks.operators.chunks import days, numbered, overlapped
 from tapeworks.operators.gram import series_correlations
 from tapeworks.operators.sliding import Sliding, quantile
@@ -164,3 +164,43 @@ def test_blocked_correlations_are_numpy_s(spark, block, span):
     for k, (c, n) in want.items():
         assert got[k][1] == n and (c is None) == (got[k][0] is None) and (c is None or math.isclose(c, got[k][0], abs_tol=1e-9))
     assert series_correlations(df.limit(0), F.col("v")).count() == 0
+
+
+def tasks(df):
+    return df.groupBy(F.spark_partition_id()).count().count()
+
+
+@pytest.mark.parametrize("span", [1, 30, 5000])
+def test_as_of_carries_from_bucket_to_bucket(spark, span):
+    rng = random.Random(span)
+    day = lambda k: dt.date(2020, 1, 1) + dt.timedelta(days=k)
+    right = [(rng.choice(["hot", "hot", "b", None]), day(k), k) for k in rng.sample(range(400), 60)] + [("hot", None, -1)]
+    left = [(rng.choice(["hot"] * 5 + ["b", "c", None]), rng.choice([None, *map(day, range(-20, 420))]), i) for i in range(500)]
+    lhs, rhs = spark.createDataFrame(left, "symbol string, date date, v int"), spark.createDataFrame(right, "symbol string, filed date, n int")
+    got = {r["v"]: r["n"] for r in joins.as_of(lhs, rhs, "symbol", "date", "filed", ["n"], bucket=lambda t: days(span, t)).collect()}
+    for s, d, v in left:
+        found = [(f, n) for k, f, n in right if s is not None and k == s and f is not None and d is not None and f <= d]
+        assert got[v] == (max(found)[1] if found else None)
+    assert joins.as_of(lhs.limit(0), rhs, "symbol", "date", "filed", ["n"]).count() == 0
+
+
+def test_split_factors_over_buckets(spark):
+    rng = random.Random(3)
+    b = bars(spark, {"A": 300, "B": 4})
+    splits = [("A", dt.date(1990, 1, 1) + dt.timedelta(days=rng.randrange(650)), rng.choice([2.0, 0.5, 3.0, 4.0])) for _ in range(12)] + [("C", dt.date(1990, 1, 1), 2.0)]
+    events = spark.createDataFrame(splits, "ticker string, event_date date, split_ratio double")
+    for span in (20, 5000):
+        for r in actions.split_adjusted(b, events, span=span).collect():
+            want = math.prod(x for t, d, x in splits if t == r["symbol"] and d > r["date"])
+            assert math.isclose(r["split_factor"], want) and math.isclose(r["adjusted_close"], r["close"] / want)
+
+
+def test_a_hot_key_takes_many_tasks(spark):
+    b = bars(spark, {"A": 3000})
+    filed = spark.createDataFrame([("A", dt.date(1990, 1, 1), 1)], "symbol string, filed date, n int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert tasks(joins.as_of(b, filed, "symbol", "date", "filed", ["n"], bucket=lambda t: days(100, t))) == 4
+        assert tasks(actions.split_adjusted(b, filed.selectExpr("symbol AS ticker", "filed AS event_date", "2.0 AS split_ratio"), span=100)) == 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
