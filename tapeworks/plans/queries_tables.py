@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from tapeworks.operators import actions as C
 from tapeworks.operators import bars as B
 from tapeworks.operators import fundamentals as FU
+from tapeworks.operators import incremental
 from tapeworks.operators import joins as J
 from tapeworks.operators import options as O
 from tapeworks.operators import quality as DQ
 from tapeworks.operators import summaries as A
 from tapeworks.plans import views as V
 from tapeworks.plans.catalog import query
-from tapeworks.plans.queries import FEATURES, OHLC, RANGE, STATEMENTS, W, _features, _ratio_sql, _ratios, _statements, daily_sql
+from tapeworks.plans.queries import DAILY, FEATURES, OHLC, RANGE, STATEMENTS, W, _features, _ratio_sql, _ratios, _statements, daily_sql
 from tapeworks.sources import layouts, sinks, upserts
 from tapeworks.sources.scratch import folder
 
@@ -484,6 +485,15 @@ def _(s, d):
     return DQ.enrich_range(V.bars_daily(s, d), B.daily_features, "2024-01-05", "2024-01-20").select("symbol", "date", "returns_1d", "volume_ratio")
 
 
+@query("enrich_new_days", "IN-4 IN-5", daily_sql("bars_daily").replace("SELECT symbol, date, open, high, low, close, volume, transactions, r1", "SELECT symbol, date, r1"), DAILY, ["symbol", "date"])
+def _(s, d):
+    """All bars in three runs, of which each reads its own days and the kept tails."""
+    path, tails = folder(s, "bars"), folder(s, "tails")
+    V.bars_daily(s, d).withColumn("run", F.when(F.col("date") < "2024-01-11", 1).when(F.col("date") < "2024-01-21", 2).otherwise(3)).write.partitionBy("run").parquet(path)
+    runs = [incremental.enrich_new(s.read.parquet(path).filter(F.col("run") == k).drop("run"), B.daily_features, tails, buckets=8) for k in (1, 2, 3)]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2]).drop(*OHLC, "volume", "transactions")
+
+
 @query("log_entries", "IN-7", "SELECT data_type, date, status, layer, seq FROM ingestion_log WHERE data_type = '1-URGENT' AND status = 'failed' AND layer = 'silver' AND date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'")
 def _(s, d):
     return DQ.log_entries(V.ingestion_log(s, d), "1-URGENT", "1996-01-01", "1998-12-31", "failed", "silver").select("data_type", "date", "status", "layer", "seq")

@@ -71,6 +71,11 @@ def upsert(batch: DataFrame, path: str, keys: list[str], order: str, buckets: in
     return touched
 
 
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether any batch was put into the table at ``path``."""
+    return bool(_state(spark, path)[1])
+
+
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
     """The table as its last complete batch left it."""
     _, versions = _state(spark, path)

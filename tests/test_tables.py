@@ -1,12 +1,13 @@
 """Tables laid out for their readers: bucketed upserts, clustered lookups, joins by bucket."""
 
+import datetime as dt
 import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks.operators import options
+from tapeworks.operators import bars, incremental, options
 from tapeworks.sources import layouts, sinks, upserts
 
 ROWS = "k string, g int, t int, v string"
@@ -145,3 +146,26 @@ def test_bucketed_tables_join_without_exchange_or_sort(spark, contracts):
         assert sorted(map(tuple, joined.select("ticker", "date", "volume", "underlying_price").collect())) == sorted(map(tuple, want.select("ticker", "date", "volume", "underlying_price").collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_new_days_read_themselves_and_the_tails(spark, tmp_path):
+    """Runs day by day give what one run over everything gives; a repeated run gives nothing; keys that pause keep their tails."""
+    rng = random.Random(8)
+    rows = [(s, dt.date(2024, 1, 1) + dt.timedelta(days=k), *(10 + rng.random() for _ in range(4)), rng.randrange(9), 1) for s in ("A", "B", "C") for k in range(70) if s != "B" or k % 7 == 0 or k > 60]
+    schema = "symbol string, date date, open double, high double, low double, close double, volume bigint, transactions bigint"
+    days = spark.createDataFrame([*rows, (None, dt.date(2024, 1, 1), 1.0, 1.0, 1.0, 1.0, 1, 1)], schema)
+    days.repartition(2).write.partitionBy("date").parquet(str(tmp_path / "bars"))
+    stored, tails = spark.read.parquet(str(tmp_path / "bars")), str(tmp_path / "tails")
+    runs = []
+    for a, b in ((0, 50), (50, 68), (68, 70)):
+        part = stored.filter(F.col("date").between(dt.date(2024, 1, 1) + dt.timedelta(days=a), dt.date(2024, 1, 1) + dt.timedelta(days=b - 1)))
+        runs.append(incremental.enrich_new(part, bars.daily_features, tails, buckets=4))
+    assert scanned(part.select("close")) == sum(r[1] >= dt.date(2024, 3, 9) for r in rows)
+    got = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    want = bars.daily_features(days.filter("symbol IS NOT NULL")).select(*got.columns)
+    key = lambda r: (r["symbol"], r["date"])
+    for x, y in zip(sorted(got.collect(), key=key), sorted(want.collect(), key=key), strict=True):
+        assert key(x) == key(y) and all((a is None and b is None) or a == b or abs(a - b) < 1e-12 for a, b in zip(x[2:], y[2:], strict=True) if not isinstance(a, str))
+    assert incremental.enrich_new(part, bars.daily_features, tails, buckets=4).count() == 0
+    tail = upserts.read_upserted(spark, tails)
+    assert {r["symbol"]: len(r["tail"]) for r in tail.collect()} == {"A": 60, "B": sum(r[0] == "B" for r in rows), "C": 60}
