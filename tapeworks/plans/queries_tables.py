@@ -11,6 +11,7 @@ from tapeworks.operators import incremental
 from tapeworks.operators import joins as J
 from tapeworks.operators import options as O
 from tapeworks.operators import quality as DQ
+from tapeworks.operators import sketches
 from tapeworks.operators import summaries as A
 from tapeworks.plans import views as V
 from tapeworks.plans.catalog import query
@@ -201,6 +202,22 @@ def _(s, d):
     return A.monthly_market(V.bars_long(s, d))
 
 
+@query("monthly_market_sketched", "A-3 A-4 Q-19 DQ-10", """SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, count(*) AS rows, count(DISTINCT symbol) AS symbols, true AS within_error,
+  min(date) AS first_date, max(date) AS last_date, avg(volume) AS avg_volume, CAST(sum(volume) AS BIGINT) AS total_volume FROM bars_daily GROUP BY ALL""",
+    ["avg_volume"], ["year", "month", "rows", "symbols", "within_error", "first_date", "last_date", "total_volume"])
+def _(s, d):
+    """Months merged from stored day sketches, which were made in two runs; beside the exact counts of symbols, whether the estimates keep their error."""
+    path, at, month = folder(s, "bars"), folder(s, "sketches"), [F.year("day").alias("year"), F.month("day").alias("month")]
+    V.bars_daily(s, d).write.parquet(path)
+    b = s.read.parquet(path)
+    for rows in (b.filter("date < DATE '2024-01-16'"), b):
+        sketches.add_days(rows, at, "symbol", "date", ("volume",))
+    found = sketches.report(sketches.stored_days(s, at), *month, sums=("volume",))
+    exact = b.groupBy(F.year("date").alias("year"), F.month("date").alias("month")).agg(F.count_distinct("symbol").alias("symbols"))
+    near = F.abs(F.col("keys") - F.col("symbols")) <= F.col("keys_error")
+    return found.join(exact, ["year", "month"]).select("year", "month", "rows", "symbols", near.alias("within_error"), "first_date", "last_date", "avg_volume", F.col("total_volume").cast("long"))
+
+
 @query("table_report", "A-4 F-1", "SELECT count(*) AS rows, count(DISTINCT a) AS keys, min(day) AS first_date, max(day) AS last_date FROM (SELECT CONCAT('S', CAST(user_id AS VARCHAR)) AS a, strftime(ts, '%Y-%m-%d') AS day FROM events)")
 def _(s, d):
     return A.table_report(FU.first_ticker(V.news(s, d)).withColumn("day", F.substring("published_utc", 1, 10)), "ticker", "day")

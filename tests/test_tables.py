@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks.operators import bars, incremental, options
+from tapeworks.operators import bars, incremental, options, sketches
 from tapeworks.sources import layouts, sinks, upserts
 
 ROWS = "k string, g int, t int, v string"
@@ -169,3 +169,27 @@ def test_new_days_read_themselves_and_the_tails(spark, tmp_path):
     assert incremental.enrich_new(part, bars.daily_features, tails, buckets=4).count() == 0
     tail = upserts.read_upserted(spark, tails)
     assert {r["symbol"]: len(r["tail"]) for r in tail.collect()} == {"A": 60, "B": sum(r[0] == "B" for r in rows), "C": 60}
+
+
+def test_day_sketches_merge_and_read_new_days_only(spark, tmp_path):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int"))
+    rows = spark.range(40_000).select(day.alias("date"), F.when(F.col("id") % 11 > 0, (F.col("id") * 7) % 9000).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("v"))
+    rows.write.partitionBy("date").parquet(str(tmp_path / "t"))
+    table, path = spark.read.parquet(str(tmp_path / "t")), str(tmp_path / "s")
+    assert sketches.stored_days(spark, path) is None
+    sketches.add_days(table.filter("date < '2024-02-09'"), path, "k", "date", ("v",))
+    assert sketches.stored_days(spark, path).count() == 39
+    new = sketches.missing_days(table, path, "date")
+    assert scanned(new.select("k")) == 1000
+    sketches.add_days(table, path, "k", "date", ("v",))
+    sketches.add_days(table, path, "k", "date", ("v",))  # nothing is new
+    got = sketches.report(sketches.stored_days(spark, path), sums=("v",)).first()
+    want = table.agg(F.count("*"), F.count_distinct("k"), F.min("date"), F.max("date"), F.sum("v"), F.avg("v")).first()
+    assert (got["rows"], got["first_date"], got["last_date"], got["total_v"]) == (want[0], want[2], want[3], want[4]) and abs(got["avg_v"] - want[5]) < 1e-12
+    assert abs(got["keys"] - want[1]) <= got["keys_error"] <= want[1] * 0.05
+    late = table.unionByName(spark.createDataFrame([(dt.date(2024, 1, 3), -5, 100)], "date date, k bigint, v bigint"))
+    sketches.redo_days(late, path, "k", "date", ["2024-01-03"], ("v",))
+    again = sketches.report(sketches.stored_days(spark, path), sums=("v",)).first()
+    assert (again["rows"], again["total_v"]) == (40_001, want[4] + 100)
+    empty = sketches.report(sketches.stored_days(spark, path).limit(0), sums=("v",)).first()
+    assert (empty["rows"], empty["keys_error"], empty["avg_v"]) == (None, 0, None)
