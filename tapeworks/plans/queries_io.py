@@ -18,7 +18,7 @@ from tapeworks.plans.catalog import query
 from tapeworks.plans.queries import OHLC
 from tapeworks.sources import readers, schemas, sinks, upserts
 from tapeworks.sources.scratch import folder
-from tapeworks.streaming import jobs
+from tapeworks.streaming import jobs, state
 
 PERIOD = ["ticker", "fiscal_year", "fiscal_period"]
 NOON = "CAST(date AS TIMESTAMP) + INTERVAL 12 HOUR"
@@ -271,6 +271,16 @@ def _(s, d):
     return _drain(jobs.unique_news(n, "60 days").select("id"), "append")
 
 
+@query("stream_first_rows", "ST-3", "SELECT DISTINCT symbol AS id, true AS earliest FROM ticks")
+def _(s, d):
+    """The first tick of each symbol over any time, from keyed state; whether it is one of the symbol's first time."""
+    ticks = _tick_stream(s, d).select(F.col("symbol").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
+    with state.rocksdb(s):
+        found = _drain(state.first_rows(ticks, "id", "ts"), "append")
+    first = V.ticks(s, d).groupBy(F.col("symbol").alias("id")).agg(F.min("ts").cast("timestamp").alias("first"))
+    return found.join(first, "id").select("id", (F.col("ts") == F.col("first")).alias("earliest"))
+
+
 @query("stream_dimension_join", "ST-5", "SELECT event_id, symbol AS ticker, sector FROM ticks LEFT JOIN tickers t ON symbol = t.ticker")
 def _(s, d):
     e = _tick_stream(s, d).select("event_id", F.col("symbol").alias("ticker"))
