@@ -72,7 +72,6 @@ class Automaton:
                 while up > 0 and item_id not in owners[up]:
                     owners[up].add(item_id)
                     up = self.link[up]
-        #: The state that holds a state's suffix of window words, if it is that long.
         self.owners = [frozenset(x) for x in owners]
         self.short_at: dict[int, list[tuple[int, frozenset[str | None]]]] = {}
         for ids, who in short.items():
@@ -80,6 +79,15 @@ class Automaton:
             for c in ids:
                 state = self.next[state][c]
             self.short_at.setdefault(state, []).append((len(ids), frozenset(who)))
+        #: The state that holds a state's suffix of window words (itself where it is shorter), and the nearest suffix, itself included,
+        #: at which a short item ends (0: none). Links lead to shorter states, so those come first.
+        self.window_at = list(range(len(self.length)))
+        self.short_up = [0] * len(self.length)
+        for state in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+            up = self.link[state]
+            if self.length[up] >= window:
+                self.window_at[state] = self.window_at[up]
+            self.short_up[state] = state if state in self.short_at else self.short_up[up]
 
     def _extend(self, last: int, c: int, owners: list[set[str | None]]) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -142,18 +150,14 @@ class Automaton:
                 matched = 0
             if matched >= window:
                 hit[at + i - window + 1 : at + i + 1] = True
-                up = state
-                while length[link[up]] >= window:
-                    up = link[up]
-                found |= self.owners[up]
-            if self.short_at:
-                up = state
-                while up > 0:
-                    for n, who in self.short_at.get(up, ()):
-                        if n <= matched:
-                            hit[at + i - n + 1 : at + i + 1] = True
-                            found |= who
-                    up = link[up]
+                found |= self.owners[self.window_at[state]]
+            up = self.short_up[state]
+            while up:
+                for n, who in self.short_at[up]:
+                    if n <= matched:
+                        hit[at + i - n + 1 : at + i + 1] = True
+                        found |= who
+                up = self.short_up[link[up]]
 
 
 _built: dict[bytes, Automaton] = {}
@@ -190,7 +194,7 @@ def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    pieces = cut(benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(cut_up, "item_id string, words binary, n bigint"))
+    pieces = cut(benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(cut_up, "item_id string, words binary, n bigint").distinct())  # repeated items would all fall into one block
     total = pieces.agg(F.sum("n")).first()[0] or 0
     number = max(1, -(-total // block_words))
     dealt = pieces.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(number)))
