@@ -170,6 +170,14 @@ def _(s, d):
     return readers.read_table(s, path).select("ticker", "event_type", "event_date", "id")
 
 
+@query("action_lookup", "SNK-4 Q-8", "SELECT ticker, event_type, event_date, id FROM split_events WHERE ticker = 'S7'")
+def _(s, d):
+    """All splits stored by ticker, and those of one looked up: statistics skip the other tickers' pages."""
+    path = folder(s, "actions")
+    sinks.write_actions(C.all_actions(C.splits(V.splits(s, d))), path, by_ticker=True)
+    return s.read.parquet(path).filter("ticker = 'S7'").select("ticker", "event_type", "event_date", "id")
+
+
 @query("reference_sink", "SNK-7", "SELECT ticker, locale, type FROM tickers WHERE type <> 'WARRANT'")
 def _(s, d):
     path = folder(s, "reference")
@@ -241,8 +249,8 @@ def _stream(s, d, name: str) -> DataFrame:
     return s.readStream.schema(s.read.parquet(f"{d}/{name}.parquet").schema).parquet(f"{d}/{name}.parquet*")
 
 
-def _drain(stream: DataFrame, mode: str) -> DataFrame:
-    """Run to the end; the last batch's rows (mode complete) or all rows (append), read back from files."""
+def _drain(stream: DataFrame, mode: str, every: bool = False) -> DataFrame:
+    """Run to the end; the last batch's rows (mode complete) or all rows (append, or ``every`` batch's), read back from files."""
     s = stream.sparkSession
     out, mark = folder(s, "stream"), folder(s, "marks")
 
@@ -251,7 +259,7 @@ def _drain(stream: DataFrame, mode: str) -> DataFrame:
 
     stream.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
     rows = s.read.parquet(out)
-    return rows.drop("v") if mode == "append" else rows.filter(F.col("v") == rows.agg(F.max("v")).first()[0]).drop("v")
+    return rows.drop("v") if mode == "append" or every else rows.filter(F.col("v") == rows.agg(F.max("v")).first()[0]).drop("v")
 
 
 def _tick_stream(s, d) -> DataFrame:
@@ -296,6 +304,15 @@ def _(s, d):
     return upserts.read_upserted(s, path).select("ticker", "price")
 
 
+@query("stream_latest_state", "ST-4", "SELECT symbol AS ticker, max(ts) AS ts FROM ticks GROUP BY 1")
+def _(s, d):
+    """The latest tick of each symbol from keyed state, which gives out a row whenever it changes."""
+    ticks = _tick_stream(s, d).select(F.col("symbol").alias("ticker"), "ts")
+    with state.rocksdb(s):
+        updates = _drain(state.latest_rows(ticks, "ticker", "ts"), "update", every=True)
+    return state.latest_of_updates(updates, "ticker", "ts").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query("stream_landing", "ST-1", "SELECT symbol, date, open, high, low, close, volume, transactions FROM bars_daily", OHLC, ["symbol", "date", "volume", "transactions"])
 def _(s, d):
     """Raw files through the landing stream into a bronze table, in two runs; the second takes the new files only."""

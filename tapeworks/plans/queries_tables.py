@@ -523,10 +523,12 @@ def _(s, d):
     return DQ.freshness(V.bars_daily(s, d), "2024-01-31 12:00:00")
 
 
-@query("unconverted_symbols", "IN-9", "SELECT DISTINCT symbol FROM bars_daily WHERE symbol NOT IN (SELECT ticker FROM dividends)")
+@query("unconverted_symbols", "IN-9", "SELECT DISTINCT symbol FROM bars_daily WHERE symbol NOT IN (SELECT symbol FROM bars_daily WHERE transactions > 5)")
 def _(s, d):
-    log = V.dividends(s, d).select(F.col("ticker").alias("symbol"), F.lit("stocks_daily").alias("data_type"))
-    return DQ.unconverted(V.bars_daily(s, d), log, "stocks_daily")
+    """The log has an entry for each symbol with a day of more than five ticks; the others are still to be converted."""
+    bars = V.bars_daily(s, d)
+    log = bars.filter("transactions > 5").select("symbol", F.lit("stocks_daily").alias("data_type"))
+    return DQ.unconverted(bars, log, "stocks_daily")
 
 
 @query("cleared_log", "IN-9", "SELECT data_type, count(*) AS rows FROM ingestion_log WHERE data_type <> '1-URGENT' GROUP BY 1")
