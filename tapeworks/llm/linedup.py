@@ -1,8 +1,8 @@
 """Line deduplication by winnowing over line hashes.
 
 Of every WINDOW consecutive lines of a document the one with the smallest hash is a
-fingerprint, so two documents that share a run of WINDOW lines share a fingerprint in it; a line of LEAST_WORDS words or more
-is one by itself. Fingerprints that occur once are dropped. At the other positions the windows of which the fingerprint is the minimum, on both sides,
+fingerprint, so two documents that share a run of WINDOW lines share a fingerprint in it; a line of LEAST_WORDS words or LEAST_BYTES
+bytes or more is one by itself. Fingerprints that occur once are dropped. At the other positions the windows of which the fingerprint is the minimum, on both sides,
 are named by 128 bits of their lines, and those that also stand earlier in the corpus are deleted. As each window of a
 repeated run has its fingerprint, a match goes on in both directions until the lines differ.
 """
@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 
 from tapeworks.llm.common import cut, fresh, join_groups
 
-#: The shortest run that counts as repeated: so many lines, or one line of so many words.
-WINDOW, LEAST_WORDS = 2, 8
+#: The shortest run that counts as repeated: so many lines, or one line of so many words or of so many bytes in UTF-8. Bytes
+#: are for scripts that don't part words by blanks: 16 Chinese characters say about as much as eight words.
+WINDOW, LEAST_WORDS, LEAST_BYTES = 2, 8, 48
 
 _BLANK = " \t\x0b\x0c\r"
 
@@ -47,7 +48,7 @@ def _key(docs: DataFrame) -> Column:
     return F.xxhash64("doc_id", F.col("text").cast("string"))
 
 
-def windows_at(lines: list[bytes], window: int = WINDOW, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+def windows_at(lines: list[bytes], window: int = WINDOW, least_words: int = LEAST_WORDS, least_bytes: int = LEAST_BYTES) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
     """For each fingerprint of a document's lines: its hash, and the windows that it is the minimum of: first line, number of lines, name."""
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines))
     signed = hashes.view(np.int64).tolist()
@@ -56,13 +57,13 @@ def windows_at(lines: list[bytes], window: int = WINDOW, least_words: int = LEAS
         held.setdefault(at, []).append((i, window, xxhash.xxh3_128_digest(b"\n".join(lines[i : i + window]))))
     if window > 1:
         for at, line in enumerate(lines):
-            if len(line.split()) >= least_words:
+            if len(line) >= least_bytes or len(line.split()) >= least_words:
                 held.setdefault(at, []).append((at, 1, xxhash.xxh3_128_digest(line)))
     for at, windows in held.items():
         yield signed[at], windows
 
 
-def fingerprints(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
+def fingerprints(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """doc_id, key, fingerprint, windows (those that it is the minimum of: first, its place among the lines that aren't blank; lines, how many; run, its name)."""
     each = pa.struct([("first", pa.int32()), ("lines", pa.int32()), ("run", pa.binary())])
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fingerprint", pa.int64()), ("windows", pa.list_(each))])
@@ -71,7 +72,7 @@ def fingerprints(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows += [(doc_id, key, f, w) for f, w in windows_at(bare_lines(text)[1], window, least_words)]
+                rows += [(doc_id, key, f, w) for f, w in windows_at(bare_lines(text)[1], window, least_words, least_bytes)]
             if not rows:
                 continue
             *plain, windows = zip(*rows, strict=True)
@@ -85,9 +86,9 @@ def fingerprints(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST
     )
 
 
-def later_runs(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
+def later_runs(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """doc_id, key, first, lines: places of windows that also stand earlier (by doc_id, then text, then place)."""
-    prints = cut(fingerprints(docs, window, least_words))
+    prints = cut(fingerprints(docs, window, least_words, least_bytes))
     shared = cut(prints.groupBy("fingerprint").agg(F.count("*").alias("times")).filter("times > 1"))
     both = join_groups(prints, shared, ["fingerprint"], "times", prints.count())
     runs = cut(both.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.first", "w.lines", "w.run"))
@@ -105,17 +106,17 @@ def remove_lines(text: str, gone: set[int]) -> str:
     return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in raw)
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """``docs`` without the lines of later repeated runs, and n_lines_, n_removed_ (lines that aren't blank) at the end.
 
     Order of the corpus: doc_id (null last), then a hash of the text, then line. Blank lines neither count nor break a
-    run, and stay. Runs of fewer than ``window`` lines stay, unless they are a line of ``least_words`` words or more, and so does the first place of every run and line. Null and
-    empty texts have no lines and stay. Rows that share doc_id and text are one document: no row of it makes another go.
+    run, and stay. Runs of fewer than ``window`` lines stay, unless they are a line of ``least_words`` words or ``least_bytes`` bytes
+    or more, and so does the first place of every run and line. Null and empty texts have no lines and stay. Rows that share doc_id and text are one document: no row of it makes another go.
     """
     taken = list(docs.columns)
     n_lines, n_removed = fresh("n_lines_", taken), fresh("n_removed_", taken)
     key, places, gone_id, gone_key = (fresh(c, taken) for c in ("key_", "places_", "gone_id_", "gone_key_"))
-    gone = later_runs(docs.select("doc_id", "text"), window, least_words).groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "lines")).alias(places))
+    gone = later_runs(docs.select("doc_id", "text"), window, least_words, least_bytes).groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "lines")).alias(places))
     gone = cut(gone.select(F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key), places)).hint("merge")  # the same plan at every size
     marked = docs.withColumn(key, _key(docs))
     joined = marked.join(gone, (F.col(key) == F.col(gone_key)) & marked["doc_id"].eqNullSafe(gone[gone_id]), "left").select(*docs.columns, places)

@@ -115,7 +115,7 @@ b AS (SELECT doc_id, i, line, regexp_replace(regexp_replace(line, '^[ \t\x0B\x0C
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS nth FROM b WHERE bare <> ''),
 w AS (
   SELECT doc_id, nth, 2 AS lines, bare || chr(10) || lead(bare) OVER (PARTITION BY doc_id ORDER BY nth) AS run FROM n
-  UNION ALL SELECT doc_id, nth, 1, bare FROM n WHERE len(regexp_extract_all(bare, '[^ \t\x0B\x0C\r]+')) >= 8),
+  UNION ALL SELECT doc_id, nth, 1, bare FROM n WHERE strlen(bare) >= 48 OR len(regexp_extract_all(bare, '[^ \t\x0B\x0C\r]+')) >= 8),
 r AS (SELECT doc_id, nth, lines, row_number() OVER (PARTITION BY lines, run ORDER BY doc_id, nth) AS k FROM w WHERE run IS NOT NULL),
 g AS (SELECT DISTINCT doc_id, unnest(range(nth, nth + lines)) AS nth FROM r WHERE k > 1),
 k AS (

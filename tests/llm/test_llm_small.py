@@ -428,7 +428,7 @@ def brute_lines(rows, window, least_words=linedup.LEAST_WORDS):
             seen.setdefault(run, k)
         for i in at:
             line = lines[i].strip(" \t\x0b\x0c\r")
-            if len(re.findall(r"[^ \t\x0b\x0c\r]+", line)) >= least_words:
+            if len(line.encode()) >= linedup.LEAST_BYTES or len(re.findall(r"[^ \t\x0b\x0c\r]+", line)) >= least_words:
                 if line in seen:
                     gone.add(i)
                 seen.setdefault(line, k)
@@ -439,7 +439,7 @@ def brute_lines(rows, window, least_words=linedup.LEAST_WORDS):
 @pytest.mark.parametrize("window", [1, 2, 3])
 def test_line_dedup_is_brute_force(docs, window):
     rng = random.Random(window)
-    lines = [text(rng, 3) for _ in range(9)] + ["", "  ", "A", "\tA \r"] + [text(rng, n) for n in (7, 8, 12)]
+    lines = [text(rng, 3) for _ in range(9)] + ["", "  ", "A", "\tA \r"] + [text(rng, n) for n in (7, 8, 12)] + ["日本語" * 5, "日本語" * 5 + "字", "ไทย" * 20]
     rows = [(i * 13 % 97, "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 12)))) for i in range(40)] + [(500 + i, t) for i, t in enumerate(ODD)] + [(700, "\n".join(["same"] * 400))]
     got = {r["doc_id"]: (r["text"], r["n_lines_"], r["n_removed_"]) for r in linedup.dedup_lines(docs(rows), window).collect()}
     assert got == brute_lines(rows, window)
