@@ -76,3 +76,10 @@ def rounded(df: DataFrame, digits: int = 6, **other: int) -> DataFrame:
             c = F.when(F.isnan(c) | (F.abs(c) == float("inf")), None).otherwise(F.round(c, other.get(name, digits)) + 0.0)
         out.append(c.alias(name))
     return df.select(*out)
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name in taken:
+        name += "_"
+    return name

@@ -58,7 +58,7 @@ def return_volatility(n: int, key: str, order: str) -> Column:
     return F.stddev_samp(neg_log_return("close", 1, series(key, order))).over(last_n(n, key, order))
 
 
-def daily_features(bars: DataFrame, key: str = "symbol", order: str = "date") -> DataFrame:
+def daily_features(bars: DataFrame, key: str | list[str] = "symbol", order: str = "date") -> DataFrame:
     """The declared daily features: returns and alphas, range, returns, volume ratios, VWAP, volatility, money flow."""
     w = series(key, order)
     vwap = sdiv(F.col("volume") * typical_price(), "volume")

@@ -7,9 +7,13 @@ of bounded length run on many tasks for one key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeworks.functions.exprs import fresh
+
 
 def days(span: int, order: str | Column = "date") -> Column:
     """Buckets of so many days."""
@@ -41,6 +45,17 @@ def overlapped(rows: DataFrame, size: int, overlap: int, number: str = "i_", chu
     return rows.select("*", F.explode(both).alias(chunk)).withColumn(own, F.col(chunk) == first)
 
 
+def in_chunks(rows: DataFrame, features: Callable[[DataFrame, list[str]], DataFrame], size: int, overlap: int, bucket: Column, key: str = "symbol", order: str = "date") -> DataFrame:
+    """``features(rows, key)`` with chunks of ``size`` rows as keys, so a long series takes many tasks.
+
+    The values are those of whole series if no frame reaches further back than ``overlap`` rows; ``features`` must keep the columns it is
+    given. ``bucket``: see ``numbered``.
+    """
+    number, chunk, own = (fresh(c, rows.columns) for c in ("i_", "chunk_", "own_"))
+    parts = overlapped(numbered(rows, bucket, key, order, number), size, overlap, number, chunk, own)
+    return features(parts, [key, chunk]).filter(own).drop(number, chunk, own)
+
+
 def with_before(rows: DataFrame, found: dict[str, Column], combine: dict[str, str], key: str, bucket: Column, forward: bool = True) -> DataFrame:
     """``rows`` with what the earlier buckets of their key (later ones if not ``forward``) add up to: the second level of a carry.
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks.operators.quality import fresh
+from tapeworks.functions.exprs import fresh
 from tapeworks.sources.scratch import folder
 from tapeworks.sources.upserts import BUCKETS, read_upserted, stored, upsert
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeworks.functions.exprs import count_true, sdiv
+from tapeworks.functions.exprs import count_true, fresh, sdiv
 from tapeworks.operators.joins import layer_difference, missing, on_calendar
 
 
@@ -35,13 +35,6 @@ def enrich_range(bars: DataFrame, features, start: str, end: str, lookback: int
     return features(bars.filter(inside).unionByName(before.filter(F.col(nth) <= lookback).drop(nth))).filter(inside)
 
 
-def fresh(name: str, taken: list[str]) -> str:
-    """``name``, with underscores added until no column has it."""
-    while name in taken:
-        name += "_"
-    return name
-
-
 def backfill(bars: DataFrame, features, expected: DataFrame, done: DataFrame, lookback: int = 60) -> DataFrame:
     """Features of the expected dates that aren't done yet."""
     gaps = missing(expected, done)

@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeworks.operators import actions, alpha158, joins, signals
-from tapeworks.operators.chunks import days, numbered, overlapped
+from tapeworks.operators.bars import daily_features
+from tapeworks.operators.chunks import days, in_chunks, numbered, overlapped
 from tapeworks.operators.gram import series_correlations
 from tapeworks.operators.sliding import Sliding, quantile
 
@@ -204,3 +205,13 @@ def test_a_hot_key_takes_many_tasks(spark):
         assert tasks(actions.split_adjusted(b, filed.selectExpr("symbol AS ticker", "filed AS event_date", "2.0 AS split_ratio"), span=100)) == 4
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("size", [30, 64])
+def test_features_in_chunks_are_the_whole_ones(spark, size):
+    b = bars(spark, {"A": 400, "B": 7}).withColumn("own_", F.lit(1))  # a name that the chunks would take
+    whole = daily_features(b).orderBy("symbol", "date")
+    parts = in_chunks(b, daily_features, size, 22, days(90)).orderBy("symbol", "date")
+    assert parts.columns == whole.columns
+    for x, y in zip(whole.collect(), parts.collect(), strict=True):
+        assert near(x, y)
