@@ -467,7 +467,7 @@ def _(s, d):
     a = V.tickers(s, d).select("ticker", F.lit(0).alias("src"), F.length("sector").cast("long").alias("v"))
     path = folder(s, "upserts")
     for batch in (a, V.ipos(s, d).select("ticker", F.lit(1).alias("src"), F.lit(20).cast("long").alias("v"))):
-        upserts.upsert(batch, path, ["ticker"], "v")
+        upserts.upsert(batch, path, ["ticker"], "v", buckets=8)
     return upserts.read_upserted(s, path).select("ticker", "src", "v")
 
 
