@@ -393,6 +393,12 @@ def _(s, d):
 
 @query("option_underlying", "O-7 J-11", """SELECT o.ticker, o.date, o.strike_price, u.close AS underlying_price, o.strike_price / nullif(u.close, 0) AS moneyness_underlying
   FROM option_parsed o LEFT JOIN underlying_bars u ON o.underlying = u.symbol AND o.date = u.date""", ["strike_price", "underlying_price", "moneyness_underlying"], ["ticker", "date"])
+def _(s, d):
+    return O.with_underlying(O.with_parsed(V.option_daily(s, d)), V.underlying_bars(s, d)).select("ticker", "date", "strike_price", "underlying_price", "moneyness_underlying")
+
+
+@query("option_underlying_bucketed", "O-7 J-11", """SELECT o.ticker, o.date, o.strike_price, u.close AS underlying_price, o.strike_price / nullif(u.close, 0) AS moneyness_underlying
+  FROM option_parsed o LEFT JOIN underlying_bars u ON o.underlying = u.symbol AND o.date = u.date""", ["strike_price", "underlying_price", "moneyness_underlying"], ["ticker", "date"])
 def _(s, d):
     """Both sides are stored in buckets of underlying and date, and joined bucket by bucket."""
     lines, at, buckets = V.option_lines(s, d), ["underlying", "date"], int(s.conf.get("spark.sql.shuffle.partitions"))
