@@ -63,7 +63,8 @@ def every(*conditions: Column) -> Column:
 
 
 def count_true(condition: Column) -> Column:
-    return F.sum(F.when(condition, 1).otherwise(0)).cast("long")
+    """Rows where the condition holds: 0, not NULL, if there are no rows."""
+    return F.count_if(condition)
 
 
 def rounded(df: DataFrame, digits: int = 6, **other: int) -> DataFrame:

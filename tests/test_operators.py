@@ -187,6 +187,13 @@ def test_gaps_and_ranges(spark):
     assert collect(quality.date_ranges(days), "range_start") == [(D(2024, 1, 5), D(2024, 1, 5), 1), (D(2024, 1, 8), D(2024, 1, 9), 2), (D(2024, 1, 15), D(2024, 1, 15), 1)]
 
 
+def test_layers_of_the_same_dates_miss_none(spark):
+    b = spark.createDataFrame([("A", dt.date(2024, 1, 2)), ("B", dt.date(2024, 1, 3))], "symbol string, date date")
+    got = quality.integrity(b, b, "stocks_daily").first()
+    assert (got["rows"], got["gaps"], got["missing_after"], got["missing_before"]) == (2, 0, 0, 0)
+    assert quality.null_counts(b.limit(0), ["symbol"]).first()["null_symbol"] == 0
+
+
 def test_enriching_a_range_equals_the_whole_trimmed(spark):
     b = series(spark, [100.0 + i % 5 for i in range(90)])
     part = quality.enrich_range(b, bars.daily_features, "2024-03-10", "2024-03-20")
