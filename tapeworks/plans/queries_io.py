@@ -46,12 +46,12 @@ def _(s, d):
 
 @query("api_bars", "SRC-6", f"SELECT symbol, {NOON} AS timestamp, open, high, low, close, volume, 0.0 AS vwap, CASE WHEN transactions % 2 = 0 THEN transactions ELSE 0 END AS transactions FROM bars_daily", [*OHLC, "vwap"], ["symbol", "timestamp", "volume", "transactions"])
 def _(s, d):
-    """Payload rows with short names and missing fields, a page for each symbol and month, written and read as JSON."""
+    """Payload rows with short names and missing fields, a page for each symbol and month that names its symbol, written and read as JSON: as many files as tasks, however many symbols."""
     path = folder(s, "payload")
     ms = (F.unix_date("date").cast("bigint") * 86400 + 43200) * 1000
     row = F.struct(ms.alias("t"), F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"), F.col("volume").alias("v"), F.when(F.col("transactions") % 2 == 0, F.col("transactions")).alias("n"))
-    V.bars_daily(s, d).groupBy("symbol", F.trunc("date", "month").alias("month")).agg(F.collect_list(row).alias("results")).drop("month").write.partitionBy("symbol").json(path)
-    return readers.read_api_bars(s, path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    V.bars_daily(s, d).groupBy("symbol", F.trunc("date", "month").alias("month")).agg(F.collect_list(row).alias("results")).drop("month").write.json(path)
+    return readers.read_api_bars(s, path, page="symbol string").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def _through_json(s, df: DataFrame, name: str) -> DataFrame:

@@ -54,12 +54,16 @@ def with_dates(bars: DataFrame) -> DataFrame:
     return dated.select(F.year("date").cast("smallint").alias("year"), F.month("date").cast("tinyint").alias("month"), "date", *rest)
 
 
-def read_payload(spark: SparkSession, path: str, name: str, wrapped: str | None = "results") -> DataFrame:
-    """JSON payloads, one object a line: rows of the array ``wrapped``, or the objects themselves; after those of partition folders."""
+def read_payload(spark: SparkSession, path: str, name: str, wrapped: str | None = "results", page: str = "") -> DataFrame:
+    """JSON payloads, one object a line: rows of the array ``wrapped``, or the objects themselves; after those of partition folders.
+
+    ``page``: the page's own fields beside the array, such as ``ticker string``; they come first.
+    """
     row = PAYLOADS[name]
     if wrapped is None:
         return spark.read.schema(row).json(path)
-    pages = spark.read.schema(f"{wrapped} array<struct<{', '.join(f.replace(' ', ':', 1) for f in _split(row))}>>").json(path)
+    fields = [page] if page else []
+    pages = spark.read.schema(", ".join([*fields, f"{wrapped} array<struct<{', '.join(f.replace(' ', ':', 1) for f in _split(row))}>>"])).json(path)
     return pages.select(*(c for c in pages.columns if c != wrapped), F.inline(wrapped))
 
 
@@ -75,9 +79,9 @@ def _split(ddl: str) -> list[str]:
     return [f.strip() for f in out]
 
 
-def read_api_bars(spark: SparkSession, path: str, wrapped: str | None = "results") -> DataFrame:
-    """API bars with full names; epoch ms becomes timestamp, VWAP and transactions default to 0. Columns of partition folders, such as symbol, come first."""
-    b = read_payload(spark, path, "bars", wrapped)
+def read_api_bars(spark: SparkSession, path: str, wrapped: str | None = "results", page: str = "") -> DataFrame:
+    """API bars with full names; epoch ms becomes timestamp, VWAP and transactions default to 0. The page's own fields and columns of partition folders, such as symbol, come first."""
+    b = read_payload(spark, path, "bars", wrapped, page)
     known = {f.split()[0] for f in _split(PAYLOADS["bars"])}
     return b.select(
         *(c for c in b.columns if c not in known), F.timestamp_millis("t").alias("timestamp"), F.col("o").alias("open"), F.col("h").alias("high"), F.col("l").alias("low"), F.col("c").alias("close"),

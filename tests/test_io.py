@@ -56,6 +56,17 @@ def test_payloads(spark, tmp_path):
         assert readers.read_payload(spark, str(p), name).columns
 
 
+def test_pages_name_their_symbol(spark, tmp_path, monkeypatch):
+    p = tmp_path / "b.json"
+    p.write_text(json.dumps({"symbol": "A", "results": [{"t": 1704189600000, "c": 1.5}]}) + "\n" + json.dumps({"results": [{"t": 1704189600000, "c": 2.5}]}) + "\n")
+    got = readers.read_api_bars(spark, str(p), page="symbol string").select("symbol", "close").collect()
+    assert [tuple(r) for r in got] == [("A", 1.5), (None, 2.5)]
+    spark.range(300).selectExpr("id AS event_id", "id AS user_id", "TIMESTAMP_NTZ '2024-01-02 10:00:00' AS ts", "1.5D AS value", "'{\"k\": 1}' AS props", "'view' AS event_type").write.parquet(str(tmp_path / "in/events.parquet"))
+    monkeypatch.setattr("tapeworks.plans.queries_io.folder", lambda s, name: str(tmp_path / name))
+    assert catalog.QUERIES["api_bars"](spark, str(tmp_path / "in")).select("symbol").distinct().count() == 300
+    assert len(list((tmp_path / "payload").rglob("*.json"))) <= int(spark.conf.get("spark.sql.shuffle.partitions"))  # not one for each symbol
+
+
 def bar_rows(spark, days, close=1.0):
     rows = [(2024, 1, s, dt.date(2024, 1, d), close) for d in days for s in ("A", "B")]
     return spark.createDataFrame(rows, "year int, month int, symbol string, date date, close double")
