@@ -415,8 +415,8 @@ def _(s, d):
 
 @query("option_retention", "SNK-10", "SELECT ticker, date, expiration_date < DATE '1998-01-01' - 90 AS archived FROM option_parsed WHERE expiration_date IS NOT NULL")
 def _(s, d):
-    old, kept = sinks.expired(O.with_parsed(V.option_daily(s, d)).filter("expiration_date IS NOT NULL"), "1998-01-01", 90)
-    return old.select("ticker", "date", F.lit(True).alias("archived")).unionByName(kept.select("ticker", "date", F.lit(False).alias("archived")))
+    options = O.with_parsed(V.option_daily(s, d)).filter("expiration_date IS NOT NULL")
+    return options.select("ticker", "date", sinks.is_expired("1998-01-01", 90).alias("archived"))
 
 
 # ---------------------------------------------------------------- actions and reference

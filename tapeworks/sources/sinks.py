@@ -87,7 +87,12 @@ def compact(spark: SparkSession, path: str, to: str, by: tuple[str, ...] = MONTH
     rows.repartition(max(1, math.ceil(bytes_ / TARGET_BYTES)), *by).write.mode("overwrite").partitionBy(*by).parquet(to)
 
 
+def is_expired(as_of: str, keep_days: int) -> Column:
+    """Whether a contract expired more than ``keep_days`` ago; false without an expiration."""
+    return F.coalesce(F.col("expiration_date") < F.date_sub(F.lit(as_of).cast("date"), keep_days), F.lit(False))
+
+
 def expired(options: DataFrame, as_of: str, keep_days: int) -> tuple[DataFrame, DataFrame]:
-    """Contracts to archive (expired more than ``keep_days`` ago) and those to keep (also without an expiration)."""
-    old = F.col("expiration_date") < F.date_sub(F.lit(as_of).cast("date"), keep_days)
-    return options.filter(old), options.filter(~F.coalesce(old, F.lit(False)))
+    """Contracts to archive (expired more than ``keep_days`` ago) and those to keep (also without an expiration). Each side runs ``options`` anew; :func:`is_expired` marks both in one pass."""
+    old = is_expired(as_of, keep_days)
+    return options.filter(old), options.filter(~old)

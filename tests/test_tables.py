@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeworks.operators import bars, incremental, options, sketches
+from tapeworks.plans import catalog
 from tapeworks.sources import layouts, sinks, upserts
 
 ROWS = "k string, g int, t int, v string"
@@ -99,6 +100,20 @@ def contracts(spark):
     return options.with_parsed(spark.range(60_000).select(ticker.alias("ticker"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("date"), F.col("id").alias("volume")))
 
 
+def test_retention_reads_its_lines_once(spark, tmp_path):
+    lines = "id AS l_orderkey, id % 9 AS l_partkey, 1 AS l_linenumber, 'R' AS l_returnflag, TIMESTAMP_NTZ '1997-01-01 00:00:00' + make_dt_interval(INT(id * 20)) AS l_shipdate, 2000D AS l_extendedprice, 3D AS l_quantity"
+    spark.sql(f"SELECT {lines} FROM range(40)").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("SELECT id AS p_partkey, 'SMALL' AS p_type, 900D AS p_retailprice FROM range(9)").write.parquet(str(tmp_path / "part.parquet"))
+    spark.sql("SELECT id AS o_orderkey, TIMESTAMP_NTZ '1996-05-01 00:00:00' AS o_orderdate FROM range(40)").write.parquet(str(tmp_path / "orders.parquet"))
+    got = catalog.QUERIES["option_retention"](spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 3  # one a table
+    assert [tuple(r) for r in got.groupBy("archived").count().collect()] == [(False, 40)]  # a ticker's years are 20yy
+    o = spark.createDataFrame([("a", dt.date(1997, 10, 2)), ("b", dt.date(1997, 10, 3)), ("c", None)], "ticker string, expiration_date date")
+    assert [r[0] for r in o.filter(sinks.is_expired("1998-01-01", 90)).collect()] == ["a"]
+    old, kept = sinks.expired(o, "1998-01-01", 90)
+    assert (old.count(), kept.count()) == (1, 2)
+
+
 def test_a_chain_reads_its_row_groups_only(spark, contracts, tmp_path):
     layouts.write_clustered(contracts, str(tmp_path / "t"), ["underlying", "ticker", "date"], {"ticker": 5000}, group_bytes=16 << 10, files=3)
     stored = spark.read.parquet(str(tmp_path / "t"))
