@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from tapeworks.functions.exprs import col, sdiv
 
 #: ``O:`` underlying, yymmdd, C or P, strike in thousandths.
-PATTERN = r"^O:([A-Z]+)([0-9]{6})([CP])([0-9]{8})$"
+PATTERN = r"^O:[A-Z]+[0-9]{6}[CP][0-9]{8}\z"
 FIELDS = ("underlying", "expiration_date", "contract_type", "strike_price")
 
 
 def parsed(ticker: str | Column = "ticker") -> Column:
-    """Struct of underlying, expiration_date, contract_type, strike_price; NULL if malformed or the date doesn't exist."""
+    """Struct of underlying, expiration_date, contract_type, strike_price; NULL if malformed or the date doesn't exist.
+
+    The pattern is matched once; as it fixes 15 characters at the end, the parts are cut by place.
+    """
     t = col(ticker)
-    part = lambda i: F.regexp_extract(t, PATTERN, i)
-    expires = F.try_to_date(F.concat(F.lit("20"), part(2)), "yyyyMMdd")
-    value = F.struct(part(1).alias(FIELDS[0]), expires.alias(FIELDS[1]), part(3).alias(FIELDS[2]), (part(4).cast("double") / 1000).alias(FIELDS[3]))
+    part = lambda back, n: F.substring(t, -back, n)
+    expires = F.concat(F.lit("20"), part(15, 2), F.lit("-"), part(13, 2), F.lit("-"), part(11, 2)).try_cast("date")
+    value = F.struct(t.substr(F.lit(3), F.length(t) - 17).alias(FIELDS[0]), expires.alias(FIELDS[1]), part(9, 1).alias(FIELDS[2]), (part(8, 8).try_cast("double") / 1000).alias(FIELDS[3]))
     return F.when(t.rlike(PATTERN), F.when(expires.isNotNull(), value))
 
 

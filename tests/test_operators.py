@@ -104,6 +104,11 @@ def test_option_tickers(spark, ticker, want):
     assert (tuple(r["p"]) if r["p"] else None) == want and r["v"] == (want is not None)
 
 
+def test_option_tickers_end_where_the_text_ends(spark):
+    t = spark.createDataFrame([("O:SPY230327P00390000\n",), ("O:SPY230327P00390000",)], "ticker string")
+    assert [r["strike_price"] for r in options.with_parsed(t).collect()] == [None, 390.0]
+
+
 def test_ratios_with_nulls_and_zeros(spark):
     rows = [("A", 2020, "Q1", 200.0, 50.0, 0.0, None, 30.0, 10.0), ("B", 2020, "Q1", 0.0, None, 5.0, 4.0, None, -1.0)]
     df = spark.createDataFrame(rows, "ticker string, fiscal_year int, fiscal_period string, assets double, equity double, current_liabilities double, long_term_debt double, revenues double, net_income_loss double")
