@@ -29,8 +29,12 @@ def is_valid(ticker: str | Column = "ticker") -> Column:
 
 
 def with_parsed(bars: DataFrame, ticker: str = "ticker") -> DataFrame:
-    """Contract fields as columns; NULL for tickers that don't parse."""
-    return bars.withColumn("o_", parsed(ticker)).select(*bars.columns, *(F.col(f"o_.{f}").alias(f) for f in FIELDS))
+    """Contract fields as columns; NULL for tickers that don't parse.
+
+    A row's ticker is parsed once, by a generator: as plain columns the parse would be repeated for each field, and filters on the fields
+    would take it below joins and aggregates, together with whatever makes the ticker.
+    """
+    return bars.select("*", F.inline_outer(F.array(parsed(ticker))).alias(*FIELDS))
 
 
 def contracts(bars: DataFrame, ticker: str = "ticker") -> DataFrame:

@@ -109,6 +109,13 @@ def test_option_tickers_end_where_the_text_ends(spark):
     assert [r["strike_price"] for r in options.with_parsed(t).collect()] == [None, 390.0]
 
 
+def test_tickers_are_parsed_once(spark):
+    made = spark.range(20).select(F.concat(F.lit("O:A24011"), F.col("id") % 10, F.lit("C00001000")).alias("ticker"), "id")
+    for df in (options.contracts(made), options.with_parsed(made).filter("strike_price > 0 AND underlying = 'A'")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+        assert df.count() in (10, 20)
+
+
 def test_ratios_with_nulls_and_zeros(spark):
     rows = [("A", 2020, "Q1", 200.0, 50.0, 0.0, None, 30.0, 10.0), ("B", 2020, "Q1", 0.0, None, 5.0, 4.0, None, -1.0)]
     df = spark.createDataFrame(rows, "ticker string, fiscal_year int, fiscal_period string, assets double, equity double, current_liabilities double, long_term_debt double, revenues double, net_income_loss double")
