@@ -37,13 +37,14 @@ def bars_minute(spark: SparkSession, d: str) -> DataFrame:
 def option_lines(spark: SparkSession, d: str) -> DataFrame:
     """The lines that stand for option trades, stored for several readers."""
     path = folder(spark, "lines")
-    columns = ["p_type", "p_retailprice", "l_shipdate", "l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "o_orderdate"]
+    columns = ["p_type", "p_retailprice", "l_shipdate", "l_returnflag", "l_orderkey", "l_linenumber", "l_row", "l_extendedprice", "l_quantity", "o_orderdate"]
     _option_lines(spark, d).select(*columns).write.parquet(path)
     return spark.read.parquet(path)
 
 
 def _option_lines(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = table(spark, d, "lineitem").select("*", F.col("_metadata.row_index").alias("l_row"))
+    lines = lines.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return lines.join(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
@@ -54,7 +55,7 @@ def option_bars(spark: SparkSession, d: str, lines: DataFrame | None = None) ->
         F.lit("O:"), F.upper(F.substring("p_type", 1, 4)), two(F.year(ship) % 100), two(F.month(ship)), two(F.dayofmonth(ship)),
         F.when(F.col("l_returnflag") == "R", "P").otherwise("C"), F.lpad(F.round(F.col("p_retailprice") * 1000).cast("long").cast("string"), 8, "0"),
     )
-    return (_option_lines(spark, d) if lines is None else lines).select(ticker.alias("ticker"), F.to_date("o_orderdate").alias("date"), "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / 1000).alias("close"), F.col("l_quantity").cast("long").alias("volume"))
+    return (_option_lines(spark, d) if lines is None else lines).select(ticker.alias("ticker"), F.to_date("o_orderdate").alias("date"), "l_orderkey", "l_linenumber", "l_row", (F.col("l_extendedprice") / 1000).alias("close"), F.col("l_quantity").cast("long").alias("volume"))
 
 
 def underlying_bars(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
@@ -62,11 +63,11 @@ def underlying_bars(spark: SparkSession, d: str, lines: DataFrame | None = None)
 
 
 def option_daily(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
-    """One bar per contract and date."""
+    """One bar per contract and date. An order may have a line number twice: of such lines the one that stands first in its file counts, for open and close."""
     close = F.col("close")
     return option_bars(spark, d, lines).groupBy("ticker", "date").agg(
-        F.min_by(close, F.struct("l_orderkey", "l_linenumber")).alias("open"), F.max(close).alias("high"), F.min(close).alias("low"),
-        F.max_by(close, F.struct("l_orderkey", "l_linenumber")).alias("close"), F.sum("volume").cast("long").alias("volume"), F.count("*").alias("transactions"),
+        F.min_by(close, F.struct("l_orderkey", "l_linenumber", "l_row")).alias("open"), F.max(close).alias("high"), F.min(close).alias("low"),
+        F.max_by(close, F.struct("l_orderkey", "l_linenumber", -F.col("l_row"))).alias("close"), F.sum("volume").cast("long").alias("volume"), F.count("*").alias("transactions"),
     )
 
 

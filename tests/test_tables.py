@@ -3,7 +3,9 @@
 import datetime as dt
 import os
 import random
+import shutil
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +116,21 @@ def test_retention_reads_its_lines_once(spark, tmp_path):
     assert (old.count(), kept.count()) == (1, 2)
 
 
+def test_lines_of_one_number_count_in_the_table_s_order(spark, tmp_path):
+    line = "0 AS l_partkey, 1 AS l_linenumber, 'R' AS l_returnflag, TIMESTAMP_NTZ '1997-01-01 00:00:00' AS l_shipdate, 3D AS l_quantity"
+    lines = f"SELECT /*+ COALESCE(1) */ id % 20 AS l_orderkey, {line}, 1000D * (1 + id * 7 % 40) AS l_extendedprice FROM range(40)"
+    spark.sql(lines).write.parquet(str(tmp_path / "d"))
+    spark.sql("SELECT 0 AS p_partkey, 'SMALL' AS p_type, 900D AS p_retailprice").write.parquet(str(tmp_path / "part.parquet"))
+    spark.sql("SELECT id AS o_orderkey, TIMESTAMP_NTZ '1996-05-01 00:00:00' + make_dt_interval(INT(id)) AS o_orderdate FROM range(20)").write.parquet(str(tmp_path / "orders.parquet"))
+    shutil.copy(next((tmp_path / "d").glob("part-*.parquet")), tmp_path / "lineitem.parquet")
+    got = {tuple(r) for r in catalog.QUERIES["option_features"](spark, str(tmp_path)).select("date", "daily_return", "spread", "returns_1d").collect()}
+    c = duckdb.connect()
+    c.execute("SET threads = 1")
+    for t, at in (("lineitem", "lineitem.parquet"), ("part", "part.parquet/*.parquet"), ("orders", "orders.parquet/*.parquet")):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{at}'")
+    assert len(got) == 20 and got == set(c.execute(f"SELECT date, daily_return, spread, returns_1d FROM ({catalog.ORACLE_SQL['option_features']})").fetchall())
+
+
 def test_a_chain_reads_its_row_groups_only(spark, contracts, tmp_path):
     layouts.write_clustered(contracts, str(tmp_path / "t"), ["underlying", "ticker", "date"], {"ticker": 5000}, group_bytes=16 << 10, files=3)
     stored = spark.read.parquet(str(tmp_path / "t"))
